@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from assayspark.functions.literals import let
+
 # Standard atomic weights of elements usual in measured compounds.
 ATOMIC_WEIGHT = {
     "B": 10.812, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998, "Na": 22.990, "Mg": 24.305,
@@ -55,17 +57,22 @@ def hashed_bits(text: Column, n_bits: int = 2048, window: int = 4) -> Column:
     Text shorter than the window gives no bits.
     """
     chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - F.lit(window - 1), F.lit(1)))
-    grams = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, window), "")))
-    bits = F.transform(grams, lambda g: (text_hash(g.cast("string").cast("binary")) % n_bits).cast("int"))
-    return F.when(F.length(text) >= window, F.sort_array(F.array_distinct(bits))).when(
+
+    def bits_of(c: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(c) - F.lit(window - 1), F.lit(1)))
+        grams = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(c, i, window), "")))
+        return F.sort_array(F.array_distinct(F.transform(grams, lambda g: (text_hash(g) % n_bits).cast("int"))))
+
+    return F.when(F.length(text) >= window, let(chars, bits_of)).when(
         text.isNotNull(), F.array().cast("array<int>")
     )
 
 
 def structure_key(structure: Column) -> Column:
     """Text-level key: the longest fragment (the first of equals) without stereo marks."""
-    fragments = F.split(structure, r"\.")
-    longest = F.array_max(F.transform(fragments, F.length))
-    parent = F.get(F.filter(fragments, lambda f: F.length(f) == longest), F.lit(0))
-    return F.regexp_replace(parent, r"[@/\\]", "")
+
+    def longest(parts: Column) -> Column:
+        most = F.array_max(F.transform(parts, F.length))
+        return F.element_at(parts, F.array_position(F.transform(parts, F.length), most).cast("int"))
+
+    return F.regexp_replace(let(F.split(structure, r"\."), longest), r"[@/\\]", "")

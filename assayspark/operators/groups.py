@@ -29,7 +29,7 @@ def top_n_per_group(
     shuffle and a hot group sends no more than that.
     """
     order = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last(), *ties)
-    rows = df.na.drop("any", list(by))
+    rows = df.na.drop("any", subset=list(by))
     return rows.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= n)
 
 
@@ -49,7 +49,7 @@ def share_of_group(df: DataFrame, by: Sequence[str], key: str) -> DataFrame:
     The totals are a second, partial aggregation of the counts and come back in a join, so the keys
     of a group are never gathered in one task.
     """
-    sizes = df.na.drop("any", list(by)).groupBy(*by, key).agg(F.count("*").alias("n"))
+    sizes = df.na.drop("any", subset=list(by)).groupBy(*by, key).agg(F.count("*").alias("n"))
     totals = sizes.groupBy(*by).agg(F.sum("n").alias("_total"))
     return sizes.join(totals, list(by)).withColumn("percent", F.lit(100.0) * F.col("n") / F.col("_total")).drop("_total")
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assayspark.functions.activity import no_nan
+from assayspark.functions.literals import numbers
 from assayspark.session import settle
 
 # Distinct values one aggregation buffer may hold (some tens of megabytes).
@@ -81,8 +82,8 @@ def _plain(counted: DataFrame, keys: list[str], quantiles: dict[str, float], cou
 
 def _slice_of(value: Column, points: list[float]) -> Column:
     """Number of split points at or below the value, found in two steps of 16."""
-    fine = F.lit(points)
-    outer = F.size(F.filter(F.lit(points[_COARSE - 1 :: _COARSE]), lambda s: s <= value))
+    fine = numbers(points)
+    outer = F.size(F.filter(numbers(points[_COARSE - 1 :: _COARSE]), lambda s: s <= value))
     inner = F.slice(fine, outer * _COARSE + 1, _COARSE - 1)
     return outer * _COARSE + F.size(F.filter(inner, lambda s: s <= value))
 

@@ -43,7 +43,7 @@ def group_stats(df: DataFrame, by: Sequence[str], value: str, digits: int | None
     """count, mean, sample deviation, min and max per group; null groups are left out."""
     x = _number(df, value)
     stats = (
-        df.na.drop("any", list(by))
+        df.na.drop("any", subset=list(by))
         .groupBy(*by)
         .agg(
             F.count(x).alias("count"),
@@ -123,12 +123,26 @@ def histogram_edges(df: DataFrame, value: str, edges: Sequence[float] = ACTIVITY
     return _filled(_numbers(0, last - 1, "bin", df), sizes, F.get(cuts, F.col("bin")), F.get(cuts, F.col("bin") + 1))
 
 
-def _shape(df: DataFrame, value: str) -> Row:
-    """Range, number and deviation of a column: the one row read back to lay out bins or a grid."""
-    x = _number(df, value)
-    return df.agg(
-        F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("std")
-    ).first()
+def column_shapes(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """Range, number and deviation of each column, from one pass.
+
+    One short row per column is read back: it lays out the bins or the grid.
+    """
+    shapes = []
+    for i, c in enumerate(columns):
+        x = _number(df, c)
+        shapes.append(
+            F.struct(
+                F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("std")
+            ).alias(f"s{i}")
+        )
+    return dict(zip(columns, df.agg(*shapes).first()))
+
+
+def stacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Long form (property, value), one row per row and column; a narrow projection."""
+    cells = [F.struct(F.lit(c).alias("property"), _number(df, c).alias("value")) for c in columns]
+    return df.select(F.inline(F.array(*cells)))
 
 
 def _equal_histogram(df: DataFrame, value: str, bins: int, lo: float, hi: float) -> DataFrame:
@@ -153,48 +167,61 @@ def _no_bins(df: DataFrame) -> DataFrame:
 
 def histogram_equal(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Counts in `bins` equal bins over the value's range."""
-    r = _shape(df, value)
+    r = column_shapes(df, [value])[value]
     return _equal_histogram(df, value, bins, r.lo, r.hi) if r.n else _no_bins(df)
 
 
-def auto_bins(df: DataFrame, value: str) -> tuple[int, float, float] | None:
-    """(bins, low, high): the bin width is the smaller of the Sturges and Freedman-Diaconis widths."""
-    r = _shape(df, value)
-    if not r.n:
-        return None
-    q = group_quantiles(df, [], value, {"q1": 0.25, "q3": 0.75}).first()
-    spread = r.hi - r.lo
-    widths = [spread / (math.log2(r.n) + 1), 2 * (q.q3 - q.q1) / r.n ** (1 / 3)]
-    width = min(w for w in widths if w > 0) if spread > 0 else 0.0
-    return (math.ceil(spread / width) if width else 1), r.lo, r.hi
+def auto_bins(df: DataFrame, shapes: dict[str, Row]) -> dict[str, int]:
+    """Bins per column: the bin width is the smaller of the Sturges and Freedman-Diaconis widths.
+
+    The quartiles of all columns come from one long table. Columns without values are left out.
+    """
+    long = stacked(df, list(shapes))
+    quarters = group_quantiles(long, ["property"], "value", {"q1": 0.25, "q3": 0.75}).collect()
+    bins = {}
+    for q in quarters:
+        r = shapes[q.property]
+        spread = r.hi - r.lo
+        widths = [spread / (math.log2(r.n) + 1), 2 * (q.q3 - q.q1) / r.n ** (1 / 3)]
+        bins[q.property] = math.ceil(spread / min(w for w in widths if w > 0)) if spread > 0 else 1
+    return bins
 
 
 def histogram_auto(df: DataFrame, value: str) -> DataFrame:
     """Histogram with the automatic number of bins, empty bins included."""
-    found = auto_bins(df, value)
-    return _equal_histogram(df, value, *found) if found else _no_bins(df)
+    return histograms_auto(df, [value])[value]
+
+
+def histograms_auto(
+    df: DataFrame, columns: Sequence[str], shapes: dict[str, Row] | None = None
+) -> dict[str, DataFrame]:
+    shapes = shapes or column_shapes(df, columns)
+    bins = auto_bins(df, shapes)
+    return {
+        c: _equal_histogram(df, c, bins[c], r.lo, r.hi) if c in bins else _no_bins(df) for c, r in shapes.items()
+    }
 
 
-def density(df: DataFrame, value: str, points: int = 200, cut: float = 3.0) -> DataFrame:
+def density(df: DataFrame, value: str, points: int = 200, cut: float = 3.0, shape: Row | None = None) -> DataFrame:
     """Gaussian density on an even grid that reaches `cut` bandwidths past the data (Scott bandwidth).
 
     Equal values are collapsed first; each task then adds up its share of every grid point, so one
     row per grid point and task is shuffled. Fewer than two distinct values give no rows.
     """
-    r = _shape(df, value)
+    r = shape or column_shapes(df, [value])[value]
     h = (r["std"] or 0.0) * r.n ** -0.2 if r.n else 0.0
     if not h:
-        return df.sparkSession.createDataFrame([], "point int, at double, density double")
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     low = r.lo - cut * h
     step = (r.hi - r.lo + 2 * cut * h) / (points - 1)
-    at = F.lit(low) + F.col("point") * F.lit(step)
-    away = (at - F.col("_value")) / F.lit(h)
+    x = F.lit(low) + F.col("point") * F.lit(step)
+    away = (x - F.col("_value")) / F.lit(h)
     return (
         value_counts(df, [], value)
         .select("_value", "_n", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
         .groupBy("point")
         .agg(F.sum(F.exp(F.lit(-0.5) * away * away) * F.col("_n")).alias("w"))
-        .select("point", at.alias("at"), (F.col("w") / F.lit(r.n * h * math.sqrt(2 * math.pi))).alias("density"))
+        .select("point", x.alias("x"), (F.col("w") / F.lit(r.n * h * math.sqrt(2 * math.pi))).alias("density"))
     )
 
 

@@ -49,10 +49,9 @@ def property_report(
     Without a full set of rule columns the rule check is left out.
     """
     properties = clean.numeric_columns(df, exclude, first)
-    parts: dict[str, DataFrame] = {}
-    for p in properties:
-        parts[f"histogram:{p}"] = stats.histogram_auto(df, p)
-        parts[f"density:{p}"] = stats.density(df, p)
+    shapes = stats.column_shapes(df, properties)
+    parts = {f"histogram:{p}": t for p, t in stats.histograms_auto(df, properties, shapes).items()}
+    parts |= {f"density:{p}": stats.density(df, p, shape=shapes[p]) for p in properties}
     summary = summary_properties(df, exclude)
     if summary:
         rows = [
@@ -93,9 +92,11 @@ def property_activity_report(
     if len(numeric) < 5:
         return None
     chosen = list(properties or numeric)
-    correlations = stats.correlation_with(df, chosen, value)
-    ranked = [r["property"] for r in correlations.collect()]
-    overall = [r["property"] for r in stats.correlation_with(df, numeric, value).limit(10).collect()]
+    found = stats.correlation_with(df, list(dict.fromkeys([*chosen, *numeric])), value)
+    rows = found.collect()
+    correlations = df.sparkSession.createDataFrame([r for r in rows if r.property in chosen], found.schema)
+    ranked = [r.property for r in rows if r.property in chosen]
+    overall = [r.property for r in rows if r.property in numeric][:10]
     return {
         "correlations": correlations,
         "trends": stats.trend_lines(df, ranked[:6], value),
