@@ -156,7 +156,7 @@ def silhouette_exact(df: DataFrame, key: str, features: str, label: str, block_r
     rows = df.select(F.col(key).alias("id"), F.col(label).alias("label"), vector_to_array(features).alias("x"))
     blocks = max(1, -(-rows.count() // block_rows))
     cut = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = cut.withColumn("across", other).groupBy("own", "across")
     right = cut.withColumnRenamed("own", "across").withColumn("own", other).groupBy("own", "across")
 
@@ -218,9 +218,9 @@ def k_curve(
     With a key and at most `exact_rows` rows the silhouette is Euclidean, beyond that squared
     Euclidean, which is linear in the rows. `measure` names the one used.
     """
-    stage = scaler(df, features, "_scaled")
+    stage = scaler(df, features, "_vector")
     columns = [key] if key else []
-    vectors = stage.transform(df).select(*columns, "_scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = stage.transform(df).select(*columns, "_vector").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = vectors.count()
         exact = key is not None and n <= exact_rows
@@ -228,11 +228,11 @@ def k_curve(
         # One group: rows times the number of columns that vary.
         curve = [(1, float(n * np.count_nonzero(stage.getScalingVec().toArray())), None, measure)]
         for k in range(2, min(largest, n - 1) + 1):
-            labelled, _, cost = kmeans(vectors, "_scaled", k, "_k", seed, restarts, standardise=False)
+            labelled, _, cost = kmeans(vectors, "_vector", k, "_k", seed, restarts, standardise=False)
             if exact:
-                score = silhouette_exact(labelled, key, "_scaled", "_k").agg(F.avg("silhouette")).first()[0]
+                score = silhouette_exact(labelled, key, "_vector", "_k").agg(F.avg("silhouette")).first()[0]
             else:
-                score = silhouette_squared(labelled, "_scaled", "_k")
+                score = silhouette_squared(labelled, "_vector", "_k")
             curve.append((k, cost, score, measure))
     finally:
         vectors.unpersist()

@@ -1,10 +1,50 @@
-"""Regression models."""
+"""Regression models: split, fit, tune, compare, explain, save, score.
+
+A model is one pipeline of scaler and regressor, so what is saved is what scores. Fits read a
+feature vector column; the split and the folds are hashes of the row key.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
+
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
+from assayspark.functions.activity import in_half_open_range
 from assayspark.functions.structure import text_hash
+from assayspark.operators import groups, stats
+
+SEED = 42
+
+# Settings of the two kinds of model, for the global fit and for the fits on a part.
+FOREST = {"numTrees": 100, "maxDepth": 30, "minInstancesPerNode": 1, "featureSubsetStrategy": "all"}
+BOOSTED_GLOBAL = {
+    "maxIter": 200, "stepSize": 0.1, "maxDepth": 6, "minInstancesPerNode": 1,
+    "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
+}
+BOOSTED_PART = {"maxIter": 100, "stepSize": 0.3, "maxDepth": 6, "featureSubsetStrategy": "all"}
+
+# The full search grids (hundreds of fits; a forest depth of 30 stands for no limit),
+# and the reduced ones used unless asked otherwise.
+FULL_GRID = {
+    "rf": {"numTrees": [100, 200, 300], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2, 4]},
+    "gbt": {
+        "maxIter": [100, 200, 300], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.05, 0.1],
+        "subsamplingRate": [0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.8", "0.9", "1.0"],
+    },
+}
+REDUCED_GRID = {
+    "rf": {"numTrees": [100], "maxDepth": [10, 20]},
+    "gbt": {"maxIter": [100], "maxDepth": [3, 5], "stepSize": [0.1]},
+}
 
 
 def with_split(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
@@ -14,3 +54,202 @@ def with_split(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
     """
     h = text_hash(F.col(key).cast("string"))
     return df.withColumn("is_test", h % 5 == 0).withColumn("fold", (F.floor(h / 5) % folds).cast("int"))
+
+
+def _regressor(kind: str, settings: dict, features: str, target: str, seed: int):
+    if kind not in ("rf", "gbt"):
+        raise ValueError(f"unknown kind of model: {kind}")
+    make = RandomForestRegressor if kind == "rf" else GBTRegressor
+    return make(featuresCol=features, labelCol=target, predictionCol="prediction", seed=seed, **settings)
+
+
+def estimator(kind: str, settings: dict, features: str = "features", target: str = "p", seed: int = SEED) -> Pipeline:
+    """Scaler (without centring, so that sparse vectors stay sparse) and regressor."""
+    scale = StandardScaler(inputCol=features, outputCol="_scaled", withMean=False, withStd=True)
+    return Pipeline(stages=[scale, _regressor(kind, settings, "_scaled", target, seed)])
+
+
+def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
+    return model.transform(df).drop("_scaled")
+
+
+def build_model(
+    df: DataFrame, key: str, target: str = "p", features: str = "features", kind: str = "rf", settings: dict | None = None, seed: int = SEED
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """One model of the whole table: (model, metrics on the held-out rows, actual and predicted)."""
+    settings = settings or (FOREST if kind == "rf" else BOOSTED_GLOBAL)
+    rows = with_split(df.select(key, target, features), key)
+    model = estimator(kind, settings, features, target, seed).fit(rows.where("not is_test"))
+    pairs = predictions(model, rows.where("is_test")).select(key, F.col(target).alias("actual"), "prediction")
+    metrics = stats.regression_metrics(pairs, "actual", "prediction").select(F.lit(kind).alias("model"), "*")
+    return model, metrics, pairs
+
+
+def compare_models(reports: Sequence[DataFrame]) -> DataFrame:
+    """Metric rows of several models, best first."""
+    out = reports[0]
+    for report in reports[1:]:
+        out = out.unionByName(report)
+    return out.orderBy("rmse", "model")
+
+
+def feature_weights(model: PipelineModel, names: Sequence[str] | None = None) -> DataFrame:
+    """(feature, weight) of a fitted tree model."""
+    from pyspark.sql import SparkSession
+
+    weights = model.stages[-1].featureImportances.toArray()
+    named = names or [f"bit_{i}" for i in range(len(weights))]
+    rows = [(n, float(w)) for n, w in zip(named, weights)]
+    return SparkSession.active().createDataFrame(rows, "feature string, weight double")
+
+
+def top_weights(weights: DataFrame, n: int = 15) -> DataFrame:
+    """The n largest weights, smallest of them first."""
+    return groups.top_n(weights, "weight", n, ["feature"]).orderBy("weight", F.col("feature").desc())
+
+
+def model_per_cluster(
+    df: DataFrame,
+    key: str,
+    cluster: str = "cluster",
+    target: str = "p",
+    features: str = "features",
+    kind: str = "rf",
+    settings: dict | None = None,
+    smallest: int = 20,
+    seed: int = SEED,
+    parallelism: int = 4,
+) -> tuple[DataFrame, dict[int, PipelineModel]]:
+    """One model per cluster of at least `smallest` rows: ((cluster, n_compounds, r2, rmse), models).
+
+    Fits run side by side from driver threads, each distributed over the same cached rows; the
+    held-out metrics of all clusters come from one grouped aggregate.
+    """
+    settings = settings or (FOREST if kind == "rf" else BOOSTED_PART)
+    rows = with_split(df.select(key, cluster, target, features), key).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = stats.eligible_groups(rows, cluster, smallest).orderBy(cluster).collect()  # one row per cluster
+
+    def fit(c: int) -> PipelineModel:
+        return estimator(kind, settings, features, target, seed).fit(rows.where((F.col(cluster) == c) & ~F.col("is_test")))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = dict(zip([s[cluster] for s in sizes], pool.map(fit, [s[cluster] for s in sizes])))
+
+    schema = "cluster int, n_compounds bigint"
+    known = df.sparkSession.createDataFrame([(int(s[cluster]), s.n) for s in sizes], schema)
+    scored = None
+    for c, model in models.items():
+        part = predictions(model, rows.where((F.col(cluster) == c) & F.col("is_test"))).select(
+            F.col(cluster).cast("int").alias("cluster"), F.col(target).alias("y"), "prediction"
+        )
+        scored = part if scored is None else scored.unionByName(part)
+    if scored is None:
+        return known.selectExpr("*", "double(null) as r2", "double(null) as rmse"), models
+    metrics = stats.regression_metrics(scored, "y", "prediction", ["cluster"]).select("cluster", "r2", "rmse")
+    return known.join(metrics, "cluster", "left"), models
+
+
+def grid_search(
+    train: DataFrame,
+    kind: str,
+    target: str = "p",
+    features: str = "features",
+    grid: dict[str, list] | None = None,
+    folds: int = 5,
+    seed: int = SEED,
+    parallelism: int = 4,
+) -> tuple[PipelineModel, dict[str, str], DataFrame]:
+    """Cross-validated search by mean squared error over `fold`: (best model, its settings, all scores).
+
+    `train` has a `fold` column, see `with_split`.
+    """
+    grid = grid or REDUCED_GRID[kind]
+    base = dict(FOREST) if kind == "rf" else {k: v for k, v in BOOSTED_PART.items()}
+    pipeline = estimator(kind, {k: v for k, v in base.items() if k not in grid}, features, target, seed)
+    regressor = pipeline.getStages()[-1]
+    combos = [dict(zip(grid, values)) for values in product(*grid.values())]
+    maps = [{regressor.getParam(k): v for k, v in combo.items()} for combo in combos]
+    found = CrossValidator(
+        estimator=pipeline,
+        estimatorParamMaps=maps,
+        evaluator=RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="mse"),
+        numFolds=folds,
+        foldCol="fold",
+        parallelism=parallelism,
+    ).fit(train)
+    best = combos[min(range(len(combos)), key=lambda i: found.avgMetrics[i])]
+    scores = train.sparkSession.createDataFrame(
+        [({k: str(v) for k, v in c.items()}, float(m)) for c, m in zip(combos, found.avgMetrics)],
+        "params map<string,string>, mse double",
+    )
+    return found.bestModel, {k: str(v) for k, v in best.items()}, scores
+
+
+SUMMARY_SCHEMA = """subcluster_id int, min_pic50 double, max_pic50 double, n_compounds bigint, train_size bigint,
+  test_size bigint, rf_r2 double, rf_rmse double, xgb_r2 double, xgb_rmse double, best_model string,
+  optimized_r2 double, optimized_rmse double, best_params map<string,string>"""
+
+
+def build_subcluster_model(
+    df: DataFrame,
+    key: str,
+    subcluster_id: int = 0,
+    low: float = 5.0,
+    high: float = 10.0,
+    subcluster: str = "subcluster",
+    target: str = "p",
+    features: str = "features",
+    settings: dict[str, dict] | None = None,
+    grids: dict[str, dict[str, list]] | None = None,
+    folds: int = 5,
+    seed: int = SEED,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Both kinds of model on one subcluster and range, then a search on the better one.
+
+    Gives (tuned model, one summary row, predictions of all three on the held-out rows). Columns
+    named xgb hold the boosted trees.
+    """
+    settings = settings or {"rf": FOREST, "gbt": BOOSTED_PART}
+    chosen = df.where((F.col(subcluster) == subcluster_id) & in_half_open_range(F.col(target), low, high))
+    rows = with_split(chosen.select(key, target, features), key, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = rows.where("not is_test"), rows.where("is_test")
+
+    def score(name: str, model: PipelineModel) -> DataFrame:
+        return predictions(model, test).select(
+            F.lit(name).alias("model"), key, F.col(target).alias("actual"), "prediction"
+        )
+
+    fitted = {kind: estimator(kind, settings[kind], features, target, seed).fit(train) for kind in ("rf", "gbt")}
+    pairs = score("rf", fitted["rf"]).unionByName(score("gbt", fitted["gbt"]))
+    metrics = {r.model: r for r in stats.regression_metrics(pairs, "actual", "prediction", ["model"]).collect()}
+    best = min(metrics, key=lambda m: (metrics[m].rmse, m))
+    tuned, params, _ = grid_search(train, best, target, features, (grids or {}).get(best), folds, seed)
+    tuned_pairs = score("optimized", tuned)
+    final = stats.regression_metrics(tuned_pairs, "actual", "prediction").first()
+    n = rows.groupBy("is_test").count().collect()
+    sizes = {r.is_test: r["count"] for r in n}
+    row = (
+        subcluster_id, low, high, sum(sizes.values()), sizes.get(False, 0), sizes.get(True, 0),
+        metrics["rf"].r2, metrics["rf"].rmse, metrics["gbt"].r2, metrics["gbt"].rmse,
+        "rf" if best == "rf" else "xgb", final.r2, final.rmse, params,
+    )
+    summary = df.sparkSession.createDataFrame([row], SUMMARY_SCHEMA)
+    return tuned, summary, pairs.unionByName(tuned_pairs)
+
+
+def improvement(summary: DataFrame) -> DataFrame:
+    """How much the tuned model gains on the better first fit."""
+    better = F.col("best_model") == "rf"
+    return summary.select(
+        "subcluster_id",
+        (F.when(better, F.col("rf_rmse")).otherwise(F.col("xgb_rmse")) - F.col("optimized_rmse")).alias("rmse_gain"),
+        (F.col("optimized_r2") - F.when(better, F.col("rf_r2")).otherwise(F.col("xgb_r2"))).alias("r2_gain"),
+    )
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
