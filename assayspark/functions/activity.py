@@ -26,8 +26,8 @@ DRUG_RULES = (
 
 
 def no_nan(x: Column) -> Column:
-    """NaN to null, so that comparisons and statistics skip it."""
-    return F.when(~F.isnan(x), x)
+    """NaN to null, so that comparisons and statistics skip it. The input is evaluated once."""
+    return F.nanvl(x, F.lit(None).cast("double"))
 
 
 def to_number(x: Column) -> Column:
@@ -57,14 +57,14 @@ def log_activity_in(value: Column, unit: Column) -> Column:
 
 
 def activity_class(p: Column) -> Column:
-    low, moderate, high = CLASS_BOUNDS
-    p = no_nan(p.cast("double"))
-    return (
-        F.when(p < low, CLASS_NAMES[0])
-        .when(p < moderate, CLASS_NAMES[1])
-        .when(p < high, CLASS_NAMES[2])
-        .when(p.isNotNull(), CLASS_NAMES[3])
-    )
+    """The class of a log activity; null and NaN have none.
+
+    The bounds are evenly spaced, so one bucket expression finds the class and reads `p` once.
+    """
+    low, high = CLASS_BOUNDS[0], CLASS_BOUNDS[-1]
+    names = F.array(*[F.lit(name) for name in CLASS_NAMES])
+    bucket = F.width_bucket(p.cast("double"), F.lit(low), F.lit(high), F.lit(len(CLASS_BOUNDS) - 1))
+    return F.get(names, bucket.cast("int"))
 
 
 def violation_flags(columns: dict[str, str], rules: Sequence[tuple[str, str, float]] = DRUG_RULES) -> dict[str, Column]:

@@ -27,22 +27,27 @@ def atom_symbols(structure: Column) -> Column:
     return F.filter(symbols, lambda s: s.rlike("^[A-Za-z]+$") & (s != "H"))
 
 
-def token_counts(structure: Column) -> dict[str, Column]:
-    """Named counts that need no molecular graph; null structure gives nulls."""
-    raw = atom_symbols(structure)
-    symbols = F.transform(raw, lambda s: F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1)))
+def token_counts(structure: Column) -> Column:
+    """A struct of counts that need no molecular graph; null structure gives nulls."""
     weights = F.create_map(*[F.lit(x) for pair in ATOMIC_WEIGHT.items() for x in pair])
     closures = F.regexp_extract_all(
         F.regexp_replace(structure, BRACKET_PATTERN, ""), F.lit(CLOSURE_PATTERN), F.lit(0)
     )
-    return {
-        "heavy_atoms": F.size(raw),
-        "heavy_weight": F.aggregate(symbols, F.lit(0.0), lambda acc, s: acc + weights[s]),
-        "hetero_atoms": F.size(F.filter(symbols, lambda s: s != "C")),
-        "ring_count": F.floor(F.size(closures) / 2).cast("int"),
-        "halogens": F.size(F.filter(symbols, lambda s: s.isin("F", "Cl", "Br", "I"))),
-        "aromatic_atoms": F.size(F.filter(raw, lambda s: s.rlike("^[a-z]"))),
-    }
+
+    def element(s: Column) -> Column:
+        return F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1))
+
+    def counts(atoms: Column) -> Column:
+        return F.struct(
+            F.size(atoms).alias("heavy_atoms"),
+            F.aggregate(atoms, F.lit(0.0), lambda acc, s: acc + weights[element(s)]).alias("heavy_weight"),
+            F.size(F.filter(atoms, lambda s: ~s.isin("C", "c"))).alias("hetero_atoms"),
+            F.floor(F.size(closures) / 2).cast("int").alias("ring_count"),
+            F.size(F.filter(atoms, lambda s: s.isin("F", "Cl", "Br", "I"))).alias("halogens"),
+            F.size(F.filter(atoms, lambda s: s == F.lower(s))).alias("aromatic_atoms"),
+        )
+
+    return F.when(structure.isNotNull(), let(atom_symbols(structure), counts))
 
 
 def text_hash(text: Column) -> Column:
@@ -53,19 +58,12 @@ def text_hash(text: Column) -> Column:
 def hashed_bits(text: Column, n_bits: int = 2048, window: int = 4) -> Column:
     """Sorted on-bits: each `window` characters of the whole text hash to one of `n_bits` positions.
 
-    The characters are split once and sliced, so the work is linear in the length of the text.
-    Text shorter than the window gives no bits.
+    One scan steps over the characters and looks ahead, so the work is linear in the length of the
+    text, and equal pieces are hashed once. Text shorter than the window gives no bits.
     """
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-
-    def bits_of(c: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(c) - F.lit(window - 1), F.lit(1)))
-        grams = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(c, i, window), "")))
-        return F.sort_array(F.array_distinct(F.transform(grams, lambda g: (text_hash(g) % n_bits).cast("int"))))
-
-    return F.when(F.length(text) >= window, let(chars, bits_of)).when(
-        text.isNotNull(), F.array().cast("array<int>")
-    )
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{window}}}))."), F.lit(1))
+    bits = F.transform(F.array_distinct(pieces), lambda g: (text_hash(g) % n_bits).cast("int"))
+    return F.sort_array(F.array_distinct(bits))
 
 
 def structure_key(structure: Column) -> Column:

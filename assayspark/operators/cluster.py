@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
@@ -71,22 +73,30 @@ def kmeans(
     restarts: int = RESTARTS,
     standardise: bool = True,
     max_iter: int = 300,
+    tolerance: float = 1e-4,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, PipelineModel, float]:
     """The best of several k-means runs: (labelled table, model, inertia).
 
-    Vectors are kept on the executors between the runs; the model scales and labels new rows too.
+    Vectors are kept on the executors, and some runs go side by side. A run ends when the squared
+    moves of all centres add up to `tolerance` at most, on vectors of unit variance. The model
+    scales and labels new rows too.
     """
     stages = [scaler(df, features, "_scaled")] if standardise else []
     column = "_scaled" if standardise else features
     base = PipelineModel(stages)
     vectors = base.transform(df).select(column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [
-            KMeans(
-                k=k, seed=s, initMode="k-means||", maxIter=max_iter, featuresCol=column, predictionCol=output
+        vectors.count()
+        move = math.sqrt(tolerance / k)
+
+        def fit(s: int) -> KMeansModel:
+            return KMeans(
+                k=k, seed=s, initMode="k-means||", maxIter=max_iter, tol=move, featuresCol=column, predictionCol=output
             ).fit(vectors)
-            for s in range(seed, seed + restarts)
-        ]
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            fits = list(pool.map(fit, range(seed, seed + restarts)))
         best = min(fits, key=lambda m: m.summary.trainingCost)
         cost = float(best.summary.trainingCost)
     finally:

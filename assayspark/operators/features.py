@@ -59,7 +59,8 @@ def feature_job(
 
 
 def with_token_counts(df: DataFrame, structure: str = "structure") -> DataFrame:
-    return df.select("*", *[c.alias(n) for n, c in st.token_counts(F.col(structure)).items()])
+    made = df.withColumn("_counts", st.token_counts(F.col(structure)))
+    return made.select(*df.columns, "_counts.*")
 
 
 def with_hashed_bits(

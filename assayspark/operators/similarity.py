@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assayspark.functions.literals import numbers
 from assayspark.session import settle
 
-# Training sets per bit and chunk.
+# Sets per bit and chunk.
 CHUNK = 10_000
 
 
@@ -35,6 +35,20 @@ def _prefix(ordered: Column, threshold: float) -> Column:
     return F.slice(ordered, 1, size - F.ceil(size * threshold - 1e-9).cast("int") + 1)
 
 
+def _chunks(prefixes: DataFrame, n_bits: int, chunk: int) -> Column:
+    """Number of chunks of the row's bit; at most n_bits counts are read back."""
+    parts = [1] * n_bits
+    for bit, n in prefixes.groupBy("bit").count().collect():
+        parts[bit] = -(-n // chunk)
+    return F.get(numbers(parts, "int"), F.col("bit"))
+
+
+def _tasks(df: DataFrame) -> int:
+    """Comparing sets costs far more than moving them: small partitions must not be merged."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def nearest_neighbours(
     queries: DataFrame,
     training: DataFrame,
@@ -64,33 +78,42 @@ def nearest_neighbours(
     for bit, n in known.select(F.explode("_t").alias("b")).groupBy("b").count().collect():  # at most n_bits rows
         frequency[bit] = n
 
-    right = known.select(
-        _by_rarity(F.col("_t"), frequency).alias("t"), "neighbour"
-    ).withColumn("bit", F.explode(_prefix(F.col("t"), threshold)))
-    chunks = [1] * n_bits
-    for bit, n in right.groupBy("bit").count().collect():  # at most n_bits rows
-        chunks[bit] = -(-n // chunk)
-    parts = F.get(numbers(chunks, "int"), F.col("bit"))
-    right = right.withColumn("part", F.pmod(F.hash("t"), parts))
-
+    right = known.select(_by_rarity(F.col("_t"), frequency).alias("t"), "neighbour").select(
+        "t", "neighbour", F.posexplode(_prefix(F.col("t"), threshold)).alias("j", "bit")
+    )
     left = (
         asked.where(F.size("_q") > 0)
         .select("_q")
         .distinct()
         .withColumn("q", _by_rarity(F.col("_q"), frequency))
-        .withColumn("bit", F.explode(_prefix(F.col("q"), threshold)))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .select("_q", "q", F.posexplode(_prefix(F.col("q"), threshold)).alias("i", "bit"))
     )
 
-    a, b = F.size("q"), F.size("t")
-    common = F.array_intersect("q", "t")
+    # Both sides of a shared bit are cut into chunks, and every chunk meets every chunk of the other side.
+    left_parts, right_parts = _chunks(left, n_bits, chunk), _chunks(right, n_bits, chunk)
+    keys = ["bit", "left_part", "right_part"]
+    tasks = _tasks(queries)
+    left = left.withColumn("left_part", F.pmod(F.hash("q"), left_parts)).withColumn(
+        "right_part", F.explode(F.sequence(F.lit(0), right_parts - 1))
+    ).repartition(tasks, *keys)
+    right = right.withColumn("right_part", F.pmod(F.hash("t"), right_parts)).withColumn(
+        "left_part", F.explode(F.sequence(F.lit(0), left_parts - 1))
+    ).repartition(tasks, *keys)
+
+    a, b, i, j = F.size("q"), F.size("t"), F.col("i"), F.col("j")
+    # At its first common bit a pair can share at most this bit and what is left of the shorter rest.
+    most = F.least(a - i, b - j)
+    needed = (a + b) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)
+    seen_before = F.arrays_overlap(F.slice("q", 1, i), F.slice("t", 1, j))
+    similarity = tanimoto(F.size(F.array_intersect("q", "t")), a, b)
     best = (
-        left.join(right, ["bit", "part"])
-        .where((F.least(a, b) >= F.lit(threshold) * F.greatest(a, b) - F.lit(1e-9)) & (F.get(common, F.lit(0)) == F.col("bit")))
-        .select("_q", "neighbour", tanimoto(F.size(common), a, b).alias("similarity"))
+        left.join(right, keys)
+        .where((most >= needed) & ~seen_before)
+        .select("_q", "neighbour", similarity.alias("similarity"))
         .where(F.col("similarity") >= threshold)
         .groupBy("_q")
-        .agg(F.max("similarity").alias("similarity"), F.min_by("neighbour", F.struct(-F.col("similarity"), F.col("neighbour"))).alias("neighbour"))
+        .agg(F.min(F.struct((-F.col("similarity")).alias("away"), "neighbour")).alias("best"))
+        .select("_q", (-F.col("best.away")).alias("similarity"), "best.neighbour")
     )
     return asked.join(best, "_q", "left").select(
         "id", "neighbour", "similarity", F.col("similarity").isNotNull().alias("in_domain")

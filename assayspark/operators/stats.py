@@ -6,6 +6,8 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from assayspark.functions import activity as act
@@ -298,22 +300,25 @@ def strongest(correlations: DataFrame, n: int = 10) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long form (col_a, col_b, r) of the pairwise-complete Pearson matrix, both triangles and diagonal.
 
-    All pairs are aggregates of one pass; their number depends on the columns only.
+    A first pass finds the columns' ranges and gaps. Columns without gaps take one matrix product
+    over vectors; pairs with gaps are aggregates of one more pass. What comes back depends on the
+    number of columns only. Constant columns have null correlations.
     """
-    pairs = list(combinations(columns, 2))
-    x = {c: _number(df, c) for c in columns}
-    one = df.agg(
-        *[safe_corr(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.stddev_pop(x[c]) > 0, F.lit(1.0)).alias(f"d{i}") for i, c in enumerate(columns)],
-    )
-
-    def cell(a: str, b: str, r: str) -> Column:
-        return F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(r).alias("r"))
-
-    cells = [cell(c, c, f"d{i}") for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, f"r{i}"), cell(b, a, f"r{i}")]
-    return one.select(F.inline(F.array(*cells)))
+    n = df.count()
+    shapes = column_shapes(df, columns)
+    varied = [c for c in columns if shapes[c].n and shapes[c].lo < shapes[c].hi]
+    full = [c for c in varied if shapes[c].n == n]
+    r: dict[tuple[str, str], float | None] = {(c, c): 1.0 for c in varied}
+    if len(full) > 1:
+        vector = array_to_vector(F.array(*[F.col(c).cast("double") for c in full])).alias("v")
+        matrix = Correlation.corr(df.select(vector), "v").first()[0].toArray()
+        r |= {(a, b): float(matrix[i, j]) for i, a in enumerate(full) for j, b in enumerate(full) if i < j}
+    gaps = [(a, b) for a, b in combinations(varied, 2) if (a, b) not in r]
+    if gaps:
+        found = df.agg(*[safe_corr(_number(df, a), _number(df, b)) for a, b in gaps]).first()
+        r |= dict(zip(gaps, found))
+    cells = [(a, b, r.get((a, b), r.get((b, a)))) for a in columns for b in columns]
+    return df.sparkSession.createDataFrame(cells, "col_a string, col_b string, r double")
 
 
 def wide_matrix(long: DataFrame, columns: Sequence[str]) -> DataFrame:
