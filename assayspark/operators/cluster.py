@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -87,13 +88,20 @@ def kmeans(
     base = PipelineModel(stages)
     vectors = base.transform(df).select(column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        vectors.count()
+        # With few distinct vectors a start may find fewer than k centres, which only the row solver takes.
+        distinct = vectors.agg(F.approx_count_distinct(F.xxhash64(column))).first()[0]
         move = math.sqrt(tolerance / k)
 
         def fit(s: int) -> KMeansModel:
-            return KMeans(
+            made = KMeans(
                 k=k, seed=s, initMode="k-means||", maxIter=max_iter, tol=move, featuresCol=column, predictionCol=output
-            ).fit(vectors)
+            )
+            if distinct > 10 * k:
+                try:
+                    return made.fit(vectors)
+                except Py4JJavaError:
+                    pass
+            return made.setSolver("row").fit(vectors)
 
         with ThreadPoolExecutor(parallelism) as pool:
             fits = list(pool.map(fit, range(seed, seed + restarts)))
