@@ -135,15 +135,15 @@ def remove_duplicates(
 def duplicate_counts(df: DataFrame, order: str = "ord", key: Column | None = None, value: str = "p") -> DataFrame:
     """Rows left after each stage of `remove_duplicates`, in order, from distinct counts.
 
-    Each count is a distinct aggregate (partial, then by key), so no stage has to be run in full.
+    The distinct rows are written once; the later stages count over them, so none is run in full.
     """
+    exact = settle(drop_exact(df, ["molecule_id", "structure", value], order), "exact")
     by_id = (
-        df.where("molecule_id is not null")
+        exact.where("molecule_id is not null")
         .groupBy("molecule_id")
         .agg(F.expr(f"min_by(structure, `{order}`) filter (where structure is not null)").alias("structure"))
     )
     keyed = by_id.withColumn("_key", key if key is not None else st.structure_key(F.col("structure")))
-    exact = df.select("molecule_id", "structure", value).distinct()
     stages = [
         ("start", df.agg(F.count("*").alias("n"))),
         ("exact", exact.agg(F.count("*").alias("n"))),

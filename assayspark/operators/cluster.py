@@ -122,7 +122,7 @@ def group_centres(df: DataFrame, features: str, label: str) -> DataFrame:
     return df.groupBy(label).agg(Summarizer.mean(F.col(features)).alias("centre"))
 
 
-def assign_centres(df: DataFrame, features: str, centres: DataFrame, label: str, largest: int = 10_000_000) -> DataFrame:
+def assign_centres(df: DataFrame, features: str, centres: DataFrame, label: str, largest: int = 1_000_000) -> DataFrame:
     """Add `nearest` (ties to the smaller label) and `distance` for a small table of centres.
 
     The centres travel as one literal, after a check that labels times width stay within `largest`.

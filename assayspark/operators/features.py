@@ -17,14 +17,20 @@ Registry = dict[str, tuple[Callable[[str], object], str]]
 _TYPES = {"double": DoubleType(), "int": IntegerType(), "bigint": LongType(), "string": StringType()}
 
 
-def choose_features(registry: Registry, features: Sequence[str] | None) -> Registry:
-    """The asked part of the registry, in the asked order; an unknown name raises."""
+def choose_features(
+    registry: Registry, features: Sequence[str] | None, categories: dict[str, Sequence[str]] | None = None
+) -> Registry:
+    """The asked part of the registry, in the asked order; an unknown name raises.
+
+    A name of `categories` stands for the features it lists.
+    """
     if features is None:
         return registry
-    unknown = [f for f in features if f not in registry]
+    named = [f for name in features for f in (categories or {}).get(name, [name])]
+    unknown = [f for f in named if f not in registry]
     if unknown:
         raise ValueError(f"unknown features: {', '.join(unknown)}; there are: {', '.join(registry)}")
-    return {f: registry[f] for f in features}
+    return {f: registry[f] for f in named}
 
 
 def feature_job(
@@ -33,13 +39,14 @@ def feature_job(
     registry: Registry,
     features: Sequence[str] | None = None,
     keep_invalid: bool = False,
+    categories: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Add one column per registered function of `column`, computed in Arrow batches.
 
     `registry` maps a name to (function, type). A failure in a row nulls all its features, and rows
     with a null anywhere are dropped unless `keep_invalid`. Only `column` travels to Python.
     """
-    chosen = choose_features(registry, features)
+    chosen = choose_features(registry, features, categories)
     functions = [(name, fn) for name, (fn, _) in chosen.items()]
     schema = StructType([StructField(name, _TYPES[kind]) for name, (_, kind) in chosen.items()])
 

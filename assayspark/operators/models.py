@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from assayspark.functions.activity import in_half_open_range
 from assayspark.functions.structure import text_hash
 from assayspark.operators import groups, stats
-from assayspark.session import spread
+from assayspark.session import settle, spread
 
 SEED = 42
 
@@ -80,7 +80,7 @@ def build_model(
     """One model of the whole table: (model, metrics on the held-out rows, actual and predicted)."""
     settings = settings or (FOREST if kind == "rf" else BOOSTED_GLOBAL)
     rows = with_split(df.select(key, target, features), key)
-    train = spread(rows.where("not is_test").select(target, features)).persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(settle(rows.where("not is_test").select(target, features), "train")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator(kind, settings, features, target, seed).fit(train)
     finally:
@@ -131,7 +131,7 @@ def model_per_cluster(
     held-out metrics of all clusters come from one grouped aggregate.
     """
     settings = settings or (FOREST if kind == "rf" else BOOSTED_PART)
-    rows = spread(with_split(df.select(key, cluster, target, features), key)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(settle(with_split(df.select(key, cluster, target, features), key), "train")).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = stats.eligible_groups(rows, cluster, smallest).orderBy(cluster).collect()  # one row per cluster
 
     def fit(c: int) -> PipelineModel:
@@ -216,7 +216,7 @@ def build_subcluster_model(
     """
     settings = settings or {"rf": FOREST, "gbt": BOOSTED_PART}
     chosen = df.where((F.col(subcluster) == subcluster_id) & in_half_open_range(F.col(target), low, high))
-    rows = spread(with_split(chosen.select(key, target, features), key, folds)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(settle(with_split(chosen.select(key, target, features), key, folds), "train")).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = rows.where("not is_test"), rows.where("is_test")
 
     def score(name: str, model: PipelineModel) -> DataFrame:

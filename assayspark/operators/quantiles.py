@@ -33,9 +33,10 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def hot_groups(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
     """Keys of the groups with more than `limit` rows, or None when there are none (one counting job)."""
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).drop("_rows")
-    hot = settle(hot, "hot") if keys else hot
-    return None if hot.isEmpty() else hot
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= limit:
+        return None
+    return sizes.where(F.col("_rows") > limit).drop("_rows")
 
 
 def group_quantiles(

@@ -126,7 +126,7 @@ def histogram_edges(df: DataFrame, value: str, edges: Sequence[float] = ACTIVITY
 
 
 def column_shapes(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
-    """Range, number and deviation of each column, from one pass.
+    """Range, number, mean and deviation of each column, and the number of rows, from one pass.
 
     One short row per column is read back: it lays out the bins or the grid.
     """
@@ -135,7 +135,12 @@ def column_shapes(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
         x = _number(df, c)
         shapes.append(
             F.struct(
-                F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("std")
+                F.min(x).alias("lo"),
+                F.max(x).alias("hi"),
+                F.count(x).alias("n"),
+                F.count("*").alias("rows"),
+                F.avg(x).alias("mean"),
+                F.stddev_samp(x).alias("std"),
             ).alias(f"s{i}")
         )
     return dict(zip(columns, df.agg(*shapes).first()))
@@ -297,22 +302,30 @@ def strongest(correlations: DataFrame, n: int = 10) -> DataFrame:
     return correlations.orderBy(F.col("abs_r").desc_nulls_last(), "property").limit(n)
 
 
+# Columns up to which a product per pair in one aggregate beats a matrix product over vectors.
+_PAIRWISE_COLUMNS = 16
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long form (col_a, col_b, r) of the pairwise-complete Pearson matrix, both triangles and diagonal.
 
-    A first pass finds the columns' ranges and gaps. Columns without gaps take one matrix product
-    over vectors; pairs with gaps are aggregates of one more pass. What comes back depends on the
-    number of columns only. Constant columns have null correlations.
+    A first pass finds ranges, means and gaps. One more pass takes the centred products of columns
+    without gaps (as vectors where the columns are many), and one the pairs with gaps, if any. What
+    comes back depends on the number of columns only. Constant columns have null correlations.
     """
-    n = df.count()
     shapes = column_shapes(df, columns)
     varied = [c for c in columns if shapes[c].n and shapes[c].lo < shapes[c].hi]
-    full = [c for c in varied if shapes[c].n == n]
+    full = [c for c in varied if shapes[c].n == shapes[c].rows]
     r: dict[tuple[str, str], float | None] = {(c, c): 1.0 for c in varied}
-    if len(full) > 1:
+    pairs = list(combinations(full, 2))
+    if pairs and len(full) <= _PAIRWISE_COLUMNS:
+        away = {c: F.col(c).cast("double") - F.lit(shapes[c].mean) for c in full}
+        sums = df.agg(*[F.sum(away[a] * away[b]) for a, b in pairs]).first()
+        r |= {(a, b): s / ((shapes[a].rows - 1) * shapes[a]["std"] * shapes[b]["std"]) for (a, b), s in zip(pairs, sums)}
+    elif pairs:
         vector = array_to_vector(F.array(*[F.col(c).cast("double") for c in full])).alias("v")
         matrix = Correlation.corr(df.select(vector), "v").first()[0].toArray()
-        r |= {(a, b): float(matrix[i, j]) for i, a in enumerate(full) for j, b in enumerate(full) if i < j}
+        r |= {(a, b): float(matrix[full.index(a), full.index(b)]) for a, b in pairs}
     gaps = [(a, b) for a, b in combinations(varied, 2) if (a, b) not in r]
     if gaps:
         found = df.agg(*[safe_corr(_number(df, a), _number(df, b)) for a, b in gaps]).first()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from assayspark.functions import activity as act
-from assayspark.operators import clean, stats
+from assayspark.operators import clean, groups, stats
+from assayspark.session import settle
 
 # The names a table may use for the roles of the rule check and of the summary.
 RULE_NAMES = (
@@ -22,6 +23,8 @@ LABEL_COLUMNS = ("molecule_id", "structure", "p", "cluster", "subcluster", "viol
 
 
 def activity_report(df: DataFrame, value: str = "p", bins: int = 20) -> dict[str, DataFrame]:
+    """Statistics, histogram, density and classes of one column, which is written once and read by all."""
+    df = settle(df.select(value), "report")
     return {
         "stats": stats.global_stats(df, value),
         "histogram": stats.histogram_equal(df, value, bins),
@@ -49,6 +52,7 @@ def property_report(
     Without a full set of rule columns the rule check is left out.
     """
     properties = clean.numeric_columns(df, exclude, first)
+    df = settle(df, "report")
     shapes = stats.column_shapes(df, properties)
     parts = {f"histogram:{p}": t for p, t in stats.histograms_auto(df, properties, shapes).items()}
     parts |= {f"density:{p}": stats.density(df, p, shape=shapes[p]) for p in properties}
@@ -92,17 +96,23 @@ def property_activity_report(
     if len(numeric) < 5:
         return None
     chosen = list(properties or numeric)
+    df = settle(df.select(*dict.fromkeys([*key, *chosen, *numeric, value])), "report")
     found = stats.correlation_with(df, list(dict.fromkeys([*chosen, *numeric])), value)
     rows = found.collect()
     correlations = df.sparkSession.createDataFrame([r for r in rows if r.property in chosen], found.schema)
     ranked = [r.property for r in rows if r.property in chosen]
     overall = [r.property for r in rows if r.property in numeric][:10]
+    full = stats.correlation_matrix(df, [*numeric, value])
+
+    def among(columns: Sequence[str]) -> DataFrame:
+        return full.where(F.col("col_a").isin(list(columns)) & F.col("col_b").isin(list(columns)))
+
     return {
         "correlations": correlations,
         "trends": stats.trend_lines(df, ranked[:6], value),
-        "matrix": stats.correlation_matrix(df, [*numeric[:matrix_columns], value]),
-        "focus_matrix": stats.correlation_matrix(df, [*overall, value]),
-        "full_matrix": stats.correlation_matrix(df, [*numeric, value]),
+        "matrix": among([*numeric[:matrix_columns], value]),
+        "focus_matrix": among([*overall, value]),
+        "full_matrix": full,
         "lines": correlations.select(F.format_string("%s: r = %.3f", "property", "r").alias("line")),
         "pairs": stats.pair_panel(df, key, [*ranked[:3], value]),
     }
@@ -116,6 +126,7 @@ def cluster_report(
     All clusters are handled by one grouping on (cluster, subcluster), not one job each.
     """
     clean.require_columns(df, [cluster])
+    df = settle(df.select(*[c for c in (cluster, subcluster, value) if c in df.columns]), "report")
     parts = {
         "sizes": stats.group_sizes(df, cluster),
         "stats": stats.group_stats(df, [cluster], value),
@@ -131,8 +142,6 @@ def cluster_report(
 
 
 def key_report(df: DataFrame, subcluster: str, key: str, overall: int = 10, per_group: int = 5) -> dict[str, DataFrame]:
-    from assayspark.operators import groups
-
     return {
         "overall": groups.frequent_keys(df, key, overall),
         "per_subcluster": groups.frequent_keys_per_group(df, subcluster, key, per_group),
@@ -140,8 +149,6 @@ def key_report(df: DataFrame, subcluster: str, key: str, overall: int = 10, per_
 
 
 def top_report(df: DataFrame, subcluster: str, value: str, ties: Sequence[str], n: int = 20) -> dict[str, DataFrame]:
-    from assayspark.operators import groups
-
     return {
         "overall": groups.top_n(df, value, n, ties),
         "per_subcluster": groups.top_n_per_group(df, [subcluster], value, n, ties),

@@ -62,7 +62,10 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows for repeated passes: over all cores where the source has fewer partitions than those."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(settled: DataFrame) -> DataFrame:
+    """Rows for repeated passes: over all cores where a settled table has fewer partitions than those.
+
+    Only for settled tables: their partitions are known without running anything.
+    """
+    cores = settled.sparkSession.sparkContext.defaultParallelism
+    return settled.repartition(cores) if settled.rdd.getNumPartitions() < cores else settled

@@ -32,6 +32,11 @@ def fresh_rows(table: DataFrame, fetched_at: str, as_of: Column, days: int = 30)
     )
 
 
+def age_in_days(fetched_at: Column, as_of: Column) -> Column:
+    """Age of a snapshot in days, with its fraction."""
+    return (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(fetched_at.cast("timestamp"))) / F.lit(86_400e6)
+
+
 def latest_snapshot(
     table: DataFrame, keys: list[str], fetched_at: str, as_of: Column, days: int = 30
 ) -> DataFrame:

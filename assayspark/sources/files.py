@@ -89,6 +89,11 @@ def run_inventory(files: DataFrame, run_pattern: str, kinds: dict[str, str]) ->
     )
 
 
+def run_id_of(day: Column) -> Column:
+    """The run of a day, as YYYYMMDD."""
+    return F.date_format(day, "yyyyMMdd")
+
+
 def write_run(df: DataFrame, path: str, run_id: str) -> None:
     """Write one run into a table partitioned by run; other runs stay.
 

@@ -24,7 +24,7 @@ SMALL_GRID = {
 def property_rows(spark, sf):
     """The property table as vectors, keyed by a hash of the whole row."""
     rows = props(spark, sf)
-    key = F.md5(F.to_json(F.struct(*table(spark, sf, "lineitem").columns))).alias("id")
+    key = F.xxhash64(*table(spark, sf, "lineitem").columns).alias("id")
     x = F.array("molwt", "mollogp", "hbd", "hba", "tpsa")
     return rows.select(key, "pic50", "cluster", "subcluster", features.dense_vector(x).alias("features"))
 

@@ -185,9 +185,23 @@ def _checked(spark, sf):
     )
 
 
-@query("rejected_summary")
+@query(
+    "rejected_summary",
+    """with bad as (select standard_value as v, case when standard_value is null then 'no value'
+        when try_cast(standard_value as double) is null then 'not a number' else 'out of range' end as error
+      from activity_raw where try_cast(standard_value as double) is null
+        or not (try_cast(standard_value as double) > 0 and try_cast(standard_value as double) < 1e7)),
+    top as (select coalesce(v, '') as v, error from bad order by v, error limit 5)
+    select (select count(*) from bad) as errors, (select count(*) from bad) - 5 as more,
+      string_agg(concat(v, ': ', error), '; ' order by v, error) as first from top""",
+    "activity_raw",
+)
 def rejected_summary(spark, sf):
-    return clean.error_summary(_checked(spark, sf), "standard_value")
+    rows = _checked(spark, sf).withColumn("standard_value", F.coalesce("standard_value", F.lit("")))
+    row = clean.error_summary(rows, "standard_value")
+    return row.select(
+        "errors", "more", F.expr("array_join(transform(first_errors, e -> concat(e.value, ': ', e.error)), '; ')").alias("first")
+    )
 
 
 @query(
@@ -419,6 +433,21 @@ def file_inventory(spark, sf):
     )
 
 
+@query(
+    "run_ages",
+    f"""select strftime(fetched_at, '%Y%m%d') as run_id, count(*) as n,
+    {q6("min((epoch_us(" + AS_OF + ") - epoch_us(fetched_at)) / 86400e6)")} as age_days from activity_raw group by 1""",
+    "activity_raw",
+)
+def run_ages(spark, sf):
+    age = extract.age_in_days(F.col("fetched_at"), F.expr(AS_OF))
+    return (
+        activity_raw(spark, sf)
+        .groupBy(files.run_id_of(F.col("fetched_at")).alias("run_id"))
+        .agg(F.count("*").alias("n"), r6(F.min(age)).alias("age_days"))
+    )
+
+
 @query("preview", "select * from orders order by o_orderkey limit 5")
 def preview(spark, sf):
     return extract.first_records(table(spark, sf, "orders"), "o_orderkey", 5)

@@ -50,7 +50,13 @@ def hashed_bits(spark, sf):
     return rows.select("id", F.explode("bits").alias("bit"))
 
 
-@query("hashed_bits_documents")
+@query(
+    "hashed_bits_documents",
+    """with c as (select doc_id, regexp_extract_all(text, '(?s).') as c from documents),
+    b as (select doc_id, list_distinct(list_transform(list_distinct(list_transform(range(1, len(c) - 2),
+      lambda i: array_to_string(list_slice(c, i, i + 3), ''))), lambda g: ('0x' || substr(md5(g), 1, 8))::bigint % 512)) as b from c)
+    select doc_id, cast(len(b) as int) as on_bits from b where len(b) > 0""",
+)
 def hashed_bits_documents(spark, sf):
     """On-bits of whole texts, 512 positions."""
     rows = features.with_hashed_bits(table(spark, sf, "documents").select("doc_id", "text"), "text", n_bits=512)
