@@ -104,11 +104,13 @@ VIEWS = {
 
 def oracle(sql: str, *views: str) -> str:
     """SQL with the named views in front of it."""
+    if not views:
+        return sql
     ctes = [f"{v} as ({VIEWS[v]})" for v in views]
     sql = sql.strip()
     if sql.startswith("with "):
         return "with " + ", ".join(ctes) + ", " + sql[5:]
-    return "with " + ", ".join(ctes) + " " + sql if ctes else sql
+    return "with " + ", ".join(ctes) + " " + sql
 
 
 def query(name: str, sql: str | None = None, *views: str) -> Callable:
