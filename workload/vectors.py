@@ -52,10 +52,12 @@ def hashed_bits(spark, sf):
 
 @query(
     "hashed_bits_documents",
-    """with c as (select doc_id, regexp_extract_all(text, '(?s).') as c from documents),
-    b as (select doc_id, list_distinct(list_transform(list_distinct(list_transform(range(1, len(c) - 2),
-      lambda i: array_to_string(list_slice(c, i, i + 3), ''))), lambda g: ('0x' || substr(md5(g), 1, 8))::bigint % 512)) as b from c)
-    select doc_id, cast(len(b) as int) as on_bits from b where len(b) > 0""",
+    """with chars as (select doc_id, unnest(regexp_extract_all(text, '(?s).')) as ch,
+      unnest(range(length(text))) as i from documents),
+    pieces as (select doc_id, ch || lead(ch, 1) over w || lead(ch, 2) over w || lead(ch, 3) over w as g from chars
+      window w as (partition by doc_id order by i))
+    select doc_id, cast(count(distinct ('0x' || substr(md5(g), 1, 8))::bigint % 512) as int) as on_bits
+    from pieces where g is not null group by doc_id""",
 )
 def hashed_bits_documents(spark, sf):
     """On-bits of whole texts, 512 positions."""
