@@ -3,8 +3,8 @@
 Equal fingerprints are collapsed first. Two sets can only reach similarity t if they share a bit
 among the first a - ceil(t a) + 1 of their a bits in a common order; with the rarest bits first,
 few sets share one. A bit that many training sets share is split into chunks of bounded size. Each
-candidate pair is met once, at its first common bit, and reduced to the best neighbour per query
-within the task, so pairs are never written or shuffled.
+candidate pair is met once, at its first common bit, and the pairs that reach the threshold are reduced
+to the best neighbour per query within the task, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -72,7 +72,9 @@ def nearest_neighbours(
         .agg(F.min(training_id).alias("neighbour")),
         "training",
     )
-    asked = queries.select(F.col(query_id).alias("id"), F.sort_array(F.array_distinct(bits)).alias("_q"))
+    asked = settle(
+        queries.select(F.col(query_id).alias("id"), F.sort_array(F.array_distinct(bits)).alias("_q")), "queries"
+    )
 
     frequency = [0] * n_bits
     for bit, n in known.select(F.explode("_t").alias("b")).groupBy("b").count().collect():  # at most n_bits rows

@@ -17,6 +17,9 @@ _SETTINGS = {
 }
 
 
+_SETTLED: list[str] = []
+
+
 def session(app: str = "assayspark", master: str | None = None, **settings: str) -> SparkSession:
     """A session with runtime re-planning, skew splitting and UTC time; `settings` win over defaults."""
     builder = SparkSession.builder.appName(app)
@@ -59,9 +62,20 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _SETTLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget_settled(spark: SparkSession) -> int:
+    """Remove the tables this session settled; results that still read them must be computed before."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SETTLED:
+        path = jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
+
+
 def spread(settled: DataFrame) -> DataFrame:
     """Rows for repeated passes: over all cores where a settled table has fewer partitions than those.
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from assayspark.session import new_path, settle, shared_folder
+from assayspark.session import forget_settled, new_path, settle, shared_folder
 from assayspark.sources import extract, files
 
 
@@ -63,3 +63,13 @@ def test_settled_tables_are_in_the_shared_folder(spark):
     df = settle(spark.range(3).withColumn("x", F.array(F.lit(1))))
     assert shared_folder(spark) in df.inputFiles()[0] and df.count() == 3
     assert settle(spark.createDataFrame([], "a int")).count() == 0
+    kept = new_path(spark, "kept")
+    spark.range(2).write.parquet(kept)
+    assert forget_settled(spark) >= 2 and forget_settled(spark) == 0
+    assert spark.read.parquet(kept).count() == 2
+
+
+def test_run_ids_and_ages(spark):
+    df = spark.sql("select timestamp '2024-03-05 12:00:00' as t")
+    row = df.select(files.run_id_of(F.col("t")).alias("r"), extract.age_in_days(F.col("t"), F.expr("timestamp '2024-03-07 00:00:00'")).alias("a")).first()
+    assert row.r == "20240305" and row.a == 1.5

@@ -69,6 +69,7 @@ def test_feature_job(spark):
     assert [(r.id, r.half, r.n) for r in got.orderBy("id").collect()] == [(1, 6.0, 12), (4, 2.5, 5)]
     kept = ft.feature_job(df, "s", registry, keep_invalid=True).collect()
     assert len(kept) == 4 and all(r.n is None for r in kept)
+    assert ft.feature_job(df, "s", registry, ["numbers"], categories={"numbers": ["n", "half"]}).columns == ["id", "s", "n", "half"]
     with pytest.raises(ValueError, match="nope"):
         ft.feature_job(df, "s", registry, ["nope"])
     with pytest.raises(ValueError, match="circular"):
