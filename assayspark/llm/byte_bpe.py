@@ -15,6 +15,7 @@ import base64
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from assayspark.llm.words import slices
+
 CACHED = 200_000  # pre-tokens that a task remembers before it starts anew: a bound on memory, not on results
 
 
@@ -74,6 +77,14 @@ def load(rank_file: str, pattern: str) -> Vocabulary:
     return Vocabulary(pattern, tokens, serialise(tokens))
 
 
+def spread(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of one item after the other, and where each item ends."""
+    size = sizes[items]
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[items] - ends + size, size)
+    return values[at], ends
+
+
 class Coder:
     """Encodes and decodes inside a task."""
 
@@ -87,43 +98,45 @@ class Coder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids: list[list[int]] = []
+        self.known: dict[str, int] = {}  # pre-token -> its number
+        self.counts = np.zeros(0, np.int64)  # by number: how many ids
+        self.ids = np.zeros(0, np.int32)  # all ids, by number
 
-    def _learn(self, found: set[str]) -> None:
-        new = [t for t in found if t not in self.known]
+    def _learn(self, new: list[str]) -> None:
+        """Encode pre-tokens that are new, in one call; a space, which no piece holds, keeps them apart."""
         raw = [t.encode() for t in new]
+        letters = np.frombuffer(b"\x00".join(raw), np.uint8).astype("<u2") + 256
+        letters[np.cumsum([len(t) + 1 for t in raw])[:-1] - 1] = 32
+        pieces = letters.tobytes().decode("utf-16-le").split(" ")
         apart = [k for k, t in enumerate(raw) if t not in self.whole]
-        merged = dict(zip(apart, self.model.encode([letters(raw[k]) for k in apart], out_type=int, num_threads=1)))
-        for k, t in enumerate(new):
-            self.known[t] = len(self.ids)
-            self.ids.append(merged[k] if k in merged else [self.whole[raw[k]]])
+        made = [[self.whole.get(t)] for t in raw]
+        for k, ids in zip(apart, self.model.encode([pieces[k] for k in apart], out_type=int, num_threads=1)):
+            made[k] = ids
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.counts = np.append(self.counts, np.fromiter(map(len, made), np.int64, len(made)))
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(made), np.int32))
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
         """The ids of each text."""
-        lengths, parts = [], []
-        for text in texts:
-            found = self.split(text or "")
-            if len(self.known) > CACHED:
-                self._forget()
-            new = set(found).difference(self.known)
-            if new:
-                self._learn(new)
-            ids = [i for t in map(self.known.__getitem__, found) for i in self.ids[t]]
-            lengths.append(len(ids))
-            parts.append(np.array(ids, np.int32))
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+        found = [self.split(t or "") for t in texts]
+        new = set(chain.from_iterable(found)).difference(self.known)
+        if len(self.known) + len(new) > CACHED:
+            self._forget()
+            new = set(chain.from_iterable(found))
+        if new:
+            self._learn(list(new))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+        values, ends = spread(self.ids, np.cumsum(self.counts) - self.counts, self.counts, number)
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
     def decode(self, column: pa.ListArray) -> pa.Array:
         """The bytes of each list of ids; null lists decode to null."""
         ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         counts = np.array([0 if x is None else x for x in column.value_lengths().to_pylist()], np.int64)
-        sizes = self.lengths[ids]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - self.begins[ids], sizes)
+        data, ends = spread(self.joined, self.begins, self.lengths, ids)
         cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        data = self.joined[at]
         valid = column.is_valid().to_pylist()
         return pa.array([data[a:b].tobytes() if ok else None for a, b, ok in zip(cuts[:-1], cuts[1:], valid)], pa.binary())
 
@@ -136,7 +149,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = Coder(shared.value)
         for column in batches:
-            yield coder.encode(column.to_pylist())
+            parts = [coder.encode(column[s:e].to_pylist()) for s, e in slices(column, 1 << 20)]
+            yield pa.concat_arrays(parts or [coder.encode([])])
 
     return docs.withColumn(into, ids(F.col(text)))
 

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from assayspark.llm.words import SPACES, bytes_of, slices
 from assayspark.session import settle
@@ -91,7 +92,10 @@ def fingerprints(data: np.ndarray, offs: np.ndarray, chunk: int = CHUNK) -> np.n
     return out
 
 
-@F.arrow_udf("fp long, n_bytes long, sha binary")
+DIGEST = StructType([StructField("fp", LongType()), StructField("n_bytes", LongType()), StructField("sha", BinaryType())])
+
+
+@F.arrow_udf(DIGEST)
 def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Fingerprint, length and SHA-256 of normalised texts."""
     for column in batches:
