@@ -112,9 +112,19 @@ def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
-def collisions(rows: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The (fp, n_bytes) groups whose texts are not all the same. rows: fp, n_bytes, text; groups: those of two rows or more."""
-    suspects = rows.join(groups, ["fp", "n_bytes"], "left_semi")
+def collisions(rows: DataFrame, groups: DataFrame, total: int, chunk: int = CHUNK, parts: int = 64) -> DataFrame:
+    """The (fp, n_bytes) groups whose texts are not all the same. rows: fp, n_bytes, text; groups: those of two rows or more, with their `count`.
+
+    Groups of over a thousandth of all rows, which are under a thousand, are broadcast; their rows are dealt over `parts`.
+    """
+    key = ["fp", "n_bytes"]
+    hot = groups.where(F.col("count") * 1000 > total).select(*key, F.lit(True).alias("hot"))
+    part = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(0)
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("part", part)
+    wanted = groups.join(F.broadcast(hot), key, "left").select(
+        *key, F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))).cast("long").alias("part")
+    )
+    suspects = dealt.join(wanted, [*key, "part"], "left_semi")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,9 +153,9 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """
     read = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("d"))
     rows = settle(read.select("doc_id", "d.*", F.monotonically_increasing_id().alias("row")), "fingerprints")
-    groups = rows.groupBy("fp", "n_bytes").count().where("count > 1").select("fp", "n_bytes")
+    groups = rows.groupBy("fp", "n_bytes").count().where("count > 1")
     texts = docs.select(F.col(text).alias("text"), digest(F.col(text)).alias("d")).select("d.fp", "d.n_bytes", "text")
-    bad = collisions(texts, groups).withColumn("collides", F.lit(True))
+    bad = collisions(texts, groups, rows.count()).withColumn("collides", F.lit(True))
     rows = rows.join(bad, ["fp", "n_bytes"], "left").withColumn("part", F.when(F.col("collides"), F.col("sha"))).drop("collides")
     rows = rows.withColumn("key", F.xxhash64(F.coalesce("part", F.lit(b""))))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, exact_dedup, quality_rules
+from assayspark.llm import byte_bpe, exact_dedup, near_dedup, quality_rules, source_mix
 from assayspark.llm.common import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -58,3 +58,58 @@ def coded(docs: DataFrame) -> DataFrame:
 @query("op10_sentencepiece_bpe")
 def sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded(table(spark, sf_dir, "documents"))
+
+
+@query("op7_probminhash")
+def probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).drop("key")
+
+
+# The production mixture: sites in four domains by the number in their name, languages by need.
+MIX = source_mix.Plan(share=0.8, epochs=2, seed="mix", weights={"domain": {"site0": 2}, "language": {"en": 4, "fr": 2, "de": 2}})
+
+
+def mix_columns() -> tuple:
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), r"(\d+)", 1)
+    domain = F.when(number == "", "none").otherwise(F.concat(F.lit("site"), (number.cast("long") % 4).cast("string")))
+    return domain, F.col("lang"), F.col("source"), F.col("doc_id"), F.col("text")
+
+
+def _poured(nodes: str, names: str, above: str) -> str:
+    over = f"partition by {above}" if above else ""
+    ranked = f"{over} order by case when weight > 0 then cap / weight end nulls last, {names}"
+    return f"""(select * exclude (used, left_weight, is_full), case when is_full then cap when open_weight > 0
+        then (budget - spent) * weight / open_weight else 0 end as given from (
+      select *, sum(case when is_full then 0e0 else weight end) over ({over}) as open_weight,
+        sum(case when is_full then cap else 0e0 end) over ({over}) as spent from (
+        select *, weight > 0 and cap * left_weight <= (budget - used) * weight as is_full from (
+          select *, coalesce(sum(cap) over ({ranked} rows between unbounded preceding and 1 preceding), 0e0) as used,
+            sum(weight) over ({ranked} rows between current row and unbounded following) as left_weight from {nodes}))))"""
+
+
+MIX_SQL = f"""with d as (select doc_id, case when regexp_extract(coalesce(source, ''), '(\\d+)', 1) = '' then 'none'
+      else 'site' || (regexp_extract(source, '(\\d+)', 1)::bigint % 4) end as domain, lang as language, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as n_tokens from documents),
+  leaf as (select domain, language, source, sum(n_tokens)::bigint as tokens from d group by all),
+  n1 as (select domain, sum(tokens * 2)::double as cap, case domain when 'site0' then 2e0 else 1e0 end as weight,
+    (select floor(sum(tokens) * 0.8e0)::double from leaf) as budget from leaf group by domain),
+  g1 as {_poured('n1', 'domain', '')},
+  n2 as (select leaf.domain, language, sum(tokens * 2)::double as cap,
+    case language when 'en' then 4e0 when 'fr' then 2e0 when 'de' then 2e0 else 1e0 end as weight, any_value(g1.given) as budget
+    from leaf join g1 on leaf.domain is not distinct from g1.domain group by leaf.domain, language),
+  g2 as {_poured('n2', 'domain, language', 'domain')},
+  n3 as (select leaf.*, (tokens * 2)::double as cap, 1e0 as weight, g2.given as budget from leaf join g2
+    on leaf.domain is not distinct from g2.domain and leaf.language is not distinct from g2.language),
+  g3 as (select *, floor(given)::bigint as target from {_poured('n3', 'domain, language, source', 'domain, language')}),
+  e as (select *, case when tokens > 0 then target // tokens else 0 end as whole from g3),
+  p as (select d.*, e.target, e.whole, e.target - e.whole * e.tokens as rest,
+      md5('mix:' || e.whole || ':' || coalesce(d.doc_id::varchar, '')) as place
+    from d join e on d.domain is not distinct from e.domain and d.language is not distinct from e.language and d.source is not distinct from e.source)
+  select doc_id, domain, language, source, n_tokens, target as target_tokens, (whole + case when rest > 0
+    and sum(n_tokens) over (partition by domain, language, source order by place range unbounded preceding) <= rest then 1 else 0 end)::bigint as copies
+  from p"""
+
+
+@query("op6_hierarchical_mix", MIX_SQL)
+def hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.decide(table(spark, sf_dir, "documents"), *mix_columns(), plan=MIX)

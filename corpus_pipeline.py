@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayspark.llm import exact_dedup, queries, quality_rules
+from assayspark.llm import exact_dedup, near_dedup, queries, quality_rules, source_mix
 from assayspark.session import settle
 
 
@@ -20,6 +20,14 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return source_mix.mixed(docs, *queries.mix_columns(), plan=queries.MIX)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.coded(docs)
 
@@ -27,6 +35,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("source_mix", mix),
     ("byte_bpe", encode),
 ]
 
