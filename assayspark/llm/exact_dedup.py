@@ -119,10 +119,10 @@ def collisions(rows: DataFrame, groups: DataFrame, total: int, chunk: int = CHUN
     """
     key = ["fp", "n_bytes"]
     hot = groups.where(F.col("count") * 1000 > total).select(*key, F.lit(True).alias("hot"))
-    part = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(0)
+    part = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(parts).cast("long"))).otherwise(F.lit(0).cast("long"))
     dealt = rows.join(F.broadcast(hot), key, "left").withColumn("part", part)
     wanted = groups.join(F.broadcast(hot), key, "left").select(
-        *key, F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))).cast("long").alias("part")
+        *key, F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))).alias("part")
     )
     suspects = dealt.join(wanted, [*key, "part"], "left_semi")
 
