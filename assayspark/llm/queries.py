@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, exact_dedup, near_dedup, quality_rules, source_mix
-from assayspark.llm.common import ORACLES, QUERIES, query, table
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, near_dedup, quality_rules, source_mix
+from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -113,3 +113,13 @@ MIX_SQL = f"""with d as (select doc_id, case when regexp_extract(coalesce(source
 @query("op6_hierarchical_mix", MIX_SQL)
 def hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.decide(table(spark, sf_dir, "documents"), *mix_columns(), plan=MIX)
+
+
+@query("op1_compression_classifier")
+def compression_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    scored = compression_classifier.score(docs, compression_classifier.fit(docs, labels))
+    return scored.select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
