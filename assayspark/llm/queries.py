@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, near_dedup, quality_rules, source_mix
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, near_dedup, quality_rules, source_mix, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
+from assayspark.session import new_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -123,3 +124,28 @@ def compression_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query(
+    "op3_warc",
+    """with p as (select page_id, encode(coalesce(html, '')) as b, sha1(encode(coalesce(html, ''))) as h from pages),
+    g as (select *, max(page_id) over (partition by b) as first from p)
+    select page_id, octet_length(b)::bigint as payload_bytes, list_aggregate(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          1 + ((('0x' || substr(h, 1 + 5 * (i // 4)::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31), 1)), 'string_agg', '') as payload_digest,
+      case when first > page_id then 'revisit' else 'response' end as record_type, case when first > page_id then first end as refers_to
+    from g""",
+)
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses are judged by the payload read back, revisits by their headers."""
+    path = new_path(spark, "warc")
+    warc.write(warc.records_of(table(spark, sf_dir, "pages")), path)
+    rows = warc.read(spark, path)
+    response = F.col("record_type") == "response"
+    return rows.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        F.when(response, F.length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(response, warc.base32_sha1(F.col("payload"))).otherwise(F.regexp_replace("payload_digest", "^sha1:", "")).alias("payload_digest"),
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
