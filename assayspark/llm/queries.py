@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, near_dedup, quality_rules, source_mix, warc
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, near_dedup, perspectives, quality_rules, source_mix, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 from assayspark.session import new_path
 
@@ -149,3 +149,23 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         warc.page_number(F.col("refers_to")).alias("refers_to"),
     )
+
+
+@query(
+    "op5_perspectives",
+    """with m as (select distinct conv_id, turn, role, coalesce(text, '') as text, floor(turn / 64)::bigint as example from conversations),
+    s as (select distinct conv_id, role as speaker from conversations where role <> 'system'),
+    r as (select m.*, s.speaker, role is not distinct from speaker as mine, replace(text, '<|im_', '< |im_') as safe,
+        case when role is not distinct from speaker then '<|im_start|>assistant' || chr(10) when role = 'system' then '<|im_start|>system' || chr(10)
+          else '<|im_start|>user name=' || regexp_replace(replace(coalesce(role, 'unknown'), '<|im_', '< |im_'), '\\s+', '_', 'g') || chr(10) end as head
+      from m join s on m.conv_id is not distinct from s.conv_id),
+    o as (select *, sum(length(head) + length(safe) + 11) over (partition by conv_id, speaker, example order by turn, role, text
+        rows unbounded preceding) - length(safe) - 11 as start from r)
+    select conv_id, speaker, example, 0::bigint as part, count(*)::int as n_messages, count(*) filter (mine)::int as n_trained,
+      string_agg(head || safe || '<|im_end|>' || chr(10), '' order by turn, role, text) as rendered,
+      coalesce(string_agg(start::varchar || '-' || (start + length(safe) + 10)::varchar, ' ' order by turn, role, text) filter (mine), '') as spans
+    from o group by conv_id, speaker, example""",
+)
+def rotated_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), " ")
+    return perspectives.rotate(table(spark, sf_dir, "conversations")).withColumn("spans", spans)
