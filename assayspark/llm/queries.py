@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, near_dedup, perspectives, quality_rules, source_mix, warc
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, perspectives, quality_rules, source_mix, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 from assayspark.session import new_path
 
@@ -169,3 +169,10 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rotated_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), " ")
     return perspectives.rotate(table(spark, sf_dir, "conversations")).withColumn("spans", spans)
+
+
+@query("op2_katz_backoff")
+def katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = katz.score(docs, remainder("doc_id", 7) != 2)
+    return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
