@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assayspark.llm.words import slices
 
-CACHED = 200_000  # pre-tokens that a task remembers before it starts anew: a bound on memory, not on results
+CACHED = 100_000  # pre-tokens that a task remembers before it starts anew: a bound on memory, not on results
 
 
 @dataclass(frozen=True)
@@ -133,7 +133,7 @@ class Coder:
 
     def decode(self, column: pa.ListArray) -> pa.Array:
         """The bytes of each list of ids; null lists decode to null."""
-        ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = column.flatten().to_numpy(zero_copy_only=False)
         counts = np.array([0 if x is None else x for x in column.value_lengths().to_pylist()], np.int64)
         data, ends = spread(self.joined, self.begins, self.lengths, ids)
         cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
@@ -163,6 +163,10 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = Coder(shared.value)
         for column in batches:
-            yield coder.decode(column)
+            # rows of about a million ids at a time: what is held at once stays bounded
+            counts = np.cumsum([0 if x is None else x for x in column.value_lengths().to_pylist()])
+            cuts = [0, *np.flatnonzero(np.diff(counts // (1 << 20), prepend=0)).tolist(), len(column)]
+            parts = [coder.decode(column[s:e]) for s, e in zip(cuts[:-1], cuts[1:]) if e > s]
+            yield pa.concat_arrays(parts or [coder.decode(column)])
 
     return rows.withColumn(into, text(F.col(ids)))

@@ -6,8 +6,9 @@ keeps its first arrival, and a process ends once it lies behind all slots. Two t
 probability Jaccard similarity of their sets. Bands of slots propose pairs; the exact probability Jaccard decides.
 
 Texts of the same words are one node from the start. In a bucket every node is compared with the most central node;
-then nodes that are still in different components are compared with each other. Pairs inside one component need no
-proof, so a large group of copies costs one comparison each. Classes are the connected components of the proven links.
+then nodes outside the bucket's largest component are compared with those of other components, in bounded blocks inside
+tasks: pairs are looked at there and only links come out. Pairs inside one component need no proof, so a large group of
+copies costs one comparison each. Classes are the connected components of the proven links.
 
 Null and empty texts (no words) are in classes of their own. The class id is the smallest doc_id of the class (null ids
 come last); of rows that repeat an id and its words, one is kept. An empty table gives an empty result.
@@ -36,7 +37,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 24
     rows: int = 7
-    members: int = 256  # texts that one comparison task group holds beside its centre
+    members: int = 256  # texts that a side of one comparison holds, about
 
 
 def text_keys(words: Words) -> np.ndarray:
@@ -155,32 +156,90 @@ def words_key(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(keys, pa.binary())
 
 
-def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough. texts: node, text.
+def alike(left: list[tuple], right: list[tuple], allowed: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
+    """The allowed pairs of sets that are similar enough, by position.
 
-    Pairs are dealt by their first text in groups of about `members`, so a text with many partners is split over tasks
-    and travels once a group instead of once a pair.
+    The sum of the smaller shares bounds the similarity from above, and sets without repeats have the plain Jaccard
+    similarity; both come for all of `right` at once. Only what is left needs the full formula.
     """
-    many = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    parts = F.greatest(F.ceil(F.col("n") / settings.members), F.lit(1))
-    dealt = pairs.join(many, "a").select("a", F.col("b").alias("node"), F.pmod(F.xxhash64("b"), parts).alias("part"))
-    centres = dealt.select("a", F.col("a").alias("node"), "part").distinct()
-    rows = dealt.unionByName(centres).join(texts, "node")
+    if not left or not right:
+        return
+    hashes = np.concatenate([h for h, _ in right])
+    weights = np.concatenate([w for _, w in right])
+    sizes = np.array([len(h) for h, _ in right])
+    totals = np.array([max(w.sum(), 1.0) for _, w in right])
+    plain = np.array([len(h) == w.sum() for h, w in right])
+    owner = np.repeat(np.arange(len(right)), sizes)
+    share = weights / totals[owner]
+    for i, (own, weight) in enumerate(left):
+        if not len(own) or not allowed[i].any():
+            continue
+        at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+        hit = own[at] == hashes
+        both = np.bincount(owner[hit], minlength=len(right))
+        bound = np.bincount(owner[hit], np.minimum(share[hit], weight[at[hit]] / weight.sum()), len(right))
+        simple = plain & (len(own) == weight.sum())
+        near = both >= (threshold - 1e-12) * (sizes + len(own) - both)
+        for j in np.flatnonzero(allowed[i] & (bound >= threshold - 1e-9)):
+            if near[j] if simple[j] else similarity(left[i], right[j]) >= threshold - 1e-12:
+                yield i, int(j)
+
+
+def verified(cells: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """The links (a, b) between the two sides of each cell. cells: cell, band, side, node, component; texts: node, text, bands.
+
+    Nodes of different components are compared if they share the cell's band and no earlier one, so a pair that meets in
+    several buckets is compared once; in cells with band -1 all are.
+    """
+    rows = cells.join(texts, "node")
 
     def compare(group: pa.Table) -> pa.Table:
-        nodes = group.column("node").to_numpy()
-        column = group.column("text").combine_chunks()
-        if isinstance(column, pa.ChunkedArray):
-            column = column.chunk(0)
-        hashes, owner, weights = weighted(Words(column, lower=True), settings.size)
+        group = group.combine_chunks()
+        side, nodes, component = (group.column(c).to_numpy() for c in ("side", "node", "component"))
+        band = group.column("band")[0].as_py()
+        column = group.column("text")
+        hashes, owner, weights = weighted(Words(column.chunk(0) if column.num_chunks else pa.array([], pa.string()), lower=True), settings.size)
         cut = np.searchsorted(owner, np.arange(len(nodes) + 1))
         sets = [(hashes[i:j], weights[i:j]) for i, j in zip(cut[:-1], cut[1:])]
-        a = group.column("a")[0].as_py()
-        centre = sets[int(np.flatnonzero(nodes == a)[0])]
-        near = [int(n) for n, s in zip(nodes, sets) if n != a and similarity(centre, s) >= settings.threshold - 1e-12]
-        return pa.table({"a": pa.array([a] * len(near), pa.int64()), "b": pa.array(near, pa.int64())})
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        allowed = component[a][:, None] != component[b][None, :]
+        if band >= 0:
+            bands = np.array(group.column("bands").to_pylist(), np.int64)
+            for earlier in range(band):
+                allowed &= bands[a, earlier][:, None] != bands[b, earlier][None, :]
+        found = list(alike([sets[i] for i in a], [sets[i] for i in b], allowed, settings.threshold))
+        return pa.table({"a": pa.array([nodes[a[i]] for i, _ in found], pa.int64()), "b": pa.array([nodes[b[j]] for _, j in found], pa.int64())})
+
+    return rows.groupBy("cell").applyInArrow(compare, "a long, b long")
+
+
+def _star_cells(stars: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) as cells of one a and about `members` of its partners: a travels once a cell instead of once a pair."""
+    many = stars.groupBy("a").agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / settings.members))
+    dealt = stars.join(many, "a").select("a", "b", part.alias("part"))
+    cell, band = F.concat_ws(":", "a", "part").alias("cell"), F.lit(-1).alias("band")
+    centres = dealt.select("a", "part").distinct().select(cell, band, F.lit(0).alias("side"), F.col("a").alias("node"))
+    partners = dealt.select(cell, band, F.lit(1).alias("side"), F.col("b").alias("node"))
+    return centres.unionByName(partners).withColumn("component", F.col("node"))
 
-    return rows.groupBy("a", "part").applyInArrow(compare, "a long, b long")
+
+def _bucket_cells(placed: DataFrame, settings: Settings) -> DataFrame:
+    """Buckets of several components as cells: blocks of the nodes outside the largest one against blocks of all nodes.
+
+    placed: bucket, band, node, component. A block holds about `members` nodes, so a cell stays bounded.
+    """
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.count("*").alias("parts"))
+    main = main.where("parts > 1").select("bucket", F.col("m.component").alias("main"), "all", (F.col("all") - F.col("m.n")).alias("outside"))
+    rows = placed.join(main, "bucket")
+    blocks_a, blocks_b = F.ceil(F.col("outside") / settings.members), F.ceil(F.col("all") / settings.members)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    left = rows.where("component <> main").withColumn("i", F.pmod(F.xxhash64("node"), blocks_a)).withColumn("j", every(blocks_b))
+    right = rows.withColumn("j", F.pmod(F.xxhash64("node"), blocks_b)).withColumn("i", every(blocks_a))
+    cell = F.concat_ws(":", "bucket", "i", "j").alias("cell")
+    sides = [d.select(cell, "band", F.lit(k).alias("side"), "node", "component") for k, d in enumerate((left, right))]
+    return sides[0].unionByName(sides[1])
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -194,31 +253,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
     nodes = sketched.where("n_words > 0").join(first, F.col("row") == first["node"], "left_semi").select(
         F.col("row").alias("node"), "doc_id", "key", "bands"
     )
-    hits = nodes.select("node", F.explode("bands").alias("bucket"))
+    hits = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = hits.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     hits = settle(hits.join(crowded, "bucket"), "buckets")
     degree = hits.groupBy("node").agg(F.sum("n").alias("degree"))
     hits = hits.join(degree, "node")
     centre = hits.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("least"))).alias("c"))
-    hits = settle(hits.join(centre, "bucket").select("bucket", "node", (-F.col("c.least")).alias("a")), "hits")
+    hits = settle(hits.join(centre, "bucket").select("bucket", "band", "node", (-F.col("c.least")).alias("a")), "hits")
 
-    wanted = nodes.join(hits.select("node").distinct(), "node", "left_semi").select("node", "key", F.col("doc_id").alias("wanted_id"))
+    wanted = nodes.join(hits.select("node").distinct(), "node", "left_semi").select("node", "key", "bands", F.col("doc_id").alias("wanted_id"))
     found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["wanted_id"])).where(words_key(F.col("text")) == F.col("key"))
-    texts = settle(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    texts = settle(found.groupBy("node").agg(F.first("text").alias("text"), F.first("bands").alias("bands")), "texts")
 
     stars = hits.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    links = settle(verified(stars, texts, settings), "near")
+    links = settle(verified(_star_cells(stars, settings), texts, settings), "near")
     so_far = components(links)
-    placed = hits.join(so_far, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    main = placed.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-        F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts")
-    )
-    split = settle(placed.join(main.where("parts > 1"), "bucket"), "split")
-    rest = split.where("component <> main").select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"), "main")
-    other = split.select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    apart = rest.join(other, "bucket").where("of_a <> of_b and (of_a = main or a < b)").select("a", "b").distinct()
-    apart = apart.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    links = links.unionByName(verified(apart, texts, settings))
+    placed = settle(hits.join(so_far, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
+    links = links.unionByName(verified(_bucket_cells(placed, settings), texts, settings))
     found = components(links)
 
     placed = sketched.withColumn("shared", shared).join(first.select(F.col("key").alias("shared"), "node"), "shared", "left")

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assayspark.session import settle
 
 LEAF = ["domain", "language", "source"]
-FINE = 3  # hex digits of each of the two ranges: 4,096 ranges of a leaf, then 4,096 of the one that holds the end
 
 
 @dataclass(frozen=True)
@@ -33,6 +32,7 @@ class Plan:
     epochs: int = 2
     seed: str = "mix"
     weights: dict[str, dict[str, int]] = field(default_factory=dict)
+    digits: int = 3  # of a place in hex: 4,096 ranges of a leaf, then 4,096 of the one that holds the end
 
     def weight(self, level: str) -> Column:
         out = F.lit(1.0)
@@ -85,6 +85,15 @@ def _same(a: str, b: str, columns: list[str]) -> Column:
     return out
 
 
+def by_leaf(rows: DataFrame, leaves: DataFrame, most: int = 100_000, parts: int = 64) -> DataFrame:
+    """Rows (as r) with their leaf (as l). At most `most` leaves, counted, are broadcast; more are joined with a leaf's rows in parts."""
+    if leaves.limit(most + 1).count() <= most:
+        return rows.alias("r").join(F.broadcast(leaves).alias("l"), _same("r", "l", LEAF))
+    rows = rows.withColumn("part_", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
+    leaves = leaves.withColumn("part_", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return rows.alias("r").join(leaves.alias("l"), _same("r", "l", ["part_", *LEAF]))
+
+
 def place(doc_id: Column, epoch: Column, seed: str) -> Column:
     """A document's place in the order of an epoch, as hex text."""
     return F.md5(F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
@@ -108,23 +117,16 @@ def cuts(rows: DataFrame, leaves: DataFrame, plan: Plan) -> DataFrame:
     goals = goals.withColumn("whole", F.col("whole") - (F.col("whole") * F.col("tokens") > F.col("target")).cast("long"))
     goals = settle(goals.withColumn("rest", F.col("target") - F.col("whole") * F.col("tokens")), "goals")
     part = goals.where("rest > 0").select(*LEAF, "whole", "rest")
-    open_rows = rows.alias("r").join(part.alias("p"), _same("r", "p", LEAF)).select("r.*", "p.rest", place(F.col("r.doc_id"), F.col("p.whole"), plan.seed).alias("place"))
-    ends = None
-    for digits in (FINE, 2 * FINE):
-        found = _range_with_end(open_rows, digits)
-        if ends is not None:  # ranges of the chosen range only: what lies before it is known
-            found = found.alias("f").join(ends.alias("e"), _same("f", "e", LEAF)).select("f.range", (F.col("f.before") + F.col("e.before")).alias("before"), *[f"f.{c}" for c in LEAF])
-        ends = settle(found, "ends")
-        inside = F.substring("r.place", 1, digits) == F.col("e.range")
-        open_rows = open_rows.alias("r").join(ends.alias("e"), _same("r", "e", LEAF) & inside).select(
-            *[f"r.{c}" for c in (*LEAF, "doc_id", "tokens", "place")], (F.col("r.rest") - F.col("e.before")).alias("rest")
-        )
-        ends = ends.select(*LEAF, "range", "before")
-        open_rows = settle(open_rows, "open") if digits < 2 * FINE else open_rows
-        base = ends
+    kept = [f"r.{c}" for c in (*LEAF, "doc_id", "tokens")]
+    open_rows = by_leaf(rows, part).select(*kept, "l.rest", place(F.col("r.doc_id"), F.col("l.whole"), plan.seed).alias("place"))
+    for digits in (plan.digits, 2 * plan.digits):
+        ends = settle(_range_with_end(open_rows, digits), "ends")
+        inside = F.substring("r.place", 1, digits) == F.col("l.range")
+        open_rows = by_leaf(open_rows, ends).where(inside).select(*kept, "r.place", (F.col("r.rest") - F.col("l.before")).alias("rest"))
+        open_rows = settle(open_rows, "open")  # the rows of one range of each leaf
     upto = F.sum("tokens").over(Window.partitionBy(*LEAF).orderBy("place"))  # equal places count together
     last = open_rows.withColumn("upto", upto).where("upto <= rest").groupBy(*LEAF).agg(F.max("place").alias("last"))
-    cut = base.alias("b").join(last.alias("l"), _same("b", "l", LEAF), "left").select(*[f"b.{c}" for c in LEAF], F.coalesce("l.last", "b.range").alias("cut"))
+    cut = ends.alias("b").join(last.alias("l"), _same("b", "l", LEAF), "left").select(*[f"b.{c}" for c in LEAF], F.coalesce("l.last", "b.range").alias("cut"))
     return goals.alias("g").join(cut.alias("c"), _same("g", "c", LEAF), "left").select(*[f"g.{c}" for c in LEAF], "g.target", "g.whole", "c.cut")
 
 
@@ -144,7 +146,7 @@ def plan_leaves(docs: DataFrame, domain: Column, language: Column, source: Colum
 def decide(docs: DataFrame, domain: Column, language: Column, source: Column, doc_id: Column, text: Column, plan: Plan = Plan()) -> DataFrame:
     """doc_id, domain, language, source, n_tokens, target_tokens (of its leaf) and copies of every row."""
     rows, leaves = plan_leaves(docs, domain, language, source, doc_id, text, plan)
-    return rows.alias("r").join(leaves.alias("l"), _same("r", "l", LEAF)).select(
+    return by_leaf(rows, settle(leaves, "cuts")).select(
         "r.doc_id", *[f"r.{c}" for c in LEAF], F.col("r.tokens").alias("n_tokens"), F.col("l.target").alias("target_tokens"),
         copies(F.col("r.doc_id"), F.col("l.whole"), F.col("l.cut"), plan.seed),
     )
@@ -155,6 +157,6 @@ def mixed(docs: DataFrame, domain: Column, language: Column, source: Column, doc
     _, leaves = plan_leaves(docs, domain, language, source, doc_id, text, plan)
     own = F.struct(*docs.columns).alias("row")
     rows = docs.select(own, domain.alias("domain"), language.alias("language"), source.alias("source"), doc_id.alias("doc_id"))
-    rows = rows.alias("r").join(leaves.alias("l"), _same("r", "l", LEAF))
+    rows = by_leaf(rows, settle(leaves, "cuts"))
     rows = rows.select("r.row", copies(F.col("r.doc_id"), F.col("l.whole"), F.col("l.cut"), plan.seed)).where("copies > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
