@@ -19,17 +19,16 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from assayspark.llm.packed import pack, unpack
 from assayspark.llm.words import Words, mix, slices
 from assayspark.session import new_path
 
@@ -54,31 +53,6 @@ class Level:
     hot: dict[int, np.ndarray] = field(default_factory=dict)
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes, each byte of the numbers apart."""
-    out = [struct.pack("<H", len(arrays))]
-    for a in arrays:
-        a = np.ascontiguousarray(a)
-        body = zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1) if len(a) else b""
-        out.append(struct.pack("<2sQQ", a.dtype.str[1:].encode(), len(a), len(body)) + body)
-    return b"".join(out)
-
-
-def unpack(data: bytes) -> list[np.ndarray]:
-    (n,), at, out = struct.unpack_from("<H", data), 2, []
-    for _ in range(n):
-        kind, length, size = struct.unpack_from("<2sQQ", data, at)
-        at += 18
-        dtype = np.dtype("<" + kind.decode())
-        if length:
-            raw = zstandard.decompress(data[at : at + size], max_output_size=length * dtype.itemsize)
-            out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, length).T).view(dtype).ravel())
-        else:
-            out.append(np.zeros(0, dtype))
-        at += size
-    return out
-
-
 def good_turing(times: np.ndarray, cutoff: int) -> np.ndarray:
     """Discounts of the counts 0 to `cutoff`, from how many n-grams have the counts 0 to `cutoff` + 1.
 

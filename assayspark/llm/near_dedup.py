@@ -242,6 +242,19 @@ def _bucket_cells(placed: DataFrame, settings: Settings) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+def linked(hits: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) that join all similar nodes of each bucket. hits: bucket, band, node, n (nodes of the bucket); texts: node, text, bands."""
+    degree = hits.groupBy("node").agg(F.sum("n").alias("degree"))
+    hits = hits.join(degree, "node")
+    centre = hits.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("least"))).alias("c"))
+    hits = settle(hits.join(centre, "bucket").select("bucket", "band", "node", (-F.col("c.least")).alias("a")), "hits")
+    stars = hits.where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    links = settle(verified(_star_cells(stars, settings), texts, settings), "near")
+    so_far = components(links)
+    placed = settle(hits.join(so_far, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
+    return links.unionByName(verified(_bucket_cells(placed, settings), texts, settings))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """doc_id, class_id, class_size, kept of every row, and the key of its words."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -256,21 +269,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
     hits = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = hits.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     hits = settle(hits.join(crowded, "bucket"), "buckets")
-    degree = hits.groupBy("node").agg(F.sum("n").alias("degree"))
-    hits = hits.join(degree, "node")
-    centre = hits.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("least"))).alias("c"))
-    hits = settle(hits.join(centre, "bucket").select("bucket", "band", "node", (-F.col("c.least")).alias("a")), "hits")
-
     wanted = nodes.join(hits.select("node").distinct(), "node", "left_semi").select("node", "key", "bands", F.col("doc_id").alias("wanted_id"))
     found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["wanted_id"])).where(words_key(F.col("text")) == F.col("key"))
     texts = settle(found.groupBy("node").agg(F.first("text").alias("text"), F.first("bands").alias("bands")), "texts")
 
-    stars = hits.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    links = settle(verified(_star_cells(stars, settings), texts, settings), "near")
-    so_far = components(links)
-    placed = settle(hits.join(so_far, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
-    links = links.unionByName(verified(_bucket_cells(placed, settings), texts, settings))
-    found = components(links)
+    found = components(linked(hits, texts, settings))
 
     placed = sketched.withColumn("shared", shared).join(first.select(F.col("key").alias("shared"), "node"), "shared", "left")
     placed = placed.select("doc_id", "key", "row", F.coalesce("node", "row").alias("node")).join(found, "node", "left")

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, perspectives, quality_rules, source_mix, warc
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, quality_rules, source_mix, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 from assayspark.session import new_path
 
@@ -176,3 +176,8 @@ def katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = katz.score(docs, remainder("doc_id", 7) != 2)
     return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
+@query("op4_paragraph_minhash")
+def paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.find(table(spark, sf_dir, "documents")).drop("row")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayspark.llm import katz
+from assayspark.llm import katz, packed
 from assayspark.llm.common import remainder
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -125,5 +125,5 @@ def test_nothing_to_learn_from(spark):
 
 def test_arrays_survive_packing():
     for a in (np.zeros(0, np.int64), np.arange(5), np.array([1.5, -2]), np.array([3, 250], np.uint8)):
-        (b,) = katz.unpack(katz.pack(a))
+        (b,) = packed.unpack(packed.pack(a))
         assert b.dtype == a.dtype and (a == b).all()
