@@ -180,10 +180,9 @@ def _counted(buckets: int, settings: Settings, total: float):
                 begins[1:] = mine[1:] != mine[:-1]
                 answer = [number[own]] if level < settings.order else [np.zeros(0, np.int64)]
                 rows.append((source, ANSWER, level, bucket, pack(*answer, counts[own], *sums[mine[begins]].T), None))
-            heavy = sums[:, :k] @ np.arange(1, k + 1) + sums[:, k]
-            for i in np.flatnonzero(heavy > 0):
-                if h[first][i] in hot_histories:
-                    rows.append((int(h[first][i]), HOT, level, bucket, None, sums[i].tolist()))
+            histories = h[first]
+            for i in np.flatnonzero(np.isin(histories, list(hot_histories))):
+                rows.append((int(histories[i]), HOT, level, bucket, None, sums[i].tolist()))
             seen = counts > 0
             model = pack(h[seen], w[seen], counts[seen], number[seen])
         rows.append((bucket, MODEL, level, bucket, model, [float(counts.sum()), float((counts > 0).sum()), *small[1:]]))
@@ -267,8 +266,9 @@ class Block:
         begins = np.ones(len(h), bool)
         begins[1:] = (h[1:] != h[:-1]) | (bucket[1:] != bucket[:-1])
         sums = np.concatenate([np.zeros((0, k + 2)), *[np.stack(g[2:], 1) for g in got if len(g[2])]])
-        for i in np.flatnonzero(np.isin(h[begins], list(self.levels[level - 1].hot))):
-            sums[i] = self.levels[level - 1].hot[int(h[begins][i])]
+        hot, own = self.levels[level - 1].hot, h[begins]
+        for i in np.flatnonzero(np.isin(own, list(hot))):
+            sums[i] = hot[int(own[i])]
         divisor, alpha = (x[np.cumsum(begins) - 1] for x in shares(sums, d))
         c = counts[place]
         discounted = np.where(c < len(d), d[np.minimum(c, len(d) - 1)], 1.0) * c / divisor[place]
