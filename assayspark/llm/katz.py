@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assayspark.llm.packed import pack, unpack
 from assayspark.llm.words import Words, mix, slices
-from assayspark.session import new_path
+from assayspark.session import discard, new_path, released
 
 END, START, UNKNOWN = 0, -2, -1  # numbers of the end, of the place before a text, and of words not seen in training
 TOKENS, ASKED, ANSWER, MODEL, HOT = range(5)  # kinds of rows
@@ -41,7 +41,7 @@ ROW = "to long, kind int, level int, source long, payload binary, sums array<dou
 class Settings:
     order: int = 2
     cutoff: int = 5  # counts above it are not discounted
-    block_tokens: int = 2_000_000
+    block_tokens: int = 600_000
     hot: int = 200
 
 
@@ -131,7 +131,7 @@ def blocks(docs: DataFrame, buckets: int, settings: Settings) -> DataFrame:
 
 
 def _counted(buckets: int, settings: Settings, total: float):
-    """Add up a bucket's n-grams. Level 1 asks (word, count), others (history, word, count, lower probability)."""
+    """Add up a bucket's n-grams. Level 1 asks (word, count), others (history, word, count, lower probability by code)."""
     k = settings.cutoff
 
     def reduce(group: pa.Table) -> pa.Table:
@@ -145,7 +145,8 @@ def _counted(buckets: int, settings: Settings, total: float):
             keys, index = np.unique(word, return_inverse=True)
         else:
             history = np.concatenate([np.cumsum(a[0]) for a in asked])
-            word, count, lower = (np.concatenate([a[i] for a in asked]) for i in range(1, 4))
+            word, count = (np.concatenate([a[i] for a in asked]) for i in range(1, 3))
+            lower = np.concatenate([a[3][a[4]] for a in asked])
             order = np.lexsort((word, history))
             new = np.ones(len(order), bool)
             new[1:] = (history[order][1:] != history[order][:-1]) | (word[order][1:] != word[order][:-1])
@@ -179,7 +180,7 @@ def _counted(buckets: int, settings: Settings, total: float):
                 begins = np.ones(len(mine), bool)
                 begins[1:] = mine[1:] != mine[:-1]
                 answer = [number[own]] if level < settings.order else [np.zeros(0, np.int64)]
-                rows.append((source, ANSWER, level, bucket, pack(*answer, counts[own], *sums[mine[begins]].T), None))
+                rows.append((source, ANSWER, level, bucket, pack(*answer, counts[own], *sums[mine[begins], : k + 1].astype(np.int64).T, sums[mine[begins], k + 1]), None))
             histories = h[first]
             for i in np.flatnonzero(np.isin(histories, list(hot_histories))):
                 rows.append((int(histories[i]), HOT, level, bucket, None, sums[i].tolist()))
@@ -253,7 +254,8 @@ class Block:
         cut, rows = np.searchsorted(bucket, np.arange(self.buckets + 1)), []
         for b in np.flatnonzero(np.diff(cut)):
             own = slice(cut[b], cut[b + 1])
-            rows.append((int(b), ASKED, level, self.number, pack(np.diff(h[own], prepend=0), w[own], count[own], low[own]), None))
+            values, code = np.unique(low[own], return_inverse=True)  # few probabilities, many n-grams
+            rows.append((int(b), ASKED, level, self.number, pack(np.diff(h[own], prepend=0), w[own], count[own], values, code.astype(np.int32)), None))
         return _rows(rows)
 
     def climb(self, level: int) -> None:
@@ -296,9 +298,9 @@ class Block:
         })
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = new_path(df.sparkSession, name)
-    df.write.partitionBy("kind", "level").parquet(path)
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    with released(df.sparkSession):
+        df.write.partitionBy("kind", "level").parquet(path)
     return df.sparkSession.read.schema(ROW).parquet(path)
 
 
@@ -307,14 +309,17 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     spark: SparkSession = docs.sparkSession
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    made = _stored(blocks(rows, buckets, settings), "katz-blocks")
+    path = new_path(spark, "katz-blocks")
+    made = _stored(blocks(rows, buckets, settings), path)
     ends = docs.where(train).count()
     k, levels, known = settings.cutoff, [], {"ends": ends}
     held, asked = [made.where(F.col("kind") == TOKENS)], made.where(F.col("kind") == ASKED)
     hot: set[int] = set()
     for level in range(1, settings.order + 1):
         reduce = _counted(buckets, settings, float(known.get("tokens", 0)))(hot)
-        table = _stored(asked.groupBy("to").applyInArrow(reduce, ROW), f"katz-level{level}")
+        table = _stored(asked.groupBy("to").applyInArrow(reduce, ROW), new_path(spark, f"katz-level{level}"))
+        if level == 1:
+            discard(spark, f"{path}/kind={ASKED}")  # answered
         stats = table.where(F.col("kind") == MODEL).select(F.posexplode("sums").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
         found = np.zeros(k + 3)
         for r in stats.collect():  # k + 3 numbers

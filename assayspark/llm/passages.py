@@ -29,7 +29,7 @@ from assayspark.llm import near_dedup
 from assayspark.llm.components import components
 from assayspark.llm.packed import pack, unpack
 from assayspark.llm.words import Words, as_bytes, mix, slices, windows
-from assayspark.session import new_path, settle
+from assayspark.session import new_path, released, settle
 
 BLOCK, PIECE, BAND, FOUND, WANTED = range(5)  # kinds of rows
 ROW = "to long, kind int, source long, payload binary"
@@ -53,7 +53,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 3  # tune(0.8, 0.99, most=3): pieces have few windows, so one hash a band is selective enough
     rows: int = 1
-    block_tokens: int = 2_000_000
+    block_tokens: int = 600_000
 
 
 def cut(words: Words, reach: int) -> np.ndarray:
@@ -233,7 +233,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     path = new_path(spark, "pieces")
-    blocks(rows, buckets, settings).write.partitionBy("kind").parquet(path)
+    with released(spark):
+        blocks(rows, buckets, settings).write.partitionBy("kind").parquet(path)
     made = spark.read.schema(ROW).parquet(path)
 
     hits = settle(made.where(F.col("kind") == BAND).groupBy("to").applyInArrow(crowded, "bucket long, band int, node long, n long"), "hits")

@@ -148,7 +148,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, part: File) -> Iterator[tuple]:
+    def read(self, part: File | None) -> Iterator[tuple]:
+        if part is None:  # nothing was planned: the folder holds no archive
+            return
         store, _ = _open(self.path)
         with store.open_input_file(part.path) as raw:
             stream = io.BufferedReader(raw, 1 << 20)

@@ -43,7 +43,7 @@ def test_planted_passages_are_found(spark):
         span = texts[r["doc_id"]][r["start"] : r["end"]]
         assert len(span) == r["n_words"] >= 20
         # a piece at an edge may reach a word or two beyond, being similar enough
-        assert len(set(span) & set(shared[want[r["doc_id"]]])) >= 0.9 * len(span)
+        assert len(set(span) & set(shared[want[r["doc_id"]]])) >= 0.8 * len(span)
 
 
 def test_near_pieces_join_one_cluster(spark):
