@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -55,24 +56,41 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def released(spark: SparkSession):
+    """What is written inside gives its shuffle files back at once: the written table is what later steps read."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Write the table to the shared folder once and read it from there.
 
     What is used several times is then computed once, in one pass, and survives lost executors.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with released(df.sparkSession):
+        df.write.parquet(path)
     _SETTLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> bool:
+    """Remove an intermediate folder that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
+
+
 def forget_settled(spark: SparkSession) -> int:
     """Remove the tables this session settled; results that still read them must be computed before."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     while _SETTLED:
-        path = jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
-        removed += bool(path.getFileSystem(conf).delete(path, True))
+        removed += discard(spark, _SETTLED.pop())
     return removed
 
 
