@@ -30,9 +30,13 @@ def no_nan(x: Column) -> Column:
     return F.nanvl(x, F.lit(None).cast("double"))
 
 
+# Fixed value: what counts as a decimal number; type suffixes and hexadecimal forms do not.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def to_number(x: Column) -> Column:
-    """Text to double; text that is no number becomes null instead of failing the job."""
-    return no_nan(F.trim(x).try_cast("double"))
+    """Text to double; text that is no decimal number becomes null instead of failing the job."""
+    return no_nan(F.when(x.rlike(NUMBER), F.trim(x).try_cast("double")))
 
 
 def in_open_range(x: Column, low: float = VALUE_RANGE[0], high: float = VALUE_RANGE[1]) -> Column:

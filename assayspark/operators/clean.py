@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import NumericType
 
 from assayspark.functions import activity as act, structure as st
-from assayspark.operators.quantiles import GROUP_LIMIT, group_quantiles, hot_groups
+from assayspark.operators.quantiles import GROUP_LIMIT, group_quantiles
 from assayspark.session import settle
 
 
@@ -80,14 +80,10 @@ def _first_and_median(
 ) -> DataFrame:
     """Per key: some partial aggregates and the exact median. `rows` must be cheap to read twice.
 
-    Small groups take one aggregation. If a group is above the limit its median comes from sliced
-    sorting instead, and the aggregates join by key.
+    Every key stays; one without values (null or NaN ones only) has a null median.
     """
-    aggregates = [c.alias(name) for name, c in firsts.items()]
-    if hot_groups(rows, [key], limit) is None:
-        return rows.groupBy(key).agg(*aggregates, F.median(value).alias(value))
-    first = rows.groupBy(key).agg(*aggregates)
-    return first.join(group_quantiles(rows, [key], value, {value: 0.5}, limit=limit), key)
+    first = rows.groupBy(key).agg(*[c.alias(name) for name, c in firsts.items()])
+    return first.join(group_quantiles(rows, [key], value, {value: 0.5}, limit=limit), key, "left")
 
 
 def collapse_by_id(
@@ -124,8 +120,7 @@ def remove_duplicates(
 ) -> DataFrame:
     """Three stages: exact rows, ids, structures. Exact copies go first, so they count once in the median.
 
-    The output of each stage is written once to the shared folder, as its group sizes are measured
-    before the next stage is planned.
+    The output of each stage is written once to the shared folder, as the next one reads it more than once.
     """
     exact = drop_exact(df, ["molecule_id", "structure", value], order)
     by_id = collapse_by_id(exact, value=value, order=order, limit=limit)

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+
+def ranked(df: DataFrame, value: str) -> Column:
+    """The value to rank by: NaN counts as null, which ranks last."""
+    c = F.col(value)
+    return F.when(~F.isnan(c), c) if dict(df.dtypes)[value] in ("double", "float") else c
 
 
 def top_n(df: DataFrame, value: str, n: int, ties: Sequence[str]) -> DataFrame:
     """The n rows with the largest value; each task keeps n rows."""
-    return df.orderBy(F.col(value).desc_nulls_last(), *ties).limit(n)
+    return df.orderBy(ranked(df, value).desc_nulls_last(), *ties).limit(n)
 
 
 def sort_desc(df: DataFrame, value: str, ties: Sequence[str]) -> DataFrame:
-    return df.orderBy(F.col(value).desc_nulls_last(), *ties)
+    return df.orderBy(ranked(df, value).desc_nulls_last(), *ties)
 
 
 def sort_abs(df: DataFrame, value: str, ties: Sequence[str]) -> DataFrame:
-    return df.orderBy(F.abs(F.col(value)).desc_nulls_last(), *ties)
+    return df.orderBy(F.abs(ranked(df, value)).desc_nulls_last(), *ties)
 
 
 def top_n_per_group(
@@ -28,7 +34,7 @@ def top_n_per_group(
     The rank filter sits directly on the window, so each task keeps n rows per group before the
     shuffle and a hot group sends no more than that.
     """
-    order = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last(), *ties)
+    order = Window.partitionBy(*by).orderBy(ranked(df, value).desc_nulls_last(), *ties)
     rows = df.na.drop("any", subset=list(by))
     return rows.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= n)
 
@@ -95,7 +101,7 @@ def elbow(curve: DataFrame, k: str = "k", cost: str = "inertia") -> DataFrame:
 
 
 def best_k(curve: DataFrame, k: str = "k", score: str = "silhouette") -> DataFrame:
-    """The k of the largest score, ties to the smallest k."""
-    return curve.where(F.col(score).isNotNull()).agg(
+    """The k of the largest score, ties to the smallest k; null and NaN scores don't count."""
+    return curve.where(ranked(curve, score).isNotNull()).agg(
         F.max_by(k, F.struct(F.col(score), -F.col(k))).cast("int").alias("best_k")
     )

@@ -33,8 +33,7 @@ BOOSTED_GLOBAL = {
 }
 BOOSTED_PART = {"maxIter": 100, "stepSize": 0.3, "maxDepth": 6, "featureSubsetStrategy": "all"}
 
-# The full search grids (hundreds of fits; a forest depth of 30 stands for no limit),
-# and the reduced ones used unless asked otherwise.
+# The search grids (hundreds of fits; a forest depth of 30 stands for no limit).
 FULL_GRID = {
     "rf": {"numTrees": [100, 200, 300], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2, 4]},
     "gbt": {
@@ -42,11 +41,6 @@ FULL_GRID = {
         "subsamplingRate": [0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.8", "0.9", "1.0"],
     },
 }
-REDUCED_GRID = {
-    "rf": {"numTrees": [100], "maxDepth": [10, 20]},
-    "gbt": {"maxIter": [100], "maxDepth": [3, 5], "stepSize": [0.1]},
-}
-
 
 def with_split(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
     """Add `is_test` (one row in five) and `fold`, both from a hash of the key.
@@ -168,7 +162,7 @@ def grid_search(
 
     `train` has a `fold` column, see `with_split`.
     """
-    grid = grid or REDUCED_GRID[kind]
+    grid = grid or FULL_GRID[kind]
     base = dict(FOREST) if kind == "rf" else {k: v for k, v in BOOSTED_PART.items()}
     pipeline = estimator(kind, {k: v for k, v in base.items() if k not in grid}, features, target, seed)
     regressor = pipeline.getStages()[-1]

@@ -1,10 +1,8 @@
-"""Exact quantiles that never gather an unbounded group in one task.
+"""Exact quantiles by brackets: one path for groups of every size, and no task that holds or sorts a whole group.
 
-The built-in exact percentile keeps every distinct value of a group in one aggregation buffer. That
-is the best plan while groups are small, so group sizes are measured first. Groups above the limit
-are cut into slices of the value axis by approximate split points: a slice holds about 1/256 of the
-distinct (group, value) pairs of all such groups, so only bounded slices are ever sorted. The slice
-totals say which slices hold the wanted ranks, and only those are read again.
+A bounded sketch per group, merged by partial aggregation, brackets every wanted rank between two values. One more pass
+counts the rows below each bracket and collapses those inside to distinct values; only they are put in order. A bracket
+holds under a thousandth of a large group, and a group of at most `limit` rows is its own bracket.
 """
 
 from __future__ import annotations
@@ -12,31 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assayspark.functions.activity import no_nan
-from assayspark.functions.literals import numbers
-from assayspark.session import settle
 
-# Distinct values one aggregation buffer may hold (some tens of megabytes).
-GROUP_LIMIT = 200_000
+# Rows up to which a group is its own bracket; results don't depend on it.
+GROUP_LIMIT = 10_000
+ACCURACY = 10_000
 
-_FINE = 256
-_COARSE = 16
 
-
-def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Distinct (keys, _value) with their number of rows `_n`; null keys, null and NaN values dropped.
-
-    The shuffle is on keys and value together, so a hot group spreads over all partitions.
-    """
-    rows = df.select(*keys, no_nan(F.col(value).cast("double")).alias("_value")).na.drop("any")
-    return rows.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
-
-
-def hot_groups(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> DataFrame | None:
-    """Keys of the groups with more than `limit` rows, or None when there are none (one counting job)."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= limit:
-        return None
-    return sizes.where(F.col("_rows") > limit).drop("_rows")
+def values_of(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, _value) with null keys, null and NaN values dropped."""
+    return df.select(*keys, no_nan(F.col(value).cast("double")).alias("_value")).na.drop("any")
 
 
 def group_quantiles(
@@ -46,110 +28,65 @@ def group_quantiles(
     quantiles: dict[str, float],
     count: str | None = None,
     limit: int = GROUP_LIMIT,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Per group, linearly interpolated quantiles: {output column: fraction}. `keys` may be empty."""
-    return quantiles_of_counts(settle(value_counts(df, keys, value), "counts"), keys, quantiles, count, limit)
-
-
-def quantiles_of_counts(
-    counted: DataFrame,
-    keys: list[str],
-    quantiles: dict[str, float],
-    count: str | None = None,
-    limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """`group_quantiles` on a settled output of `value_counts`."""
-    if not keys:
-        if counted.count() <= limit:
-            return _plain(counted, keys, quantiles, count)
-        return _sliced(counted, keys, quantiles, count)
-    hot = hot_groups(counted, keys, limit)
-    if hot is None:
-        return _plain(counted, keys, quantiles, count)
-    small = _plain(counted.join(hot, keys, "left_anti"), keys, quantiles, count)
-    return small.unionByName(_sliced(settle(counted.join(hot, keys, "left_semi"), "hot"), keys, quantiles, count))
-
+    """Per group, linearly interpolated quantiles: {output column: fraction}. `keys` may be empty.
 
-def _plain(counted: DataFrame, keys: list[str], quantiles: dict[str, float], count: str | None) -> DataFrame:
-    fractions = F.array(*[F.lit(float(q)) for q in quantiles.values()])
-    found = counted.groupBy(*keys).agg(
-        F.percentile("_value", fractions, F.col("_n")).alias("_q"), F.sum("_n").alias("_total")
+    Groups without values have no row.
+    """
+    fractions = [float(q) for q in quantiles.values()]
+    # A sketch misses a rank by at most n / accuracy, and the wanted ranks lie within two of fraction * n.
+    margin = 2 / accuracy + 2 / (limit + 1)
+    ends = [e for q in fractions for e in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    by = keys or ["_all"]
+    rows = values_of(df, keys, value) if keys else values_of(df, keys, value).withColumn("_all", F.lit(0))
+
+    sketched = rows.groupBy(*by).agg(
+        F.count("*").alias("_total"),
+        F.min("_value").alias("_min"),
+        F.max("_value").alias("_max"),
+        F.percentile_approx("_value", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("_ends"),
     )
-    out = [F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
-    if count:
-        out.append(F.col("_total").alias(count))
-    return found.where(F.col("_total") > 0).select(*keys, *out)
-
-
-def _slice_of(value: Column, points: list[float]) -> Column:
-    """Number of split points at or below the value, found in two steps of 16."""
-    fine = numbers(points)
-    outer = F.size(F.filter(numbers(points[_COARSE - 1 :: _COARSE]), lambda s: s <= value))
-    inner = F.slice(fine, outer * _COARSE + 1, _COARSE - 1)
-    return outer * _COARSE + F.size(F.filter(inner, lambda s: s <= value))
-
 
-def _sliced(counted: DataFrame, keys: list[str], quantiles: dict[str, float], count: str | None) -> DataFrame:
-    fractions = F.array(*[F.lit(i / _FINE) for i in range(1, _FINE)])
-    points = counted.agg(F.percentile_approx("_value", fractions, F.lit(10000))).first()[0]
-    sliced = counted.withColumn("_slice", _slice_of(F.col("_value"), list(points)))
-
-    totals = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_m"))
-    whole = Window.partitionBy(*keys)
-    so_far = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = {name: F.lit(float(q)) * (F.col("_total") - 1) for name, q in quantiles.items()}
-    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in at.values()])))
-    wanted = (
-        totals.withColumn("_before", F.sum("_m").over(so_far) - F.col("_m"))
-        .withColumn("_total", F.sum("_m").over(whole))
-        .withColumn(
-            "_ranks",
-            F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_m"))),
-        )
-        .where(F.size("_ranks") > 0)
-        .select(*keys, "_slice", "_before", "_total", "_ranks")
+    def bracket(i: int) -> Column:
+        whole = F.col("_total") <= limit
+        low = F.when(whole | F.lit(ends[2 * i] <= 0), F.col("_min")).otherwise(F.get("_ends", F.lit(2 * i)))
+        high = F.when(whole | F.lit(ends[2 * i + 1] >= 1), F.col("_max")).otherwise(F.get("_ends", F.lit(2 * i + 1)))
+        at = F.lit(fractions[i]) * (F.col("_total") - 1)
+        return F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high"), at.alias("at"))
+
+    brackets = sketched.select(*by, F.col("_total"), F.array(*[bracket(i) for i in range(len(fractions))]).alias("_brackets"))
+    inside = F.exists("_brackets", lambda b: F.col("_value").between(b["low"], b["high"]))
+    below = [F.sum((F.col("_value") < F.get("_brackets", F.lit(i))["low"]).cast("long")).alias(f"_b{i}") for i in range(len(fractions))]
+    cells = (
+        rows.join(brackets, by)
+        .groupBy(*by, "_total", "_brackets", F.when(inside, F.col("_value")).alias("_value"))
+        .agg(F.count("*").alias("_n"), *below)
     )
-
-    in_slice = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy("_value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    group = Window.partitionBy(*by)
+    before = F.array(*[F.sum(f"_b{i}").over(group) for i in range(len(fractions))])
+    held = cells.withColumn("_before", before).where("_value is not null").select(
+        *by, "_total", "_value", "_n", "_before", F.explode("_brackets").alias("_b")
     )
-    hits = (
-        sliced.join(wanted, [*keys, "_slice"])
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_slice))
-        .withColumn(
-            "_hit",
-            F.explode(
-                F.filter("_ranks", lambda r: (r >= F.col("_upto") - F.col("_n")) & (r < F.col("_upto")))
-            ),
-        )
-        .select(*keys, "_value", "_hit", "_total")
+    held = held.where(F.col("_value").between(F.col("_b.low"), F.col("_b.high")))
+    order = Window.partitionBy(*by, "_b.i").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.get("_before", F.col("_b.i")) + F.sum("_n").over(order)
+    at = F.col("_b.at")
+    found = held.withColumn("_upto", upto).groupBy(*by, "_total", F.col("_b.i").alias("_i"), at.alias("_at")).agg(
+        F.min(F.when(F.col("_upto") > F.floor(at), F.col("_value"))).alias("_low"),
+        F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_value"))).alias("_high"),
     )
-
-    def picked(rank: Column) -> Column:
-        return F.max(F.when(F.col("_hit") == rank, F.col("_value")))
-
-    ends = [
-        end
-        for name, p in at.items()
-        for end in (picked(F.floor(p)).alias(f"_lo_{name}"), picked(F.ceil(p)).alias(f"_hi_{name}"))
-    ]
-    found = hits.groupBy(*keys).agg(F.max("_total").alias("_total"), *ends).where("_total > 0")
-    out = [
-        (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * (p - F.floor(p))).alias(n)
-        for n, p in at.items()
-    ]
-    if count:
-        out.append(F.col("_total").alias(count))
-    return found.select(*keys, *out)
+    exact = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))
+    out = found.groupBy(*by, "_total").agg(
+        *[F.max(F.when(F.col("_i") == i, exact)).alias(name) for i, name in enumerate(quantiles)]
+    )
+    return out.select(*keys, *quantiles, *([F.col("_total").alias(count)] if count else []))
 
 
 def approximate_quantiles(
-    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], accuracy: int = 10000
+    df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """Per group, quantiles from a bounded sketch; one shuffle of sketches, no exactness."""
-    rows = df.select(*keys, no_nan(F.col(value).cast("double")).alias("_value")).na.drop("any")
-    return rows.groupBy(*keys).agg(
+    return values_of(df, keys, value).groupBy(*keys).agg(
         *[F.percentile_approx("_value", float(q), accuracy).alias(n) for n, q in quantiles.items()]
     )

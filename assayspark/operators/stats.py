@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from assayspark.functions import activity as act
 from assayspark.functions.activity import no_nan
-from assayspark.operators.quantiles import group_quantiles, quantiles_of_counts, value_counts
-from assayspark.session import settle
+from assayspark.operators.quantiles import group_quantiles, values_of
 
 # Edges of the activity histogram.
 ACTIVITY_EDGES = (3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0)
@@ -212,8 +211,7 @@ def histograms_auto(
 def density(df: DataFrame, value: str, points: int = 200, cut: float = 3.0, shape: Row | None = None) -> DataFrame:
     """Gaussian density on an even grid that reaches `cut` bandwidths past the data (Scott bandwidth).
 
-    Equal values are collapsed first; each task then adds up its share of every grid point, so one
-    row per grid point and task is shuffled. Fewer than two distinct values give no rows.
+    Each task adds up its share of every grid point, so one row per grid point and task is shuffled. Fewer than two distinct values give no rows.
     """
     r = shape or column_shapes(df, [value])[value]
     h = (r["std"] or 0.0) * r.n ** -0.2 if r.n else 0.0
@@ -224,27 +222,26 @@ def density(df: DataFrame, value: str, points: int = 200, cut: float = 3.0, shap
     x = F.lit(low) + F.col("point") * F.lit(step)
     away = (x - F.col("_value")) / F.lit(h)
     return (
-        value_counts(df, [], value)
-        .select("_value", "_n", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+        values_of(df, [], value)
+        .select("_value", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
         .groupBy("point")
-        .agg(F.sum(F.exp(F.lit(-0.5) * away * away) * F.col("_n")).alias("w"))
+        .agg(F.sum(F.exp(F.lit(-0.5) * away * away)).alias("w"))
         .select("point", x.alias("x"), (F.col("w") / F.lit(r.n * h * math.sqrt(2 * math.pi))).alias("density"))
     )
 
 
 def box_numbers(df: DataFrame, by: str, value: str) -> DataFrame:
     """Per group: quartiles, whiskers at the furthest value within 1.5 quartile ranges, outlier count."""
-    counted = settle(value_counts(df, [by], value), "counts")
-    quarters = quantiles_of_counts(counted, [by], {"q1": 0.25, "median": 0.5, "q3": 0.75}, count="n")
+    quarters = group_quantiles(df, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, count="n")
     inside = F.col("_value").between(*_fences())
     return (
-        counted.join(quarters, by)
-        .groupBy(by)
+        values_of(df, [by], value)
+        .join(quarters, by)
+        .groupBy(by, "n", "q1", "median", "q3")
         .agg(
-            *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3")],
             F.min(F.when(inside, F.col("_value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
+            F.count(F.when(~inside, 1)).alias("outliers"),
         )
     )
 
@@ -257,7 +254,7 @@ def _fences() -> tuple[Column, Column]:
 def box_outliers(df: DataFrame, by: str, value: str) -> DataFrame:
     """The rows outside their group's whiskers."""
     quarters = group_quantiles(df, [by], value, {"q1": 0.25, "q3": 0.75})
-    return df.join(quarters, by).where(~F.col(value).between(*_fences())).drop("q1", "q3")
+    return df.join(quarters, by).where(~_number(df, value).between(*_fences())).drop("q1", "q3")
 
 
 def eligible_groups(
@@ -302,27 +299,19 @@ def strongest(correlations: DataFrame, n: int = 10) -> DataFrame:
     return correlations.orderBy(F.col("abs_r").desc_nulls_last(), "property").limit(n)
 
 
-# Columns up to which a product per pair in one aggregate beats a matrix product over vectors.
-_PAIRWISE_COLUMNS = 16
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long form (col_a, col_b, r) of the pairwise-complete Pearson matrix, both triangles and diagonal.
 
-    A first pass finds ranges, means and gaps. One more pass takes the centred products of columns
-    without gaps (as vectors where the columns are many), and one the pairs with gaps, if any. What
-    comes back depends on the number of columns only. Constant columns have null correlations.
+    A first pass finds ranges, means and gaps. One more pass takes the products of columns without
+    gaps as vectors, and one the pairs with gaps, if any. What comes back depends on the number of
+    columns only. Constant columns have null correlations.
     """
     shapes = column_shapes(df, columns)
     varied = [c for c in columns if shapes[c].n and shapes[c].lo < shapes[c].hi]
     full = [c for c in varied if shapes[c].n == shapes[c].rows]
     r: dict[tuple[str, str], float | None] = {(c, c): 1.0 for c in varied}
     pairs = list(combinations(full, 2))
-    if pairs and len(full) <= _PAIRWISE_COLUMNS:
-        away = {c: F.col(c).cast("double") - F.lit(shapes[c].mean) for c in full}
-        sums = df.agg(*[F.sum(away[a] * away[b]) for a, b in pairs]).first()
-        r |= {(a, b): s / ((shapes[a].rows - 1) * shapes[a]["std"] * shapes[b]["std"]) for (a, b), s in zip(pairs, sums)}
-    elif pairs:
+    if pairs:
         vector = array_to_vector(F.array(*[F.col(c).cast("double") for c in full])).alias("v")
         matrix = Correlation.corr(df.select(vector), "v").first()[0].toArray()
         r |= {(a, b): float(matrix[full.index(a), full.index(b)]) for a, b in pairs}
@@ -379,9 +368,9 @@ def pair_panel(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> Dat
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """n, RMSE, R2 and MAE, for the whole table or per group, as plain aggregates."""
-    y = F.col(actual).cast("double")
-    error = y - F.col(predicted).cast("double")
+    """n, RMSE, R2 and MAE, for the whole table or per group, as plain aggregates; rows with a null or NaN don't count."""
+    y = _number(df, actual)
+    error = y - _number(df, predicted)
     rows = df.where(error.isNotNull())
     return rows.groupBy(*by).agg(
         F.count("*").alias("n"),
