@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -76,39 +75,37 @@ def kmeans(
     max_iter: int = 300,
     tolerance: float = 1e-4,
     parallelism: int = 4,
+    kept: bool = False,
 ) -> tuple[DataFrame, PipelineModel, float]:
     """The best of several k-means runs: (labelled table, model, inertia).
 
-    Vectors are kept on the executors, and some runs go side by side. A run ends when the squared
+    Vectors are kept on the executors unless the caller has done so (`kept`), and some runs go side
+    by side. The solver by rows takes any start, also one with fewer than k distinct centres. A run ends when the squared
     moves of all centres add up to `tolerance` at most, on vectors of unit variance. The model
     scales and labels new rows too.
     """
     stages = [scaler(df, features, "_scaled")] if standardise else []
     column = "_scaled" if standardise else features
     base = PipelineModel(stages)
-    vectors = base.transform(df).select(column).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = base.transform(df).select(column)
+    if not kept:
+        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # With few distinct vectors a start may find fewer than k centres, which only the row solver takes.
-        distinct = vectors.agg(F.approx_count_distinct(F.xxhash64(column))).first()[0]
         move = math.sqrt(tolerance / k)
 
         def fit(s: int) -> KMeansModel:
-            made = KMeans(
-                k=k, seed=s, initMode="k-means||", maxIter=max_iter, tol=move, featuresCol=column, predictionCol=output
-            )
-            if distinct > 10 * k:
-                try:
-                    return made.fit(vectors)
-                except Py4JJavaError:
-                    pass
-            return made.setSolver("row").fit(vectors)
+            return KMeans(
+                k=k, seed=s, initMode="k-means||", maxIter=max_iter, tol=move, featuresCol=column, predictionCol=output,
+                solver="row",
+            ).fit(vectors)
 
         with ThreadPoolExecutor(parallelism) as pool:
             fits = list(pool.map(fit, range(seed, seed + restarts)))
         best = min(fits, key=lambda m: m.summary.trainingCost)
         cost = float(best.summary.trainingCost)
     finally:
-        vectors.unpersist()
+        if not kept:
+            vectors.unpersist()
     model = PipelineModel([*stages, best])
     return attach_label(df, model), model, cost
 
@@ -127,10 +124,11 @@ def assign_centres(df: DataFrame, features: str, centres: DataFrame, label: str,
 
     The centres travel as one literal, after a check that labels times width stay within `largest`.
     """
-    known = centres.orderBy(label).collect()
-    width = known[0]["centre"].size if known else 0
+    first = centres.first()
+    width = first["centre"].size if first else 0
+    known = centres.orderBy(label).limit(largest // max(width, 1) + 1).collect()
     if len(known) * width > largest:
-        raise ValueError(f"{len(known)} centres of {width} values are too many to send to every task")
+        raise ValueError(f"more than {largest // width} centres of {width} values are too many to send to every task")
     ids = [row[label] for row in known]
     x = vector_to_array(features)
 
@@ -229,25 +227,25 @@ def k_curve(
     seed: int = SEED,
     restarts: int = RESTARTS,
     key: str | None = None,
-    exact_rows: int = 20_000,
+    measure: str = "squared euclidean",
 ) -> DataFrame:
     """(k, inertia, silhouette) for k = 1..largest on standardised vectors; each k is fitted once.
 
-    With a key and at most `exact_rows` rows the silhouette is Euclidean, beyond that squared
-    Euclidean, which is linear in the rows. `measure` names the one used.
+    The silhouette is squared Euclidean, which is linear in the rows, unless `measure` asks for
+    "euclidean", which needs a key and is quadratic: it is meant for the rows of one cluster.
     """
+    if measure not in ("squared euclidean", "euclidean") or (measure == "euclidean" and key is None):
+        raise ValueError("measure is 'squared euclidean', or 'euclidean' with a key")
     stage = scaler(df, features, "_vector")
     columns = [key] if key else []
     vectors = stage.transform(df).select(*columns, "_vector").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = vectors.count()
-        exact = key is not None and n <= exact_rows
-        measure = "euclidean" if exact else "squared euclidean"
         # One group: rows times the number of columns that vary.
         curve = [(1, float(n * np.count_nonzero(stage.getScalingVec().toArray())), None, measure)]
         for k in range(2, min(largest, n - 1) + 1):
-            labelled, _, cost = kmeans(vectors, "_vector", k, "_k", seed, restarts, standardise=False)
-            if exact:
+            labelled, _, cost = kmeans(vectors, "_vector", k, "_k", seed, restarts, standardise=False, kept=True)
+            if measure == "euclidean":
                 score = silhouette_exact(labelled, key, "_vector", "_k").agg(F.avg("silhouette")).first()[0]
             else:
                 score = silhouette_squared(labelled, "_vector", "_k")

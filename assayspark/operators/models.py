@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from assayspark.functions.activity import in_half_open_range
 from assayspark.functions.structure import text_hash
 from assayspark.operators import groups, stats
-from assayspark.session import settle, spread
+from assayspark.session import placed, settle
 
 SEED = 42
 
@@ -74,7 +74,7 @@ def build_model(
     """One model of the whole table: (model, metrics on the held-out rows, actual and predicted)."""
     settings = settings or (FOREST if kind == "rf" else BOOSTED_GLOBAL)
     rows = with_split(df.select(key, target, features), key)
-    train = spread(settle(rows.where("not is_test").select(target, features), "train")).persist(StorageLevel.MEMORY_AND_DISK)
+    train = placed(settle(rows.where("not is_test").select(key, target, features), "train"), key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator(kind, settings, features, target, seed).fit(train)
     finally:
@@ -125,20 +125,24 @@ def model_per_cluster(
     held-out metrics of all clusters come from one grouped aggregate.
     """
     settings = settings or (FOREST if kind == "rf" else BOOSTED_PART)
-    rows = spread(settle(with_split(df.select(key, cluster, target, features), key), "train")).persist(StorageLevel.MEMORY_AND_DISK)
+    settled = settle(with_split(df.select(key, cluster, target, features), key), "train")
+    rows = placed(settled, key).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = stats.eligible_groups(rows, cluster, smallest).orderBy(cluster).collect()  # one row per cluster
 
     def fit(c: int) -> PipelineModel:
         return estimator(kind, settings, features, target, seed).fit(rows.where((F.col(cluster) == c) & ~F.col("is_test")))
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = dict(zip([s[cluster] for s in sizes], pool.map(fit, [s[cluster] for s in sizes])))
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = dict(zip([s[cluster] for s in sizes], pool.map(fit, [s[cluster] for s in sizes])))
+    finally:
+        rows.unpersist()
 
     schema = "cluster int, n_compounds bigint"
     known = df.sparkSession.createDataFrame([(int(s[cluster]), s.n) for s in sizes], schema)
     scored = None
     for c, model in models.items():
-        part = predictions(model, rows.where((F.col(cluster) == c) & F.col("is_test"))).select(
+        part = predictions(model, settled.where((F.col(cluster) == c) & F.col("is_test"))).select(
             F.col(cluster).cast("int").alias("cluster"), F.col(target).alias("y"), "prediction"
         )
         scored = part if scored is None else scored.unionByName(part)
@@ -210,8 +214,9 @@ def build_subcluster_model(
     """
     settings = settings or {"rf": FOREST, "gbt": BOOSTED_PART}
     chosen = df.where((F.col(subcluster) == subcluster_id) & in_half_open_range(F.col(target), low, high))
-    rows = spread(settle(with_split(chosen.select(key, target, features), key, folds), "train")).persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = rows.where("not is_test"), rows.where("is_test")
+    settled = settle(with_split(chosen.select(key, target, features), key, folds), "train")
+    rows = placed(settled, key).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = rows.where("not is_test"), settled.where("is_test")
 
     def score(name: str, model: PipelineModel) -> DataFrame:
         return predictions(model, test).select(
@@ -227,6 +232,7 @@ def build_subcluster_model(
     final = stats.regression_metrics(tuned_pairs, "actual", "prediction").first()
     n = rows.groupBy("is_test").count().collect()
     sizes = {r.is_test: r["count"] for r in n}
+    rows.unpersist()
     row = (
         subcluster_id, low, high, sum(sizes.values()), sizes.get(False, 0), sizes.get(True, 0),
         metrics["rf"].r2, metrics["rf"].rmse, metrics["gbt"].r2, metrics["gbt"].rmse,

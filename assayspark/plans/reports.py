@@ -58,14 +58,15 @@ def property_report(
     parts |= {f"density:{p}": stats.density(df, p, shape=shapes[p]) for p in properties}
     summary = summary_properties(df, exclude)
     if summary:
+        x = {p: act.no_nan(F.col(p).cast("double")) for p in summary}
         rows = [
             F.struct(
                 F.lit(p).alias("property"),
-                F.count(p).alias("n"),
-                F.avg(p).alias("mean"),
-                F.stddev_samp(p).alias("std"),
-                F.min(F.col(p).cast("double")).alias("min"),
-                F.max(F.col(p).cast("double")).alias("max"),
+                F.count(x[p]).alias("n"),
+                F.avg(x[p]).alias("mean"),
+                F.stddev_samp(x[p]).alias("std"),
+                F.min(x[p]).alias("min"),
+                F.max(x[p]).alias("max"),
             ).alias(f"s{i}")
             for i, p in enumerate(summary)
         ]

@@ -6,7 +6,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -94,10 +94,10 @@ def forget_settled(spark: SparkSession) -> int:
     return removed
 
 
-def spread(settled: DataFrame) -> DataFrame:
-    """Rows for repeated passes: over all cores where a settled table has fewer partitions than those.
+def placed(rows: DataFrame, key: str, partitions: int = 16) -> DataFrame:
+    """Rows for repeated passes, dealt and ordered by a hash of the key: the same partitions on any cluster.
 
-    Only for settled tables: their partitions are known without running anything.
+    Samplers that draw per partition, as the bagging of trees does, then draw alike wherever they run.
     """
-    cores = settled.sparkSession.sparkContext.defaultParallelism
-    return settled.repartition(cores) if settled.rdd.getNumPartitions() < cores else settled
+    place = F.xxhash64(F.col(key).cast("string"))
+    return rows.repartition(partitions, place).sortWithinPartitions(place, key)

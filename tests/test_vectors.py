@@ -152,7 +152,7 @@ def test_inertia_and_assignment(spark):
 
 def test_k_report(spark):
     x, _ = blobs(45, spread=0.2)
-    curve, choice = cluster.k_report(frame(spark, x), "features", 5, restarts=2, key="id")
+    curve, choice = cluster.k_report(frame(spark, x), "features", 5, restarts=2, key="id", measure="euclidean")
     rows = curve.orderBy("k").collect()
     assert rows[0].inertia == pytest.approx(45 * 6) and rows[0].silhouette is None
     assert all(a.inertia >= b.inertia * 0.99 for a, b in zip(rows, rows[1:]))

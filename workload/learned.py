@@ -24,7 +24,7 @@ SMALL_GRID = {
 def property_rows(spark, sf):
     """The property table as vectors, keyed by a hash of the whole row."""
     rows = props(spark, sf)
-    key = F.xxhash64(*table(spark, sf, "lineitem").columns).alias("id")
+    key = F.md5(F.to_json(F.struct(*table(spark, sf, "lineitem").columns)).cast("binary")).alias("id")
     x = F.array("molwt", "mollogp", "hbd", "hba", "tpsa")
     return rows.select(key, "pic50", "cluster", "subcluster", features.dense_vector(x).alias("features"))
 
@@ -34,7 +34,7 @@ def fingerprinted(spark, sf):
     from assayspark.operators import clean
 
     rows = clean.remove_duplicates(cleaned(spark, sf)).select("molecule_id", "structure", "p")
-    return analysis.fingerprints(rows, 512)
+    return analysis.fingerprints(rows, 2048)
 
 
 @query("model_global")
@@ -94,7 +94,7 @@ def model_roundtrip(spark, sf):
 
 def _predictor(spark, sf):
     model, _, _ = models.build_model(fingerprinted(spark, sf), "molecule_id", "p", settings=SMALL_FOREST)
-    return Predictor(spark, model, 512)
+    return Predictor(spark, model, 2048)
 
 
 @query("score")
@@ -123,7 +123,7 @@ def applicability(spark, sf):
 
 @query("cluster_run")
 def cluster_run(spark, sf):
-    return analysis.cluster_run(fingerprinted(spark, sf), 5, restarts=3)["representatives"].select(
+    return analysis.cluster_run(fingerprinted(spark, sf), 5)["representatives"].select(
         "molecule_id", "structure", "p", "cluster", "rank"
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from assayspark.functions import structure as st
+from assayspark.functions import activity as act, structure as st
 from assayspark.operators import cluster, features, similarity, stats
 from workload.measures import cleaned
 from workload.registry import activity_raw, bits, q6, query, r6, rounded, structures, table
@@ -104,8 +104,8 @@ def feature_join(spark, sf):
 def valid_first_join(spark, sf):
     """Features of the valid rows only, matched by key whatever the order of the invalid ones."""
     rows = activity_raw(spark, sf).select("ord", "standard_value")
-    made = features.feature_job(rows.select("ord", "standard_value"), "standard_value", {"doubled": (lambda v: float(v) * 2, "double")})
-    return features.join_features(rows, made.select("ord", "doubled"), "ord")
+    made = rows.select("ord", (act.to_number(F.col("standard_value")) * 2).alias("doubled")).where("doubled is not null")
+    return features.join_features(rows, made, "ord")
 
 
 @query(
@@ -257,25 +257,25 @@ def kmeans(spark, sf):
 @query("attach_label")
 def attach_label(spark, sf):
     rows = vectors(spark, sf).drop("cluster")
-    _, model, _ = cluster.kmeans(rows, "features", 5, restarts=2)
+    _, model, _ = cluster.kmeans(rows, "features", 5)
     return cluster.attach_label(rows.select("id", "features"), model).select("id", "cluster")
 
 
 @query("k_curve")
 def k_curve(spark, sf):
     rows = vectors(spark, sf)
-    return cluster.k_curve(rows, "features", 4, restarts=2, key="id")
+    return cluster.k_curve(rows, "features", 10, key="id")
 
 
 @query("k_report")
 def k_report(spark, sf):
     rows = vectors(spark, sf).where("cluster = 1")
-    return cluster.k_report(rows, "features", 4, restarts=2, key="id")[1]
+    return cluster.k_report(rows, "features", 10, key="id", measure="euclidean")[1]
 
 
 @query("subcluster")
 def subcluster(spark, sf):
-    labelled, _, _ = cluster.subcluster(vectors(spark, sf), "features", 1, restarts=3)
+    labelled, _, _ = cluster.subcluster(vectors(spark, sf), "features", 1)
     return stats.group_stats(labelled, ["subcluster"], "pic50")
 
 
