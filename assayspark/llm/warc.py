@@ -26,6 +26,8 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith, WriterCommitMessage,
 )
 
+from assayspark.session import released, settle
+
 # Fixed values of the format: header names by column, in the order in which they are written.
 HEADERS = {
     "record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date",
@@ -208,12 +210,12 @@ def register(spark: SparkSession) -> None:
 
 def records_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, date: str = "2020-01-01T00:00:00Z") -> DataFrame:
     """A record per page. Of pages with equal payloads of at least `least` bytes the one with the largest id is the
-    response and the others revisit it. Payloads are found equal by SHA-256; only digests are grouped, and pages are
-    joined with the groups of two or more, of which there are few."""
+    response and the others revisit it. Payloads are found equal by SHA-256; only digests are grouped. The groups of two
+    or more are written once, so that their size is known when the pages are joined with them: few travel to the pages."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("same", F.when(F.length("payload") >= least, F.sha2("payload", 256)))
     first = rows.where("same is not null").groupBy("same").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(first.select("same", "first"), "same", "left")
+    rows = rows.join(settle(first.select("same", "first"), "equal-payloads"), "same", "left")
     revisits = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     return rows.select(
         F.when(revisits, "revisit").otherwise("response").alias("record_type"),
@@ -229,7 +231,8 @@ def records_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
 
 def write(records: DataFrame, path: str, per_file: int = 2000) -> None:
     register(records.sparkSession)
-    records.write.format("warc").mode("append").option("records", per_file).save(path)
+    with released(records.sparkSession):
+        records.write.format("warc").mode("append").option("records", per_file).save(path)
 
 
 def read(spark: SparkSession, path: str, payload: str = "response") -> DataFrame:
