@@ -2,9 +2,9 @@
 
 Equal fingerprints are collapsed first. Two sets can only reach similarity t if they share a bit
 among the first a - ceil(t a) + 1 of their a bits in a common order; with the rarest bits first,
-few sets share one. A bit that many training sets share is split into chunks of bounded size. Each
-candidate pair is met once, at its first common bit, and the pairs that reach the threshold are reduced
-to the best neighbour per query within the task, before anything is shuffled.
+few sets share one. A bit that many training sets share is split into chunks of bounded size. Sets are
+compared as packed words by counting common bits, and the pairs that reach the threshold are reduced to
+the best neighbour per query within the task, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -22,6 +22,17 @@ def tanimoto(common: Column, a: Column, b: Column) -> Column:
     return F.try_divide(common, a + b - common)
 
 
+def packed(bits: Column, n_bits: int) -> Column:
+    """On-bits as whole numbers of 64 bits each."""
+
+    def word(w: Column) -> Column:
+        own = F.filter(bits, lambda b: F.floor(b / 64) == w)
+        one = F.lit(1).cast("bigint")
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, (b % 64).cast("int"))))
+
+    return F.transform(F.sequence(F.lit(0), F.lit((n_bits - 1) // 64)), word)
+
+
 def _by_rarity(bits: Column, frequency: list[int]) -> Column:
     """The bits in ascending (frequency, bit)."""
     counts = numbers(frequency, "bigint")
@@ -69,27 +80,27 @@ def nearest_neighbours(
     known = settle(
         training.where(F.size(bits) > 0)
         .groupBy(F.sort_array(F.array_distinct(bits)).alias("_t"))
-        .agg(F.min(training_id).alias("neighbour")),
+        .agg(F.min(training_id).alias("neighbour"))
+        .withColumn("t", packed(F.col("_t"), n_bits)),
         "training",
     )
     asked = settle(
-        queries.select(F.col(query_id).alias("id"), F.sort_array(F.array_distinct(bits)).alias("_q")), "queries"
+        queries.select(F.col(query_id).alias("id"), F.sort_array(F.array_distinct(bits)).alias("_q")).withColumn(
+            "q", packed(F.col("_q"), n_bits)
+        ),
+        "queries",
     )
 
     frequency = [0] * n_bits
     for bit, n in known.select(F.explode("_t").alias("b")).groupBy("b").count().collect():  # at most n_bits rows
         frequency[bit] = n
 
-    right = known.select(_by_rarity(F.col("_t"), frequency).alias("t"), "neighbour").select(
-        "t", "neighbour", F.posexplode(_prefix(F.col("t"), threshold)).alias("j", "bit")
-    )
-    left = (
-        asked.where(F.size("_q") > 0)
-        .select("_q")
-        .distinct()
-        .withColumn("q", _by_rarity(F.col("_q"), frequency))
-        .select("_q", "q", F.posexplode(_prefix(F.col("q"), threshold)).alias("i", "bit"))
-    )
+    def prefixes(rows: DataFrame, own: str, words: str, size: str, place: str, *keep: str) -> DataFrame:
+        ordered = rows.select(words, F.size(own).alias(size), _prefix(_by_rarity(F.col(own), frequency), threshold).alias("_p"), *keep)
+        return ordered.select(words, size, F.posexplode("_p").alias(place, "bit"), *keep)
+
+    right = prefixes(known, "_t", "t", "b", "j", "neighbour")
+    left = prefixes(asked.where(F.size("_q") > 0).select("_q", "q").distinct(), "_q", "q", "a", "i")
 
     # Both sides of a shared bit are cut into chunks, and every chunk meets every chunk of the other side.
     left_parts, right_parts = _chunks(left, n_bits, chunk), _chunks(right, n_bits, chunk)
@@ -102,21 +113,21 @@ def nearest_neighbours(
         "left_part", F.explode(F.sequence(F.lit(0), left_parts - 1))
     ).repartition(tasks, *keys)
 
-    a, b, i, j = F.size("q"), F.size("t"), F.col("i"), F.col("j")
-    # At its first common bit a pair can share at most this bit and what is left of the shorter rest.
+    a, b, i, j = F.col("a"), F.col("b"), F.col("i"), F.col("j")
+    # A pair has at most this bit and what is left of the shorter rest from its first common bit on; at a later one the
+    # bound may drop it, as it was kept before. A pair met twice changes no minimum.
     most = F.least(a - i, b - j)
     needed = (a + b) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)
-    seen_before = F.arrays_overlap(F.slice("q", 1, i), F.slice("t", 1, j))
-    similarity = tanimoto(F.size(F.array_intersect("q", "t")), a, b)
+    common = F.aggregate(F.zip_with("q", "t", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda acc, n: acc + n)
     best = (
         left.join(right, keys)
-        .where((most >= needed) & ~seen_before)
-        .select("_q", "neighbour", similarity.alias("similarity"))
+        .where(most >= needed)
+        .select("q", "neighbour", tanimoto(common, a, b).alias("similarity"))
         .where(F.col("similarity") >= threshold)
-        .groupBy("_q")
+        .groupBy("q")
         .agg(F.min(F.struct((-F.col("similarity")).alias("away"), "neighbour")).alias("best"))
-        .select("_q", (-F.col("best.away")).alias("similarity"), "best.neighbour")
+        .select("q", (-F.col("best.away")).alias("similarity"), "best.neighbour")
     )
-    return asked.join(best, "_q", "left").select(
+    return asked.join(best, "q", "left").select(
         "id", "neighbour", "similarity", F.col("similarity").isNotNull().alias("in_domain")
     )
