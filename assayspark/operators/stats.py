@@ -367,6 +367,16 @@ def pair_panel(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> Dat
     return df.select(*key, F.inline(F.array(*cells)))
 
 
+def panel_diagonal(df: DataFrame, columns: Sequence[str], points: int = 200) -> DataFrame:
+    """Long form (property, point, x, density): the diagonal of the pair panel. Constant columns have no rows."""
+    shapes = column_shapes(df, columns)
+    out = None
+    for c in columns:
+        part = density(df, c, points, shape=shapes[c]).select(F.lit(c).alias("property"), "point", "x", "density")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """n, RMSE, R2 and MAE, for the whole table or per group, as plain aggregates; rows with a null or NaN don't count."""
     y = _number(df, actual)

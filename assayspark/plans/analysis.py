@@ -63,6 +63,23 @@ def first_table(spark: SparkSession, candidates: Sequence[str]) -> DataFrame | N
     return None
 
 
+# The tables of a run, the richest first, by what they are read for.
+RUN_TABLES = {
+    "base": ("activity", "clustered", "properties"),
+    "properties": ("properties", "clustered"),
+    "clustered": ("subclustered", "clustered"),
+    "vectors": ("fingerprints",),
+}
+
+
+def analyse_run(spark: SparkSession, folder: str, value: str, key: Sequence[str], **options) -> dict[str, dict[str, DataFrame]]:
+    """`analyse` over what a run left in a folder: for each use the first of its tables that exists."""
+    found = {use: first_table(spark, [f"{folder.rstrip('/')}/{name}" for name in names]) for use, names in RUN_TABLES.items()}
+    if found["base"] is None:
+        raise ValueError(f"{folder} has none of {', '.join(RUN_TABLES['base'])}")
+    return analyse(found.pop("base"), value, key, **found, **options)
+
+
 def analyse(
     base: DataFrame,
     value: str,

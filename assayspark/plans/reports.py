@@ -88,6 +88,9 @@ def property_activity_report(
     exclude: Sequence[str] = LABEL_COLUMNS,
     key: Sequence[str] = ("molecule_id",),
     matrix_columns: int = 15,
+    focus: int = 10,
+    lines: int = 6,
+    panel: int = 3,
 ) -> dict[str, DataFrame] | None:
     """Correlations, trends, matrices and the pair panel. None when there are fewer than 5 properties.
 
@@ -102,7 +105,7 @@ def property_activity_report(
     rows = found.collect()
     correlations = df.sparkSession.createDataFrame([r for r in rows if r.property in chosen], found.schema)
     ranked = [r.property for r in rows if r.property in chosen]
-    overall = [r.property for r in rows if r.property in numeric][:10]
+    overall = [r.property for r in rows if r.property in numeric][:focus]
     full = stats.correlation_matrix(df, [*numeric, value])
 
     def among(columns: Sequence[str]) -> DataFrame:
@@ -110,12 +113,13 @@ def property_activity_report(
 
     return {
         "correlations": correlations,
-        "trends": stats.trend_lines(df, ranked[:6], value),
+        "trends": stats.trend_lines(df, ranked[:lines], value),
         "matrix": among([*numeric[:matrix_columns], value]),
         "focus_matrix": among([*overall, value]),
         "full_matrix": full,
         "lines": correlations.select(F.format_string("%s: r = %.3f", "property", "r").alias("line")),
-        "pairs": stats.pair_panel(df, key, [*ranked[:3], value]),
+        "pairs": stats.pair_panel(df, key, [*ranked[:panel], value]),
+        "diagonal": stats.panel_diagonal(df, [*ranked[:panel], value]),
     }
 
 
