@@ -185,32 +185,65 @@ def alike(left: list[tuple], right: list[tuple], allowed: np.ndarray, threshold:
                 yield i, int(j)
 
 
+def _cell_links(cell: pa.Table, sets: list[tuple], settings: Settings) -> Iterator[tuple[int, int]]:
+    """The links of one cell, whose rows have these sets."""
+    side, nodes, component = (cell.column(c).to_numpy() for c in ("side", "node", "component"))
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    allowed = component[a][:, None] != component[b][None, :]
+    band = cell.column("band")[0].as_py()
+    if band > 0:
+        bands = np.array(cell.column("bands").to_pylist(), np.int64)
+        for earlier in range(band):
+            allowed &= bands[a, earlier][:, None] != bands[b, earlier][None, :]
+    for i, j in alike([sets[i] for i in a], [sets[i] for i in b], allowed, settings.threshold):
+        yield nodes[a[i]], nodes[b[j]]
+
+
 def verified(cells: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """The links (a, b) between the two sides of each cell. cells: cell, band, side, node, component; texts: node, text, bands.
 
     Nodes of different components are compared if they share the cell's band and no earlier one, so a pair that meets in
-    several buckets is compared once; in cells with band -1 all are.
+    several buckets is compared once; in cells with band -1 all are. Cells come to a task one after the other; a task
+    holds whole cells of a few megabytes at a time.
     """
-    rows = cells.join(texts, "node")
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        side, nodes, component = (group.column(c).to_numpy() for c in ("side", "node", "component"))
-        band = group.column("band")[0].as_py()
-        column = group.column("text")
-        hashes, owner, weights = weighted(Words(column.chunk(0) if column.num_chunks else pa.array([], pa.string()), lower=True), settings.size)
-        cut = np.searchsorted(owner, np.arange(len(nodes) + 1))
-        sets = [(hashes[i:j], weights[i:j]) for i, j in zip(cut[:-1], cut[1:])]
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        allowed = component[a][:, None] != component[b][None, :]
-        if band >= 0:
-            bands = np.array(group.column("bands").to_pylist(), np.int64)
-            for earlier in range(band):
-                allowed &= bands[a, earlier][:, None] != bands[b, earlier][None, :]
-        found = list(alike([sets[i] for i in a], [sets[i] for i in b], allowed, settings.threshold))
-        return pa.table({"a": pa.array([nodes[a[i]] for i, _ in found], pa.int64()), "b": pa.array([nodes[b[j]] for _, j in found], pa.int64())})
-
-    return rows.groupBy("cell").applyInArrow(compare, "a long, b long")
+    rows = cells.join(texts, "node").repartition("cell").sortWithinPartitions("cell")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            names = held.column("cell").to_pylist()
+            whole = names.index(names[-1])  # the last cell may go on in the next batch
+            if whole:
+                yield from found(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None:
+            yield from found(held)
+
+    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        names = table.column("cell").to_pylist()
+        begins = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+        column = table.column("text").combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        size, at = np.cumsum([0, *column.fill_null("").to_pandas().str.len()]), 0
+        links: list[tuple[int, int]] = []
+        while at < len(begins) - 1:
+            to = at + 1
+            while to < len(begins) - 1 and size[begins[to + 1]] - size[begins[at]] <= 2 << 20:
+                to += 1
+            first, last = begins[at], begins[to]
+            hashes, owner, weights = weighted(Words(column[first:last], lower=True), settings.size)
+            cut = np.searchsorted(owner, np.arange(last - first + 1))
+            sets = [(hashes[i:j], weights[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+            for k in range(at, to):
+                i, j = begins[k], begins[k + 1]
+                links += _cell_links(table.slice(i, j - i), sets[i - first : j - first], settings)
+            at = to
+        if links:
+            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def _star_cells(stars: DataFrame, settings: Settings) -> DataFrame:

@@ -17,6 +17,7 @@ own. An empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,9 +40,12 @@ def tune(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
     """Bands and rows: the most selective rows, and the bands for them, that propose similar pairs with this recall within `most` hashes."""
     found = (most, 1)
     for rows in range(1, most + 1):
-        bands = int(np.ceil(np.log(1 - recall) / np.log(1 - threshold**rows))) if threshold**rows < 1 else 1
+        # all rows of a band agree with probability threshold ** rows
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows))) if threshold**rows < 1 else 1
         if bands * rows <= most:
             found = (bands, rows)
+        else:
+            break
     return found
 
 
@@ -228,7 +232,7 @@ def _piece_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> Data
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """Spans to remove: row, doc_id, start, end, n_words, kept_doc_id (where the first piece of the span stays), kept_doc_ids."""
+    """Spans to remove: row, doc_id, start, end, n_words, kept_doc_ids (where its pieces stay) and kept_doc_id, the first of them."""
     spark = docs.sparkSession
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -259,7 +263,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     run = F.col("number") - F.row_number().over(Window.partitionBy("row").orderBy("number"))
     spans = removed.withColumn("run", run).groupBy("row", "doc_id", "run").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("end"), F.sum("words").alias("n_words"),
-        F.min(F.struct("number", "first.doc_id"))["doc_id"].alias("kept_doc_id"),
+        F.min("first.doc_id").alias("kept_doc_id"),
         F.sort_array(F.collect_set("first.doc_id")).alias("kept_doc_ids"),
     )
     return spans.where(F.col("n_words") >= settings.least).drop("run")
