@@ -155,7 +155,7 @@ def decide(docs: DataFrame, domain: Column, language: Column, source: Column, do
 def mixed(docs: DataFrame, domain: Column, language: Column, source: Column, doc_id: Column, text: Column, plan: Plan = Plan()) -> DataFrame:
     """The rows of the mixture, each as often as it is taken, with their own columns. Texts are not shuffled."""
     _, leaves = plan_leaves(docs, domain, language, source, doc_id, text, plan)
-    own = F.struct(*docs.columns).alias("row")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(own, domain.alias("domain"), language.alias("language"), source.alias("source"), doc_id.alias("doc_id"))
     rows = by_leaf(rows, settle(leaves, "cuts"))
     rows = rows.select("r.row", copies(F.col("r.doc_id"), F.col("l.whole"), F.col("l.cut"), plan.seed)).where("copies > 0")
