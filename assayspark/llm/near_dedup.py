@@ -38,6 +38,7 @@ class Settings:
     bands: int = 24
     rows: int = 7
     members: int = 256  # texts that a side of one comparison holds, about
+    sets: bool = False  # compare plain sets: every shingle weighs 1 however often it occurs
 
 
 def text_keys(words: Words) -> np.ndarray:
@@ -156,33 +157,56 @@ def words_key(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(keys, pa.binary())
 
 
+DENSE = 1 << 22  # entries that the tables of shared shingles of a block may have
+
+
+def _shared(left: list[tuple], right: list[tuple]) -> np.ndarray | None:
+    """Numbers of common hashes of all pairs as one product of 0/1 tables, or None where those would be too large."""
+    hashes = np.concatenate([h for h, _ in [*left, *right]])
+    known, column = np.unique(hashes, return_inverse=True)
+    if len(known) * max(len(left), len(right)) > DENSE or len(left) * len(right) < 64:
+        return None
+    row = np.repeat(np.arange(len(left) + len(right)), [len(h) for h, _ in [*left, *right]])
+    table = np.zeros((len(left) + len(right), len(known)), np.float32)
+    table[row, column] = 1
+    return table[: len(left)] @ table[len(left) :].T
+
+
 def alike(left: list[tuple], right: list[tuple], allowed: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
     """The allowed pairs of sets that are similar enough, by position.
 
-    The sum of the smaller shares bounds the similarity from above, and sets without repeats have the plain Jaccard
-    similarity; both come for all of `right` at once. Only what is left needs the full formula.
+    Sets without repeats have the plain Jaccard similarity, from the number of common hashes. For others the sum of the
+    smaller shares bounds the similarity from above; only what it leaves needs the full formula.
     """
-    if not left or not right:
+    if not left or not right or not allowed.any():
         return
     hashes = np.concatenate([h for h, _ in right])
     weights = np.concatenate([w for _, w in right])
     sizes = np.array([len(h) for h, _ in right])
-    totals = np.array([max(w.sum(), 1.0) for _, w in right])
     plain = np.array([len(h) == w.sum() for h, w in right])
+    simple = np.array([len(h) == w.sum() for h, w in left])[:, None] & plain[None, :]
+    own_sizes = np.array([len(h) for h, _ in left])
+    least = threshold - 1e-12
+    both = _shared(left, right)
+    if both is not None:
+        near = allowed & simple & (both > 0) & (both >= least * (own_sizes[:, None] + sizes[None, :] - both))
+        yield from zip(*map(np.ndarray.tolist, np.nonzero(near)))
+        allowed = allowed & ~simple & (both > 0)
+    totals = np.array([max(w.sum(), 1.0) for _, w in right])
     owner = np.repeat(np.arange(len(right)), sizes)
     share = weights / totals[owner]
-    for i, (own, weight) in enumerate(left):
-        if not len(own) or not allowed[i].any():
+    for i in np.flatnonzero(allowed.any(axis=1)):
+        own, weight = left[i]
+        if not len(own):
             continue
         at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
         hit = own[at] == hashes
-        both = np.bincount(owner[hit], minlength=len(right))
+        common = np.bincount(owner[hit], minlength=len(right))
         bound = np.bincount(owner[hit], np.minimum(share[hit], weight[at[hit]] / weight.sum()), len(right))
-        simple = plain & (len(own) == weight.sum())
-        near = both >= (threshold - 1e-12) * (sizes + len(own) - both)
+        near = common >= least * (sizes + len(own) - common)
         for j in np.flatnonzero(allowed[i] & (bound >= threshold - 1e-9)):
-            if near[j] if simple[j] else similarity(left[i], right[j]) >= threshold - 1e-12:
-                yield i, int(j)
+            if near[j] if simple[i, j] else similarity(left[i], right[j]) >= least:
+                yield int(i), int(j)
 
 
 def _cell_links(cell: pa.Table, sets: list[tuple], settings: Settings) -> Iterator[tuple[int, int]]:
@@ -235,6 +259,7 @@ def verified(cells: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
             first, last = begins[at], begins[to]
             hashes, owner, weights = weighted(Words(column[first:last], lower=True), settings.size)
             cut = np.searchsorted(owner, np.arange(last - first + 1))
+            weights = np.ones(len(weights)) if settings.sets else weights
             sets = [(hashes[i:j], weights[i:j]) for i, j in zip(cut[:-1], cut[1:])]
             for k in range(at, to):
                 i, j = begins[k], begins[k + 1]

@@ -10,7 +10,7 @@ Of a cluster the first occurrence (smallest doc_id, nulls last, then first place
 if they are in another document, and only in runs of neighbouring pieces with at least `least` words together, so short
 shared lines stay. Spans are word numbers, the end exclusive.
 
-Texts are read once into blocks; per block distinct pieces and band values go, packed, to buckets, so a piece that a third
+Texts are read into blocks; per block distinct pieces and band values go, packed, to buckets, so a piece that a third
 of all documents share is sent once a block. Null and empty texts have no pieces; repeated rows are documents of their
 own. An empty table gives an empty result; other columns are not read.
 """
@@ -55,8 +55,8 @@ class Settings:
     least: int = 20
     size: int = 5
     threshold: float = 0.8
-    bands: int = 3  # tune(0.8, 0.99, most=3): pieces have few windows, so one hash a band is selective enough
-    rows: int = 1
+    bands: int = 5  # tune(0.8, 0.99, most=10)
+    rows: int = 2
     block_tokens: int = 600_000
 
 
@@ -94,25 +94,32 @@ def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndar
     return lengths, u, keys.view(np.int64)
 
 
+def repeats(words: Words, first: np.ndarray, lengths: np.ndarray, reach: int = 8) -> np.ndarray:
+    """Pieces in which a word occurs again within `reach` words."""
+    piece, out = np.repeat(np.arange(len(first)), lengths), np.zeros(len(first), bool)
+    for k in range(1, min(reach, len(piece))):
+        again = (piece[k:] == piece[:-k]) & (words.hash[k:] == words.hash[:-k])
+        out[piece[k:][again]] = True
+    return out
+
+
 def _rows(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[]] * 4
     return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary()])], ["to", "kind", "source", "payload"])
 
 
-def blocks(docs: DataFrame, buckets: int, settings: Settings) -> DataFrame:
-    """Blocks of documents by their pieces, the distinct pieces for each bucket, and their band keys. docs: doc_id, text."""
+def blocks(docs: DataFrame, buckets: int, settings: Settings, bands: bool) -> DataFrame:
+    """Blocks of documents by their pieces and the distinct pieces for each bucket; or else their band keys. docs: doc_id, text.
 
-    def made(parts: list[tuple], block: int) -> pa.Table:
-        ids, no_id, pieces, first, lengths, u, keys = (np.concatenate([p[i] for p in parts]) for i in range(7))
+    A set of s windows can reach the threshold t with a different one only if s / (s + 1) does. Smaller pieces are found
+    by their words alone and have no band keys, unless a word repeats: then other words may have the same windows.
+    """
+    smallest = math.ceil(settings.threshold / (1 - settings.threshold) - 1e-9) if settings.threshold < 1 else 1 << 30
+
+    def banded(u: np.ndarray, large: np.ndarray, keys: np.ndarray) -> pa.Table:
         known, which = np.unique(u, return_index=True)
-        rows = [(block, BLOCK, block, pack(ids, no_id.astype(np.uint8), pieces, first.astype(np.int32), lengths.astype(np.int32), u))]
-        bucket = np.mod(known, buckets)
-        order = np.argsort(bucket, kind="stable")
-        at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        times = np.unique(u, return_counts=True)[1]
-        for b in np.flatnonzero(np.diff(at)):
-            own = order[at[b] : at[b + 1]]
-            rows.append((int(b), PIECE, block, pack(np.diff(known[own], prepend=0), np.minimum(times[own], 2).astype(np.uint8))))
+        large = large[which]
+        known, which, rows = known[large], which[large], []
         for band in range(keys.shape[1]):
             key = keys[which, band]
             bucket = np.mod(key, buckets)
@@ -123,6 +130,20 @@ def blocks(docs: DataFrame, buckets: int, settings: Settings) -> DataFrame:
                 rows.append((int(b), BAND, band, pack(np.diff(key[own], prepend=0), known[own])))
         return _rows(rows)
 
+    def made(parts: list[tuple], block: int) -> pa.Table:
+        ids, no_id, pieces, first, lengths, u, keys, large = (np.concatenate([p[i] for p in parts]) for i in range(8))
+        if bands:
+            return banded(u, large, keys)
+        known, times = np.unique(u, return_counts=True)
+        rows = [(block, BLOCK, block, pack(ids, no_id.astype(np.uint8), pieces, first.astype(np.int32), lengths.astype(np.int32), u))]
+        bucket = np.mod(known, buckets)
+        order = np.argsort(bucket, kind="stable")
+        at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(at)):
+            own = order[at[b] : at[b + 1]]
+            rows.append((int(b), PIECE, block, pack(np.diff(known[own], prepend=0), np.minimum(times[own], 2).astype(np.uint8))))
+        return _rows(rows)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts, tokens = TaskContext.get().partitionId() << 20, [], 0
         for batch in batches:
@@ -134,7 +155,8 @@ def blocks(docs: DataFrame, buckets: int, settings: Settings) -> DataFrame:
                 first = cut(words, settings.reach)
                 lengths, u, keys = sketch(words, first, settings)
                 pieces = np.bincount(words.owner[first], minlength=e - s)
-                parts.append((ids[s:e], no_id[s:e], pieces, first - words.starts[words.owner[first]], lengths, u, keys))
+                large = (lengths - settings.size + 1 >= smallest) | repeats(words, first, lengths)
+                parts.append((ids[s:e], no_id[s:e], pieces, first - words.starts[words.owner[first]], lengths, u, keys, large))
                 tokens += len(words.hash) + 4 * (e - s)  # so a block holds fewer than 2^20 rows
                 if tokens >= settings.block_tokens:
                     yield from made(parts, block).to_batches()
@@ -238,10 +260,12 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     path = new_path(spark, "pieces")
     with released(spark):
-        blocks(rows, buckets, settings).write.partitionBy("kind").parquet(path)
+        blocks(rows, buckets, settings, bands=False).write.partitionBy("kind").parquet(path)
     made = spark.read.schema(ROW).parquet(path)
 
-    hits = settle(made.where(F.col("kind") == BAND).groupBy("to").applyInArrow(crowded, "bucket long, band int, node long, n long"), "hits")
+    # band keys are many and read once: they go to their buckets straight from a second reading of the texts
+    keys = blocks(rows, buckets, settings, bands=True)
+    hits = settle(keys.groupBy("to").applyInArrow(crowded, "bucket long, band int, node long, n long"), "hits")
     asked = hits.select("node").distinct().select(
         F.pmod("node", F.lit(buckets)).alias("to"), F.lit(WANTED).alias("kind"), F.col("node").alias("source"), F.lit(None).cast("binary").alias("payload")
     )
@@ -253,7 +277,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start", "words")).alias("p")
     )
     texts = settle(_piece_texts(rows, wanted.select("node", "p.doc_id", "p.start", "p.words"), settings), "texts")
-    near = near_dedup.Settings(size=settings.size, threshold=settings.threshold, bands=settings.bands, rows=settings.rows)
+    near = near_dedup.Settings(size=settings.size, threshold=settings.threshold, bands=settings.bands, rows=settings.rows, sets=True)
     found = components(near_dedup.linked(hits, texts, near))
 
     placed = places.join(found, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
