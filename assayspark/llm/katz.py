@@ -53,6 +53,25 @@ class Level:
     hot: dict[int, np.ndarray] = field(default_factory=dict)
 
 
+def steps(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted n-grams as steps: from history to history, and from word to word within one history."""
+    step = word.copy()
+    same = history[1:] == history[:-1]
+    step[1:][same] -= word[:-1][same]
+    return np.diff(history, prepend=0), step
+
+
+def walked(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of `steps`."""
+    if not len(history):
+        return history, word
+    first = history != 0
+    first[0] = True
+    run = np.cumsum(word)
+    base = (run - word)[first]
+    return np.cumsum(history), run - base[np.cumsum(first) - 1]
+
+
 def good_turing(times: np.ndarray, cutoff: int) -> np.ndarray:
     """Discounts of the counts 0 to `cutoff`, from how many n-grams have the counts 0 to `cutoff` + 1.
 
@@ -144,8 +163,9 @@ def _counted(buckets: int, settings: Settings, total: float):
             word, count = (np.concatenate([a[i] for a in asked]) for i in range(2))
             keys, index = np.unique(word, return_inverse=True)
         else:
-            history = np.concatenate([np.cumsum(a[0]) for a in asked])
-            word, count = (np.concatenate([a[i] for a in asked]) for i in range(1, 3))
+            grams = [walked(a[0], a[1]) for a in asked]
+            history, word = (np.concatenate([g[i] for g in grams]) for i in range(2))
+            count = np.concatenate([a[2] for a in asked])
             lower = np.concatenate([a[3][a[4]] for a in asked])
             order = np.lexsort((word, history))
             new = np.ones(len(order), bool)
@@ -185,7 +205,7 @@ def _counted(buckets: int, settings: Settings, total: float):
             for i in np.flatnonzero(np.isin(histories, list(hot_histories))):
                 rows.append((int(histories[i]), HOT, level, bucket, None, sums[i].tolist()))
             seen = counts > 0
-            model = pack(h[seen], w[seen], counts[seen], number[seen])
+            model = pack(*steps(h[seen], w[seen]), counts[seen], *([number[seen]] if level < settings.order else []))
         rows.append((bucket, MODEL, level, bucket, model, [float(counts.sum()), float((counts > 0).sum()), *small[1:]]))
         return _rows(rows)
 
@@ -255,7 +275,7 @@ class Block:
         for b in np.flatnonzero(np.diff(cut)):
             own = slice(cut[b], cut[b + 1])
             values, code = np.unique(low[own], return_inverse=True)  # few probabilities, many n-grams
-            rows.append((int(b), ASKED, level, self.number, pack(np.diff(h[own], prepend=0), w[own], count[own], values, code.astype(np.int32)), None))
+            rows.append((int(b), ASKED, level, self.number, pack(*steps(h[own], w[own]), count[own], values, code.astype(np.int32)), None))
         return _rows(rows)
 
     def climb(self, level: int) -> None:

@@ -13,7 +13,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     out = [struct.pack("<H", len(arrays))]
     for a in arrays:
         a = np.ascontiguousarray(a)
-        body = zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1) if len(a) else b""
+        body = zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 3) if len(a) else b""
         out.append(struct.pack("<2sQQ", a.dtype.str[1:].encode(), len(a), len(body)) + body)
     return b"".join(out)
 
