@@ -68,7 +68,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes of text (one row at least), so that what is held at once stays bounded."""
     _, offs = bytes_of(column)
     at = 0

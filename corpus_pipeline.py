@@ -9,18 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from assayspark.llm import exact_dedup, near_dedup, queries, quality_rules, source_mix
+from assayspark.llm.common import small_batches
 from assayspark.session import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality_rules.keep_good(docs, queries.fitted_ratio(spark, sf_dir, docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return exact_dedup.keep_first(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dedup.keep_one(docs)
 
 
@@ -29,6 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return queries.coded(docs)
 
 
