@@ -23,6 +23,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from assayspark.llm.common import Shared
 from assayspark.llm.words import slices
 
 CACHED = 100_000  # pre-tokens that a task remembers before it starts anew: a bound on memory, not on results
@@ -143,7 +144,7 @@ class Coder:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: str = "ids") -> DataFrame:
     """Add the ids of each row's whole text as an array of int."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = Shared(docs.sparkSession, vocabulary)
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -157,7 +158,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: st
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the bytes that each row's ids stand for."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = Shared(rows.sparkSession, vocabulary)
 
     @F.arrow_udf("binary")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 import functools
+import pickle
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+class Shared:
+    """A value sent to every task once. It is pickled with its class, so tasks don't need this package."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self._sent.value)
+
+
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

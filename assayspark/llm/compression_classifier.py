@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from assayspark.llm.common import bounded_ids, order_key
+from assayspark.llm.common import Shared, bounded_ids, order_key
 from assayspark.llm.words import bytes_of
 
 
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 def score(docs: DataFrame, model: Classifier, text: str | Column = "text", into: str = "score") -> DataFrame:
     """Add the score, from 0 to 1, of each row's whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     @F.arrow_udf(DoubleType())
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

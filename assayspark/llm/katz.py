@@ -25,9 +25,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from assayspark.llm.common import Shared
 from assayspark.llm.packed import pack, unpack
 from assayspark.llm.words import Words, mix, slices
 from assayspark.session import discard, new_path, released
@@ -364,7 +364,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
         for part in held[1:]:
             together = together.unionByName(part)
         together = together.drop("sums")
-        state = spark.sparkContext.broadcast((list(levels), dict(known)))
+        state = Shared(spark, (list(levels), dict(known)))
         if level < settings.order:
             hot = _hot_histories(table, level, known, settings)
 
@@ -373,7 +373,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     return together.groupBy("to").applyInArrow(finish, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _after(level: int, state: Broadcast, settings: Settings, buckets: int, ask: bool):
+def _after(level: int, state: Shared, settings: Settings, buckets: int, ask: bool):
     """What a block does once `level` is answered: ask for the next one, or score its texts."""
 
     def run(group: pa.Table) -> pa.Table:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from assayspark.llm.common import bounded_ids
+from assayspark.llm.common import Shared, bounded_ids
 from assayspark.llm.words import SPACES, Words, as_bytes, mix, slices, text_sums, windows
 
 SYMBOLS = b"#*$%&|<>"  # fixed values: the characters that count as symbols
@@ -131,7 +131,7 @@ def judge(column: pa.Array, fitted: Ratio) -> pa.StructArray:
 
 def measure(docs: DataFrame, ratio: Ratio, text: str = "text", into: str = "quality") -> DataFrame:
     """Add a struct column `into` with the statistics, the ratio and the verdicts of each row's whole text."""
-    model = docs.sparkSession.sparkContext.broadcast(ratio)
+    model = Shared(docs.sparkSession, ratio)
 
     @F.arrow_udf(from_arrow_schema(pa.schema(list(MEASURED.items()))))
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
