@@ -7,8 +7,13 @@ piece are its set; bands of MinHash values propose pairs of different pieces, th
 connected components of the links are clusters. `tune` picks the fewest hashes that reach the wanted recall.
 
 Of a cluster the first occurrence (smallest doc_id, nulls last, then first place) stays. Other occurrences are removed
-if they are in another document, and only in runs of neighbouring pieces with at least `least` words together, so short
-shared lines stay. Spans are word numbers, the end exclusive.
+if they are in another document, and only in runs of at least `least` words together, so short shared lines stay.
+Spans are word numbers, the end exclusive.
+
+Pieces are also seeds: those of one document that stay in the same other document, in order and at most `context` words
+apart, are a chain. The words of both documents are compared from `context` words before the chain to as many behind
+it, over unmatched pieces too, by windows of five words shared in the same order. The longest runs whose share of such
+windows (Jaccard) reaches the threshold are removed whole, with the edited words inside.
 
 Texts are read into blocks; per block distinct pieces and band values go, packed, to buckets, so a piece that a third
 of all documents share is sent once a block. Null and empty texts have no pieces; repeated rows are documents of their
@@ -18,13 +23,15 @@ own. An empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from assayspark.llm import near_dedup
 from assayspark.llm.components import components
@@ -33,6 +40,7 @@ from assayspark.llm.words import Words, as_bytes, mix, slices, windows
 from assayspark.session import new_path, released, settle
 
 BLOCK, PIECE, BAND, FOUND, WANTED = range(5)  # kinds of rows
+OTHER = [("other_text", pa.int64()), ("other_start", pa.int32()), ("other_end", pa.int32()), ("words", pa.binary())]
 ROW = "to long, kind int, source long, payload binary"
 
 
@@ -58,6 +66,7 @@ class Settings:
     bands: int = 5  # tune(0.8, 0.99, most=10)
     rows: int = 2
     block_tokens: int = 600_000
+    context: int = 64  # more than two pieces: a longer equal stretch has a seed of its own
 
 
 def cut(words: Words, reach: int) -> np.ndarray:
@@ -94,6 +103,71 @@ def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndar
     return lengths, u, keys.view(np.int64)
 
 
+def text_keys(words: Words) -> np.ndarray:
+    """A fingerprint per text, of its words in order."""
+    run, place = np.zeros(len(words.hash) + 1, np.uint64), np.arange(len(words.hash)) - words.starts[words.owner]
+    with np.errstate(over="ignore"):
+        np.cumsum(words.hash * (2 * place + 1).astype(np.uint64), out=run[1:])
+        return mix(np.diff(run[words.starts]) + words.lengths().astype(np.uint64), 32).view(np.int64)
+
+
+def _timed(keys: np.ndarray) -> np.ndarray:
+    """Keys that also say how often the same one came before."""
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order][1:] != keys[order][:-1]
+    start = np.flatnonzero(new)
+    times = np.zeros(len(keys), np.uint64)
+    times[order] = np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys))))
+    with np.errstate(over="ignore"):
+        return mix(keys + mix(times, 23), 33)
+
+
+def _rising(values: np.ndarray) -> np.ndarray:
+    """Places of a longest rising part of the values."""
+    tops: list[int] = []
+    ends: list[int] = []
+    before = np.full(len(values), -1)
+    for k, v in enumerate(values.tolist()):
+        at = bisect_left(tops, v)
+        before[k] = ends[at - 1] if at else -1
+        tops[at : at + 1], ends[at : at + 1] = [v], [k]
+    out, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        out.append(k)
+        k = int(before[k])
+    return np.array(out[::-1], np.int64)
+
+
+def alike(words: np.ndarray, others: np.ndarray, size: int, threshold: float) -> list[tuple[int, int]]:
+    """Runs of `words`, the longest first, whose windows have at least this Jaccard similarity with a run of `others`."""
+    if min(len(words), len(others)) < size:
+        return []
+    own, other = (_timed(windows(w, size)[: len(w) - size + 1]) for w in (words, others))
+    _, i, j = np.intersect1d(own, other, return_indices=True)
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    if (np.diff(j) < 0).any():
+        kept = _rising(j)
+        i, j = i[kept], j[kept]
+    if not len(i):
+        return []
+    broken = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1))
+    first, last = np.append(0, broken + 1), np.append(broken, len(i) - 1)
+    out, todo = [], [(0, len(first))]
+    while todo:
+        s, e = todo.pop()
+        if s == e:
+            continue
+        p, q = first[s:e, None], last[None, s:e]
+        shared, long, wide = q - p + 1, i[q] - i[p] + 1, j[q] - j[p] + 1
+        right = (shared > 0) & (shared >= threshold * (long + wide - shared) - 1e-9)
+        a, b = np.unravel_index(np.argmax(np.where(right, long, 0)), right.shape)  # one block alone is always right
+        out.append((int(i[first[s + a]]), int(i[last[s + b]]) + size))
+        todo += [(s, s + a), (s + b + 1, e)]
+    return out
+
+
 def repeats(words: Words, first: np.ndarray, lengths: np.ndarray, reach: int = 8) -> np.ndarray:
     """Pieces in which a word occurs again within `reach` words."""
     piece, out = np.repeat(np.arange(len(first)), lengths), np.zeros(len(first), bool)
@@ -131,11 +205,11 @@ def blocks(docs: DataFrame, buckets: int, settings: Settings, bands: bool) -> Da
         return _rows(rows)
 
     def made(parts: list[tuple], block: int) -> pa.Table:
-        ids, no_id, pieces, first, lengths, u, keys, large = (np.concatenate([p[i] for p in parts]) for i in range(8))
+        ids, no_id, pieces, first, lengths, u, keys, large, of_text = (np.concatenate([p[i] for p in parts]) for i in range(9))
         if bands:
             return banded(u, large, keys)
         known, times = np.unique(u, return_counts=True)
-        rows = [(block, BLOCK, block, pack(ids, no_id.astype(np.uint8), pieces, first.astype(np.int32), lengths.astype(np.int32), u))]
+        rows = [(block, BLOCK, block, pack(ids, no_id.astype(np.uint8), pieces, first.astype(np.int32), lengths.astype(np.int32), u, of_text))]
         bucket = np.mod(known, buckets)
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -156,7 +230,7 @@ def blocks(docs: DataFrame, buckets: int, settings: Settings, bands: bool) -> Da
                 lengths, u, keys = sketch(words, first, settings)
                 pieces = np.bincount(words.owner[first], minlength=e - s)
                 large = (lengths - settings.size + 1 >= smallest) | repeats(words, first, lengths)
-                parts.append((ids[s:e], no_id[s:e], pieces, first - words.starts[words.owner[first]], lengths, u, keys, large))
+                parts.append((ids[s:e], no_id[s:e], pieces, first - words.starts[words.owner[first]], lengths, u, keys, large, text_keys(words)))
                 tokens += len(words.hash) + 4 * (e - s)  # so a block holds fewer than 2^20 rows
                 if tokens >= settings.block_tokens:
                     yield from made(parts, block).to_batches()
@@ -210,11 +284,11 @@ def occurrences(group: pa.Table) -> pa.Table:
     """All places in a block of the pieces it was told of."""
     kind, payload = group.column("kind").to_pylist(), group.column("payload").to_pylist()
     found = np.concatenate([np.zeros(0, np.int64), *[unpack(p)[0] for k, p in zip(kind, payload) if k == FOUND]])
-    names = ["node", "row", "doc_id", "number", "start", "words"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    names = ["node", "row", "doc_id", "number", "start", "words", "of_text"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
     if BLOCK not in kind:
         return pa.table([pa.array([], t) for t in kinds], names)
-    ids, no_id, pieces, first, lengths, u = unpack(payload[kind.index(BLOCK)])
+    ids, no_id, pieces, first, lengths, u, of_text = unpack(payload[kind.index(BLOCK)])
     at = np.flatnonzero(np.isin(u, found))
     doc = np.repeat(np.arange(len(ids)), pieces)
     number = np.arange(len(u)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -222,7 +296,7 @@ def occurrences(group: pa.Table) -> pa.Table:
     row = (group.column("to")[0].as_py() << 20) + d
     return pa.table([
         pa.array(u[at]), pa.array(row), pa.array(ids[d], pa.int64(), mask=no_id[d].astype(bool)), pa.array(number[at], pa.int32()),
-        pa.array(first[at], pa.int32()), pa.array(lengths[at], pa.int32()),
+        pa.array(first[at], pa.int32()), pa.array(lengths[at], pa.int32()), pa.array(of_text[d]),
     ], names)
 
 
@@ -253,6 +327,67 @@ def _piece_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> Data
     return rows.mapInArrow(cut_out, "node long, text string, bands array<long>").dropDuplicates(["node"])
 
 
+def _word_runs(docs: DataFrame, wanted: DataFrame, made: Callable, kinds: pa.Schema) -> DataFrame:
+    """Give `made` the word hashes of wanted runs, one by one. wanted: doc_id, place (of_text, start, end, ...); docs: doc_id, text."""
+    places = wanted.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list("place").alias("places"))
+    rows = docs.join(places, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "places")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, e in slices(batch.column("text")):
+                words = Words(batch.column("text")[s:e], lower=True)
+                keys = text_keys(words)
+                out = []
+                for k, places in enumerate(batch.column("places")[s:e]):
+                    own = words.hash[words.starts[k] : words.starts[k + 1]]
+                    for p in places.as_py():
+                        if p["of_text"] == keys[k]:  # another row of the same id may have another text
+                            out += made(p, own[p["start"] : p["end"]])
+                yield pa.RecordBatch.from_pylist(out, kinds)
+
+    return rows.mapInArrow(read, from_arrow_schema(kinds))
+
+
+def near_runs(removed: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """row, doc_id, start, end, kept: near copies around removed pieces, edited words included. docs: doc_id, text."""
+    seeds = removed.where(F.col("of_text") != F.col("first.of_text")).select(
+        "row", "doc_id", "of_text", "start", (F.col("start") + F.col("words")).alias("end"), F.col("first.row").alias("other_row"),
+        F.col("first.doc_id").alias("kept"), F.col("first.of_text").alias("other_text"), F.col("first.start").alias("other_start"),
+        (F.col("first.start") + F.col("first.words")).alias("other_end"),
+    )
+    pair = Window.partitionBy("row", "other_row").orderBy("start")
+    gap, other_gap = F.col("start") - F.lag("end").over(pair), F.col("other_start") - F.lag("other_end").over(pair)
+    joined = (gap <= settings.context) & other_gap.between(0, settings.context)
+    seeds = seeds.withColumn("new", F.when(joined, 0).otherwise(1))
+    seeds = seeds.withColumn("chain", F.sum("new").over(pair.rowsBetween(Window.unboundedPreceding, 0)))
+    low, high = (lambda c: F.greatest(F.min(c) - settings.context, F.lit(0))), (lambda c: F.max(c) + settings.context)
+    chains = seeds.groupBy("row", "doc_id", "of_text", "other_row", "kept", "other_text", "chain").agg(
+        low("start").alias("start"), high("end").alias("end"), low("other_start").alias("other_start"), high("other_end").alias("other_end")
+    )
+    chains = settle(chains.drop("chain", "other_row"), "chains")
+    other = ["other_text", "other_start", "other_end"]
+    asked = ["of_text", "start", "end", *other]
+
+    # equal texts are read once, and compared once with the same run
+    wanted = chains.groupBy(other).agg(F.min("kept").alias("doc_id"))
+    place = F.struct(F.col("other_text").alias("of_text"), F.col("other_start").alias("start"), F.col("other_end").alias("end"))
+
+    def sent(p: dict, words: np.ndarray) -> list[dict]:
+        return [{"other_text": p["of_text"], "other_start": p["start"], "other_end": p["end"], "words": words.tobytes()}]
+
+    kinds = pa.schema(OTHER)
+    others = _word_runs(docs, wanted.select("doc_id", place.alias("place")), sent, kinds).dropDuplicates(other)
+    compared = chains.groupBy(asked).agg(F.min("doc_id").alias("doc_id")).join(settle(others, "others"), other)
+
+    def found(p: dict, words: np.ndarray) -> list[dict]:
+        runs = alike(words, np.frombuffer(p["words"], np.uint64), settings.size, settings.threshold)
+        return [{**{k: p[k] for k in asked}, "from": p["start"] + s, "to": p["start"] + e} for s, e in runs]
+
+    kinds = pa.schema([("of_text", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), *OTHER[:-1], ("from", pa.int32()), ("to", pa.int32())])
+    runs = _word_runs(docs, compared.select("doc_id", F.struct(*asked, "words").alias("place")), found, kinds).distinct()
+    return chains.join(runs, asked).select("row", "doc_id", F.col("from").alias("start"), F.col("to").alias("end"), "kept")
+
+
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """Spans to remove: row, doc_id, start, end, n_words, kept_doc_ids (where its pieces stay) and kept_doc_id, the first of them."""
     spark = docs.sparkSession
@@ -271,7 +406,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     )
     told = made.where(F.col("kind") == PIECE).select("to", "kind", "source", "payload").unionByName(asked).groupBy("to").applyInArrow(repeated, ROW)
     told = told.unionByName(made.where(F.col("kind") == BLOCK).select("to", "kind", "source", "payload"))
-    places = settle(told.groupBy("to").applyInArrow(occurrences, "node long, row long, doc_id long, number int, start int, words int"), "places")
+    places = settle(told.groupBy("to").applyInArrow(occurrences, "node long, row long, doc_id long, number int, start int, words int, of_text long"), "places")
 
     wanted = places.join(hits.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start", "words")).alias("p")
@@ -281,14 +416,18 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     found = components(near_dedup.linked(hits, texts, near))
 
     placed = places.join(found, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number", "start", "words", "of_text")).alias("first")
     clusters = placed.groupBy("cluster").agg(first, F.count("*").alias("n")).where("n > 1").select("cluster", "first")
-    removed = placed.join(clusters, "cluster").where(F.col("row") != F.col("first.row"))
-    run = F.col("number") - F.row_number().over(Window.partitionBy("row").orderBy("number"))
-    spans = removed.withColumn("run", run).groupBy("row", "doc_id", "run").agg(
-        F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("end"), F.sum("words").alias("n_words"),
-        F.min("first.doc_id").alias("kept_doc_id"),
-        F.sort_array(F.collect_set("first.doc_id")).alias("kept_doc_ids"),
+    removed = settle(placed.join(clusters, "cluster").where(F.col("row") != F.col("first.row")), "removed")
+    pieces = removed.select("row", "doc_id", "start", (F.col("start") + F.col("words")).alias("end"), F.col("first.doc_id").alias("kept"))
+    own = Window.partitionBy("row").orderBy("start", "end", F.col("kept").asc_nulls_last())
+    reached = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    ranges = pieces.unionByName(near_runs(removed, rows, settings)).withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))
+    ranges = ranges.withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = ranges.groupBy("row", "doc_id", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("end") - F.min("start")).cast("long").alias("n_words"),
+        F.min("kept").alias("kept_doc_id"),
+        F.sort_array(F.collect_set("kept")).alias("kept_doc_ids"),
     )
     return spans.where(F.col("n_words") >= settings.least).drop("run")
 

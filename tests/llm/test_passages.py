@@ -97,3 +97,33 @@ def test_pieces_tile_the_texts(reach):
     lengths, _, keys = passages.sketch(words, passages.cut(words, reach), passages.Settings(reach=reach))
     assert lengths.sum() == len(words.hash) and (lengths > 0).all() and keys.shape == (len(lengths), 5)
     assert np.bincount(words.owner[passages.cut(words, reach)], minlength=7)[0] == 0
+
+
+def test_edited_passages_are_removed_whole(spark):
+    rng = random.Random(11)
+    rows, shared = [], {}
+    for k in range(30):
+        n = 50 + k
+        passage = text(rng, n)
+        middle = [["other"], [], ["other", passage[n // 2]]][k % 3]  # a word changed, left out or put in
+        edited = passage[: n // 2] + middle + passage[n // 2 + 1 :]
+        at = 20 + k
+        rows.append((k, " ".join(text(rng, at) + passage + text(rng, 40)), "x"))
+        rows.append((100 + k, " ".join(text(rng, 30) + edited + text(rng, at)), "x"))
+        shared[100 + k] = (30, 30 + len(edited))
+    got = passages.find(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert all(r["kept_doc_id"] == r["doc_id"] - 100 for r in got)
+    whole = [r["doc_id"] for r in got if r["start"] <= shared[r["doc_id"]][0] and r["end"] >= shared[r["doc_id"]][1]]
+    assert len(whole) >= 27 and len(set(whole)) == len(whole)
+
+
+def test_runs_alike():
+    hashed = lambda words: Words(pa.array([" ".join(words)])).hash
+    rng = random.Random(12)
+    a = text(rng, 60)
+    b = text(rng, 7) + a[:30] + ["other"] + a[31:] + text(rng, 9)
+    assert passages.alike(hashed(b), hashed(a), 5, 0.8) == [(7, 67)]
+    assert sorted(passages.alike(hashed(b), hashed(a), 5, 0.9)) == [(7, 37), (38, 67)]
+    assert passages.alike(hashed(a[30:] + a[:30]), hashed(a), 5, 0.8) in ([(0, 30)], [(30, 60)])  # one order only
+    assert passages.alike(hashed(a[:4]), hashed(a), 5, 0.8) == []
+    assert passages.alike(hashed(["z"] * 40), hashed(["z"] * 40), 5, 0.8) == [(0, 40)]
