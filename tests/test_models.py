@@ -150,3 +150,24 @@ def test_reports(spark, planted):
     assert parts["box"].count() == 4 and parts["subcluster_stats"].count() == 0
     assert analysis.first_table(spark, ["/nowhere/a", "/root/testdata/sf0.001/part.parquet"]).count() > 0
     assert analysis.first_table(spark, ["/nowhere/a"]) is None
+
+
+@pytest.mark.parametrize(
+    "name",
+    "model_global importances top_weights model_pairs model_per_cluster grid_search model_best model_roundtrip score score_report screen applicability".split(),
+)
+def test_registered_fits_are_whole(spark, monkeypatch, name):
+    """No registered query passes settings or a grid of its own."""
+    from workload import QUERIES
+
+    class Seen(Exception):
+        pass
+
+    def fitted(*rows, **given):
+        raise Seen({k: v for k, v in given.items() if k in ("settings", "grid", "grids")})
+
+    for f in ("build_model", "model_per_cluster", "grid_search", "build_subcluster_model"):
+        monkeypatch.setattr(models, f, fitted)
+    with pytest.raises(Seen) as seen:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen.value.args[0] == {}

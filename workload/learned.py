@@ -12,14 +12,6 @@ from workload.measures import cleaned
 from workload.registry import activity_raw, bits, props, query, structures, table
 from workload.vectors import vectors
 
-# Smaller than the defaults, which fit hundreds of deep trees.
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 6, "featureSubsetStrategy": "all"}
-SMALL_BOOSTED = {"maxIter": 10, "stepSize": 0.3, "maxDepth": 4}
-SMALL_GRID = {
-    "rf": {"numTrees": [10], "maxDepth": [4, 8]},
-    "gbt": {"maxIter": [10], "maxDepth": [3, 5], "stepSize": [0.3]},
-}
-
 
 def property_rows(spark, sf):
     """The property table as vectors, keyed by a hash of the whole row."""
@@ -40,52 +32,49 @@ def fingerprinted(spark, sf):
 @query("model_global")
 def model_global(spark, sf):
     rows = property_rows(spark, sf)
-    _, rf, _ = models.build_model(rows, "id", "pic50", kind="rf", settings=SMALL_FOREST)
-    _, gbt, _ = models.build_model(rows, "id", "pic50", kind="gbt", settings=SMALL_BOOSTED)
+    _, rf, _ = models.build_model(rows, "id", "pic50", kind="rf")
+    _, gbt, _ = models.build_model(rows, "id", "pic50", kind="gbt")
     return models.compare_models([rf, gbt])
 
 
 @query("importances")
 def importances(spark, sf):
-    model, _, _ = models.build_model(property_rows(spark, sf), "id", "pic50", settings=SMALL_FOREST)
+    model, _, _ = models.build_model(property_rows(spark, sf), "id", "pic50")
     return models.feature_weights(model, ["molwt", "mollogp", "hbd", "hba", "tpsa"])
 
 
 @query("top_weights")
 def top_weights(spark, sf):
-    model, _, _ = models.build_model(vectors(spark, sf), "id", "pic50", settings=SMALL_FOREST)
+    model, _, _ = models.build_model(vectors(spark, sf), "id", "pic50")
     return models.top_weights(models.feature_weights(model), 15)
 
 
 @query("model_pairs")
 def model_pairs(spark, sf):
-    return models.build_model(vectors(spark, sf), "id", "pic50", settings=SMALL_FOREST)[2]
+    return models.build_model(vectors(spark, sf), "id", "pic50")[2]
 
 
 @query("model_per_cluster")
 def model_per_cluster(spark, sf):
-    return models.model_per_cluster(property_rows(spark, sf), "id", target="pic50", settings=SMALL_FOREST)[0]
+    return models.model_per_cluster(property_rows(spark, sf), "id", target="pic50")[0]
 
 
 @query("grid_search")
 def grid_search(spark, sf):
     train = models.with_split(vectors(spark, sf).select("id", "pic50", "features"), "id").where("not is_test")
-    return models.grid_search(train.cache(), "rf", "pic50", grid=SMALL_GRID["rf"])[2]
+    return models.grid_search(train.cache(), "rf", "pic50")[2]
 
 
 @query("model_best")
 def model_best(spark, sf):
-    return models.build_subcluster_model(
-        property_rows(spark, sf), "id", 0, target="pic50",
-        settings={"rf": SMALL_FOREST, "gbt": SMALL_BOOSTED}, grids=SMALL_GRID,
-    )[1]
+    return models.build_subcluster_model(property_rows(spark, sf), "id", 0, target="pic50")[1]
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, sf):
     """Predictions of the saved model, read back, next to those of the one in memory."""
     rows = vectors(spark, sf)
-    model, _, _ = models.build_model(rows, "id", "pic50", settings=SMALL_FOREST)
+    model, _, _ = models.build_model(rows, "id", "pic50")
     path = new_path(spark, "model")
     models.save_model(model, path)
     again = models.predictions(models.load_model(path), rows).select("id", F.col("prediction").alias("again"))
@@ -93,7 +82,7 @@ def model_roundtrip(spark, sf):
 
 
 def _predictor(spark, sf):
-    model, _, _ = models.build_model(fingerprinted(spark, sf), "molecule_id", "p", settings=SMALL_FOREST)
+    model, _, _ = models.build_model(fingerprinted(spark, sf), "molecule_id", "p")
     return Predictor(spark, model, 2048)
 
 
