@@ -5,8 +5,8 @@ speakers are users with their name, system turns stay as they are, and the spans
 its text and the end marker behind it, as character offsets into the rendered text (end exclusive).
 
 A dialogue is rendered in examples of `turns` turn numbers each, so an example stays bounded however long a
-conversation is. Messages are ordered by turn, then role and text. Should very many rows share a turn, an example is
-split further by a hash of the text once it would hold over `most` messages. Rows that repeat a message wholly count once.
+conversation is. Messages are ordered by turn, then role and text. Rows that repeat a message wholly count once. Should
+an example then hold over `most` messages, its parts are the first `most` in that order, the next, and so on.
 
 A speaker is any role but the system's. Null roles speak as `unknown` users and have no perspective of their own; null
 texts are empty; null turns come in an example of their own behind all others; null conversation ids form one
@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from assayspark.session import numbered
+
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 SYSTEM = "system"
 
@@ -61,17 +63,20 @@ def _spans(parts: Column) -> Column:
 def examples(
     turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", per_example: int = 64, most: int = 4096,
 ) -> DataFrame:
-    """conv_id, example, part and messages (turn, role, text) in order. One shuffle of the texts."""
+    """conv_id, example, part and messages (turn, role, text) in order. One shuffle of the texts, but for crowded examples."""
     rows = turns.select(
         F.col(conv_id).alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     rows = rows.withColumn("example", F.floor(F.col("turn") / per_example))
     crowded = rows.groupBy("conv_id", "example").agg(F.count("*").alias("n")).where(F.col("n") > most)
-    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("example").alias("e"), F.ceil(F.col("n") / most).alias("parts"))
-    rows = rows.join(crowded, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("example").eqNullSafe(F.col("e")), "left")
-    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("turn", "role", "text"), F.col("parts"))).otherwise(F.lit(0).cast("long"))
+    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("example").alias("e"))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("example").eqNullSafe(F.col("e"))
+    many = numbered(rows.join(crowded, same, "left_semi").distinct().orderBy("conv_id", "example", "turn", "role", "text"), "place")
+    first = many.groupBy(F.col("conv_id").alias("c"), F.col("example").alias("e")).agg(F.min("place").alias("first"))
+    many = many.join(first, same).withColumn("part", F.floor((F.col("place") - F.col("first")) / most)).select(*rows.columns, "part")
+    rows = rows.join(crowded, same, "left_anti").withColumn("part", F.lit(0).cast("long")).unionByName(many)
     message = F.struct("turn", "role", "text")
-    grouped = rows.withColumn("part", part).groupBy("conv_id", "example", "part").agg(F.collect_set(message).alias("messages"))
+    grouped = rows.groupBy("conv_id", "example", "part").agg(F.collect_set(message).alias("messages"))
     return grouped.withColumn("messages", F.array_sort("messages"))
 
 

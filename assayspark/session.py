@@ -6,7 +6,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -94,6 +94,15 @@ def forget_settled(spark: SparkSession) -> int:
     return removed
 
 
+def numbered(ordered: DataFrame, into: str) -> DataFrame:
+    """A sorted table with the place of each row, from 0. Rows are counted per task of the sort, so no task gets them all."""
+    rows = settle(ordered.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumn("_task", F.shiftright("_at", 33))
+    tasks = rows.groupBy("_task").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
+    before = F.sum("n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))  # a row per task
+    tasks = tasks.select("_task", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("_shift"))
+    return rows.join(tasks, "_task").withColumn(into, F.col("_at") + F.col("_shift")).drop("_at", "_task", "_shift")
+
+
 def placed(rows: DataFrame, key: str, partitions: int = 16) -> DataFrame:
     """Rows for repeated passes, dealt and ordered by a hash of the key: the same partitions on any cluster.
 

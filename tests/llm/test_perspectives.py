@@ -49,3 +49,17 @@ def test_long_conversations_and_crowded_turns(spark):
 def test_no_python_on_the_main_path(spark):
     plan = perspectives.rotate(spark.createDataFrame([(1, 0, "a", "b", "x")], SCHEMA))._jdf.queryExecution().toString()
     assert "ArrowEval" not in plan and "BatchEval" not in plan and "InPandas" not in plan
+
+
+def test_repeats_do_not_crowd_and_parts_are_contiguous(spark):
+    rows = spark.range(8 * 1000).selectExpr("1L as conv_id", "id % 8 as turn", "concat('p', id % 2) as role", "concat('t', id % 8) as text")
+    got = perspectives.rotate(rows).collect()
+    assert sorted((r["speaker"], r["part"], r["n_messages"]) for r in got) == [("p0", 0, 8), ("p1", 0, 8)]
+    data = [(c, i // 4, f"p{i % 3}", f"t{i:03}", "x") for c in (None, 1) for i in range(230) for _ in range(2)]
+    made = spark.createDataFrame(data, SCHEMA).repartition(5)
+    whole = {(r["conv_id"], r["speaker"]): r["rendered"] for r in perspectives.rotate(made).collect()}
+    parts = defaultdict(list)
+    for r in sorted(perspectives.rotate(made, most=50).collect(), key=lambda r: r["part"]):
+        parts[r["conv_id"], r["speaker"]].append(r)
+    assert {k: "".join(r["rendered"] for r in v) for k, v in parts.items()} == whole and len(whole) == 6
+    assert all([r["n_messages"] for r in v] == [50] * 4 + [30] for v in parts.values())
