@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from assayspark.llm.common import Shared, bounded_ids
+from assayspark.llm.common import Shared
 from assayspark.llm.words import SPACES, Words, as_bytes, mix, slices, text_sums, windows
 
 SYMBOLS = b"#*$%&|<>"  # fixed values: the characters that count as symbols
@@ -42,16 +42,16 @@ def _buckets(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_ratio(
     docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = 1 << 16,
-    most_trusted: int = 20_000, smoothing: float = 1.0, threshold: float = -0.1, seed: str = "trusted",
+    smoothing: float = 1.0, threshold: float = -0.1,
 ) -> Ratio:
-    """Count n-grams of all documents (raw) and of at most `most_trusted` trusted ones (target), one pass.
+    """Count n-grams of all documents (raw) and of all trusted ones (target), one pass.
 
-    `trusted` has the ids of trusted documents; the bound on them keeps their broadcast bounded. Each task adds up its
-    counts before one shuffle of at most `buckets` rows a task; the driver gets `buckets` rows.
+    `trusted` has the ids of trusted documents. They meet the texts by a shuffle at every size, as they grow with the
+    corpus. Each task adds up its counts before one shuffle of at most `buckets` rows a task; the driver gets `buckets` rows.
     """
-    chosen = bounded_ids(trusted, doc_id, most_trusted, seed).withColumn("trusted", F.lit(True))
+    chosen = trusted.select(F.col(doc_id).alias("id")).where("id is not null").distinct().withColumn("trusted", F.lit(True))
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(chosen), "id", "left").select(F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
+    rows = rows.join(chosen.hint("merge"), "id", "left").select(F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, buckets), np.int64)

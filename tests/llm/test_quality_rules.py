@@ -82,3 +82,10 @@ def test_slices_change_nothing():
     assert [h for p in parts for h in p.hash.tolist()] == whole.hash.tolist()
     assert [n for p in parts for n in p.lengths().tolist()] == [plain(t)[0] for t in texts.to_pylist()]
     assert (Words(pa.array(["ABC é"]), lower=True).hash == Words(pa.array(["abc é"])).hash).all()
+
+
+def test_every_trusted_document_counts(spark):
+    n = 20_500
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('w', id % 2) as text")
+    ratio = quality_rules.fit_ratio(docs, docs.select("doc_id").unionByName(docs.select("doc_id").limit(9)))
+    assert ratio.weights == pytest.approx(0, abs=1e-12)  # all are trusted, so the target is the raw corpus
