@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, quality_rules, source_mix, warc
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, prefix_trie, quality_rules, source_mix, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 from assayspark.session import new_path
 
@@ -181,3 +181,39 @@ def katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_paragraph_minhash")
 def paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.find(table(spark, sf_dir, "documents")).drop("row")
+
+
+# crc32 of a list of bytes, as DuckDB says it: `crc_table` holds the 256 remainders, `crc_sql` folds the bytes over them.
+CRC_TABLE = """crc_table as (select list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as crcs)"""
+
+
+def crc_sql(codes: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+@query(
+    "op13_prefix_trie",
+    f"""with {CRC_TABLE},
+    o as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over
+      (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos from conversations where conv_id is not null),
+    c as (select conv_id, count(*) as n_own, conv_id - conv_id % 5 as base from o group by conv_id),
+    h as (select c.*, {crc_sql("list_transform(string_split(conv_id::varchar, ''), lambda x: ord(x)::bigint)")} % 9 as h from c, crc_table),
+    l as (select h.*, least(h, coalesce(c.n_own, 0)) as taken from h left join c on c.conv_id = h.base),
+    r as (select l.conv_id, pos as depth, role, text from l join o on o.conv_id = base and pos <= taken
+      union all select l.conv_id, pos - h + taken, role, text from l join o on o.conv_id = l.conv_id and pos > h),
+    p as (select conv_id, depth, text, list({{'role': role, 'text': text}}) over (partition by conv_id order by depth) as path from r),
+    e as (select l.conv_id, coalesce(max(depth), 0) as last from l left join r using (conv_id) group by l.conv_id),
+    n as (select depth, path, min(conv_id) as conv_id, count(*) as n_convs, any_value(strlen(text)) as size,
+        string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = last) as ended from p join e using (conv_id) group by depth, path
+      union all select 0, [], min(conv_id), count(*), 0, string_agg(conv_id::varchar, ',' order by conv_id) filter (last = 0) from e having count(*) > 0),
+    k as (select path[1:depth - 1] as path, count(*) as n_children from n where depth > 0 group by 1),
+    f as (select n.*, coalesce(n_children, 0) as n_children, case when depth > 0 then path[1:depth - 1] end as above from n left join k using (path)),
+    a as (select path[1:step] as path, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * size) as saved_tokens
+      from (select f.*, unnest(range(0, depth + 1)) as step from f) group by 1)
+    select f.conv_id, f.depth::bigint as depth, g.conv_id as parent_conv_id, f.n_convs, f.n_children::bigint as n_children,
+      n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, sha256(coalesce(f.ended, '')) as ends_sha256
+    from f join a using (path) left join f g on g.path = f.above""",
+)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
