@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, prefix_trie, quality_rules, source_mix, warc
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, prefix_trie, quality_rules, source_mix, spelling, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 from assayspark.session import new_path
 
@@ -217,3 +217,30 @@ def crc_sql(codes: str) -> str:
 )
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op12_spelling_variants",
+    f"""with {CRC_TABLE},
+    r as (select doc_id, run, count(*) as k from (select doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run from documents)
+      where length(run) >= 7 group by all),
+    b as (select run, k, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''), lambda x:
+      case when ord(x) < 128 then [ord(x)::bigint] else [192 + (ord(x) >> 6), 128 + (ord(x) & 63)]::bigint[] end)) as codes from r),
+    h as (select run, k, {crc_sql("codes")} as h from b, crc_table),
+    w as (select case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word,
+      sum(k)::bigint as n from h group by 1 having length(word) >= 7 and sum(k) >= 2),
+    d as (select word, n, i, substr(word, 1, i::int - 1) || substr(word, i::int + 1) as cut from (select *, unnest(range(1, length(word) + 1)) as i from w)),
+    near as (select a.word, b.word as v, b.n from d a join d b on a.cut = b.cut and a.i = b.i and a.word <> b.word
+      union select d.word, w.word, w.n from d join w on d.cut = w.word
+      union select w.word, d.word, d.n from d join w on d.cut = w.word),
+    f as (select word, count(*) as n_near, min(struct_pack(less := -n, v := v)) as best from near group by word),
+    g as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when -best.less >= 10 * w.n then best.v end as form,
+      case when -best.less >= 10 * w.n then -best.less end as form_n from w left join f using (word)),
+    t as (with recursive up as (select word, word as root, 0 as step from g union all
+      select up.word, g.form, step + 1 from up join g on g.word = up.root where g.form is not null)
+      select word, arg_max(root, step) as root from up group by word)
+    select g.word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n from g join t using (word)""",
+)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
