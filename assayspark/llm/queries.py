@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, prefix_trie, quality_rules, source_mix, spelling, warc
+from assayspark.llm import byte_bpe, compression_classifier, exact_dedup, katz, near_dedup, passages, perspectives, prefix_trie, quality_rules, source_mix, spelling, token_transducer, warc
 from assayspark.llm.common import ORACLES, QUERIES, query, remainder, table
 from assayspark.session import new_path
 
@@ -244,3 +244,21 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file in the folder named by TOKENIZERS_DIR or else where the installed package keeps it."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op11_token_transducer")
+def transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = token_transducer.count_tokens(docs, token_transducer.load(tokenizer_file("byte_bpe_50k.json")))
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return rows.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))

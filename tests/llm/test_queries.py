@@ -12,6 +12,7 @@ COLUMNS = {
     "op7": ["doc_id", "class_id", "class_size", "kept"],
     "op8": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "base_failed", "kept"],
     "op10": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
 }
 
 
