@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assayspark.functions import activity as act, structure as st
@@ -18,7 +17,7 @@ class Predictor:
     `n_bits` and `window` must be those the model was fitted with.
     """
 
-    def __init__(self, spark: SparkSession, model: PipelineModel | str, n_bits: int = 2048, window: int = 4, summary: str | None = None):
+    def __init__(self, spark: SparkSession, model: models.TreeModel | str, n_bits: int = 2048, window: int = 4, summary: str | None = None):
         self.spark = spark
         self.model = models.load_model(model) if isinstance(model, str) else model
         self.n_bits, self.window = n_bits, window
