@@ -103,6 +103,19 @@ def build_model(
     return model, metrics, pairs
 
 
+def compare_kinds(
+    df: DataFrame, key: str, target: str = "p", features: str = "features", settings: dict[str, dict] | None = None, seed: int = SEED
+) -> DataFrame:
+    """Metrics of one global model of each kind, best first. Both are fitted together, over the same binned rows."""
+    settings = settings or {"rf": FOREST, "gbt": BOOSTED_GLOBAL}
+    fits = [Fit(plan(kind, s), seed=seed) for kind, s in settings.items()]
+    rows, cuts = prepared(df.select(key, target, features), key, target, features)
+    results, bases, _ = trees.run(rows, fits, cuts)
+    kind = F.element_at(F.array(*[F.lit(k) for k in settings]), F.col("fit") + 1).alias("model")
+    pairs = _pairs(rows, trees.held_out(results, fits, bases), key).select(kind, "actual", "prediction")
+    return stats.regression_metrics(pairs, "actual", "prediction", ["model"]).orderBy("rmse", "model")
+
+
 def compare_models(reports: Sequence[DataFrame]) -> DataFrame:
     """Metric rows of several models, best first."""
     out = reports[0]

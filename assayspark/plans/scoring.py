@@ -14,10 +14,10 @@ from assayspark.sources import files
 class Predictor:
     """Featurise, reject what has no bits, predict, class and rank.
 
-    `n_bits` and `window` must be those the model was fitted with.
+    `n_bits` and `window` must be those the model was fitted with. Checks and the applicability domain need no model.
     """
 
-    def __init__(self, spark: SparkSession, model: models.TreeModel | str, n_bits: int = 2048, window: int = 4, summary: str | None = None):
+    def __init__(self, spark: SparkSession, model: models.TreeModel | str | None, n_bits: int = 2048, window: int = 4, summary: str | None = None):
         self.spark = spark
         self.model = models.load_model(model) if isinstance(model, str) else model
         self.n_bits, self.window = n_bits, window

@@ -154,7 +154,7 @@ def test_reports(spark, planted):
 
 @pytest.mark.parametrize(
     "name",
-    "model_global importances top_weights model_pairs model_per_cluster grid_search model_best model_roundtrip score score_report screen applicability".split(),
+    "model_global importances top_weights model_pairs model_per_cluster grid_search model_best model_roundtrip score score_report screen".split(),
 )
 def test_registered_fits_are_whole(spark, monkeypatch, name):
     """No registered query passes settings or a grid of its own."""

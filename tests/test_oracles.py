@@ -7,8 +7,8 @@ from check import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
-# Fits with many jobs; tests/test_cluster.py and tests/test_models.py cover the operators behind them.
-SLOW = {"kmeans", "k_curve", "k_report", "model_best", "grid_search", "report_all", "model_global", "cluster_run"}
+# Fits with many jobs; tests/test_vectors.py covers the operators behind them.
+SLOW = {"kmeans", "k_curve", "k_report", "report_all", "cluster_run"}
 
 
 @pytest.fixture(scope="module")
