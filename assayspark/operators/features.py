@@ -10,7 +10,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from assayspark.functions import structure as st
+from assayspark.functions import molecule, structure as st
+from assayspark.functions.literals import let
+from assayspark.session import settle
 
 Registry = dict[str, tuple[Callable[[str], object], str]]
 
@@ -70,6 +72,21 @@ def with_token_counts(df: DataFrame, structure: str = "structure") -> DataFrame:
     return made.select(*df.columns, "_counts.*")
 
 
+def per_structure(df: DataFrame, structure: str, text: Column | None = None, **columns: Callable[[Column], Column]) -> DataFrame:
+    """Add columns that follow from a structure's molecular graph, each made by a function of the graph.
+
+    A structure is read once, however many rows have it: distinct texts are spread over all tasks and settled, and rows get
+    their columns by a join that the runtime splits where one structure has very many rows. `text` is the part to be read.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    texts = df.where(F.col(structure).isNotNull()).select(F.col(structure).alias("_s"), (F.col(structure) if text is None else text).alias("_t"))
+    texts = texts.distinct().repartition(4 * tasks, "_s")
+    made = texts.select("_s", let(molecule.graph(F.col("_t")), lambda g: F.struct(*[f(g).alias(name) for name, f in columns.items()])).alias("_made"))
+    made = settle(made, "structures")
+    return df.join(made, F.col(structure) == F.col("_s"), "left").select(*df.columns, *[f"_made.{name}" for name in columns])
+
+
 def with_hashed_bits(
     df: DataFrame, text: str = "structure", output: str = "bits", n_bits: int = 2048, window: int = 4, kind: str = "hashed"
 ) -> DataFrame:
