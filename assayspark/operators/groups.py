@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from assayspark.session import numbered
+
 
 def ranked(df: DataFrame, value: str) -> Column:
     """The value to rank by: NaN counts as null, which ranks last."""
@@ -26,6 +28,11 @@ def sort_abs(df: DataFrame, value: str, ties: Sequence[str]) -> DataFrame:
     return df.orderBy(F.abs(ranked(df, value)).desc_nulls_last(), *ties)
 
 
+def numbered_rows(ordered: DataFrame, rank: str = "rank") -> DataFrame:
+    """A sorted table with each row's place from 1: tasks of the sort count their own rows, so no task gets them all."""
+    return numbered(ordered, rank).withColumn(rank, F.col(rank) + 1)
+
+
 def top_n_per_group(
     df: DataFrame, by: Sequence[str], value: str, n: int, ties: Sequence[str], rank: str = "rank"
 ) -> DataFrame:

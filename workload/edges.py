@@ -33,14 +33,18 @@ def top_n_group_edge(spark, sf):
     return rounded(top.select(*KEYS, "cluster", "x", "rank"), "x")
 
 
-@query("sort_desc_edge", f"with {EDGE} select {KEYS_SQL}, {q6('x')} as x from (select * from edge order by x desc nulls last, {ROW_SQL} limit 50)", "props")
+@query("sort_desc_edge", f"with {EDGE} select {KEYS_SQL}, {q6('x')} as x, row_number() over (order by x desc nulls last, {ROW_SQL}) as rank from edge", "props")
 def sort_desc_edge(spark, sf):
-    return rounded(groups.sort_desc(edge(spark, sf), "x", ROW).limit(50).select(*KEYS, "x"), "x")
+    """Every row with its place, those without a number last."""
+    rows = groups.numbered_rows(groups.sort_desc(edge(spark, sf), "x", ROW), "rank")
+    return rounded(rows.select(*KEYS, F.nanvl("x", F.lit(None)).alias("x"), "rank"), "x")
 
 
-@query("sort_abs_edge", f"with {EDGE} select {KEYS_SQL}, {q6('x')} as x from (select * from edge order by abs(x) desc nulls last, {ROW_SQL} limit 50)", "props")
+@query("sort_abs_edge", f"with {EDGE} select {KEYS_SQL}, {q6('x')} as x, row_number() over (order by abs(x) desc nulls last, {ROW_SQL}) as rank from edge", "props")
 def sort_abs_edge(spark, sf):
-    return rounded(groups.sort_abs(edge(spark, sf), "x", ROW).limit(50).select(*KEYS, "x"), "x")
+    """Every row with its place, those without a number last."""
+    rows = groups.numbered_rows(groups.sort_abs(edge(spark, sf), "x", ROW), "rank")
+    return rounded(rows.select(*KEYS, F.nanvl("x", F.lit(None)).alias("x"), "rank"), "x")
 
 
 @query(

@@ -109,19 +109,19 @@ def circular_bits(spark, sf):
 @query(
     "circular_nearest",
     f"""with {BITS_SQL}, sets as (select s, list_sort(list(bit)) as bits from bits group by s),
-    asked as (select distinct bits from molecules join sets on s = structure where structure like '%.%'),
+    asked as (select distinct bits from molecules join sets on s = structure),
     known as (select bits, min(id) as other from molecules join sets on s = structure where structure not like '%.%' group by bits),
     pairs as (select a.bits, other, len(list_intersect(a.bits, k.bits)) as c, len(a.bits) + len(k.bits) as n from asked a, known k),
     best as (select bits, max(c / (n - c)) as s, arg_min(other, (-c / (n - c), other)) as other from pairs where c / (n - c) >= 0.6 group by bits)
     select id, other as neighbour, {q6('best.s')} as similarity, best.s is not null as in_domain
-    from molecules join sets on sets.s = structure left join best using (bits) where structure like '%.%'""",
+    from molecules join sets on sets.s = structure left join best using (bits)""",
     "molecules",
 )
 def circular_nearest(spark, sf):
-    """The nearest part without a counter-ion for every salt, by circular environments."""
+    """The nearest part without a counter-ion for every part, by circular environments."""
     rows = derived(spark, sf, bits=molecule.circular_bits)
-    asked, known = rows.where("structure like '%.%'"), rows.where("structure not like '%.%'")
-    return rounded(similarity.nearest_neighbours(asked.select("id", "bits"), known.select("id", "bits"), 0.6, 2048), "similarity")
+    known = rows.where("structure not like '%.%'")
+    return rounded(similarity.nearest_neighbours(rows.select("id", "bits"), known.select("id", "bits"), 0.6, 2048), "similarity")
 
 
 def refined_sql(first: str, atoms: str, ends: str, name: str) -> str:

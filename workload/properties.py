@@ -333,15 +333,16 @@ def top_n(spark, sf):
     return rounded(groups.top_n(props(spark, sf), "pic50", 20, ROW).select(*KEYS, "pic50"), "pic50")
 
 
-@query("sort_desc", f"select {KEYS_SQL}, {q6('pic50')} as pic50 from props", "props")
+@query("sort_desc", f"select {KEYS_SQL}, {q6('pic50')} as pic50, row_number() over (order by pic50 desc nulls last, {ROW_SQL}) as rank from props", "props")
 def sort_desc(spark, sf):
-    return rounded(groups.sort_desc(props(spark, sf), "pic50", ROW).select(*KEYS, "pic50"), "pic50")
+    """Every row with its place in the order."""
+    return rounded(groups.numbered_rows(groups.sort_desc(props(spark, sf), "pic50", ROW), "rank").select(*KEYS, "pic50", "rank"), "pic50")
 
 
-@query("sort_abs", f"select {KEYS_SQL}, {q6('pic50 - 6')} as d from props", "props")
+@query("sort_abs", f"select {KEYS_SQL}, {q6('pic50 - 6')} as d, row_number() over (order by abs(pic50 - 6) desc nulls last, {ROW_SQL}) as rank from props", "props")
 def sort_abs(spark, sf):
     rows = props(spark, sf).withColumn("d", F.col("pic50") - 6)
-    return rounded(groups.sort_abs(rows, "d", ROW).select(*KEYS, "d"), "d")
+    return rounded(groups.numbered_rows(groups.sort_abs(rows, "d", ROW), "rank").select(*KEYS, "d", "rank"), "d")
 
 
 @query("sorted_keys", "select distinct subcluster from props", "props")

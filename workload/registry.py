@@ -12,14 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-STRUCTURE = """concat(repeat('C', cast(1 + {k} % 13 as int)),
+STRUCTURE = """concat(repeat('C', cast(1 + {k} % 13 as int)), case when {k} >= 52 then repeat('O', cast(1 + floor({k} / 52) % 3 as int)) else '' end,
+  repeat('C', cast(floor({k} / 156) % 40 as int)),
   case {k} % 4 when 0 then 'c1ccccc1' when 1 then 'N(C)C'
        when 2 then 'C(=O)Nc1ccc(Cl)cc1' else 'OC1CCNCC1' end,
   case when {k} % 7 = 0 then '.Cl' else '' end)"""
 
+# Ten rows an id, but for one id that a third of all rows has; ids and structures grow with the table.
+MOLECULE = "(case when event_id % 3 = 0 then 7 else cast(floor(event_id / 10) as bigint) end)"
+
 ACTIVITY_RAW = (
-    """select event_id as ord, concat('M', cast(event_id % 400 as varchar(20))) as molecule_id, """
-    + STRUCTURE.replace("{k}", "(event_id % 400)")
+    f"""select event_id as ord, concat('M', cast({MOLECULE} as varchar(20))) as molecule_id, """
+    + STRUCTURE.replace("{k}", MOLECULE)
     + """ as structure,
   case when event_id % 97 = 0 then null
        when event_id % 89 = 0 then 'n/a'
@@ -29,9 +33,9 @@ ACTIVITY_RAW = (
   end as standard_value,
   event_type as standard_type,
   case event_id % 11 when 0 then 'uM' when 1 then 'pM' else 'nM' end as units,
-  concat('T', cast(event_id % 400 % 3 as varchar(20))) as target,
+  concat('T', cast({molecule} % 3 as varchar(20))) as target,
   ts as fetched_at
-from {events}"""
+from {events}""".replace("{molecule}", MOLECULE)
 )
 
 PROPS = """select *, l_extendedprice/100 as molwt, l_quantity/6 as mollogp, l_linenumber as hbd,

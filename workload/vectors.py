@@ -153,9 +153,8 @@ def tanimoto_nearest(spark, sf):
 
 @query(
     "tanimoto_nearest_structures",
-    f"""with q as (select molecule_id as id, {bits_sql('structure', 2048)} as asked from activity_raw
-      where structure like '%.%'),
-    t as (select id, {bits_sql('structure', 2048)} as bits from structures where structure not like '%.%'),
+    f"""with q as (select molecule_id as id, {bits_sql('structure', 2048)} as asked from (select distinct molecule_id, structure from activity_raw)),
+    t as (select id, {bits_sql('structure', 2048)} as bits from structures),
     distinct_q as (select distinct asked from q), distinct_t as (select bits, min(id) as other from t group by 1),
     scored as (select asked, other, len(list_intersect(asked, bits)) / (len(asked) + len(bits) - len(list_intersect(asked, bits))) as s
       from distinct_q, distinct_t),
@@ -164,11 +163,11 @@ def tanimoto_nearest(spark, sf):
     "activity_raw", "structures",
 )
 def tanimoto_nearest_structures(spark, sf):
-    """Salts among the measured structures against the parts that are none, by hashed bits."""
-    asked = activity_raw(spark, sf).where("structure like '%.%'").select(
+    """The nearest part for every measured structure, by hashed bits."""
+    asked = activity_raw(spark, sf).select(
         F.col("molecule_id").alias("id"), st.hashed_bits(F.col("structure")).alias("bits")
     )
-    known = structures(spark, sf).where("structure not like '%.%'").select("id", st.hashed_bits(F.col("structure")).alias("bits"))
+    known = structures(spark, sf).select("id", st.hashed_bits(F.col("structure")).alias("bits"))
     return rounded(similarity.nearest_neighbours(asked.distinct(), known, 0.6, 2048), "similarity")
 
 
