@@ -111,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     begin = (F.conv(F.substring(order_key("id", "begin"), 1, 8), 16, 10).cast("long") % spare + 1).cast("int")
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
     rows = rows.select("id", "label", F.col("text").substr(begin, F.lit(n)).alias("text"), order_key("id", "half").alias("place"))
+    rows = rows.groupBy("id", "label", "place").agg(F.min("text").alias("text"))  # one row an id, however often it is there
     got = sorted(rows.collect(), key=lambda r: (r["place"], r["id"], r["text"]))
     by = {v: [r["text"].encode("utf-8", "surrogatepass") for r in got if r["label"] == v] for v in (0, 1)}
     total = sum(shares.values())

@@ -159,12 +159,13 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         case when role is not distinct from speaker then '<|im_start|>assistant' || chr(10) when role = 'system' then '<|im_start|>system' || chr(10)
           else '<|im_start|>user name=' || regexp_replace(replace(coalesce(role, 'unknown'), '<|im_', '< |im_'), '\\s+', '_', 'g') || chr(10) end as head
       from m join s on m.conv_id is not distinct from s.conv_id),
-    o as (select *, sum(length(head) + length(safe) + 11) over (partition by conv_id, speaker, example order by turn, role, text
-        rows unbounded preceding) - length(safe) - 11 as start from r)
-    select conv_id, speaker, example, 0::bigint as part, count(*)::int as n_messages, count(*) filter (mine)::int as n_trained,
+    p as (select *, (row_number() over (partition by conv_id, speaker, example order by turn, role, text) - 1) // 4096 as part from r),
+    o as (select *, sum(length(head) + length(safe) + 11) over (partition by conv_id, speaker, example, part order by turn, role, text
+        rows unbounded preceding) - length(safe) - 11 as start from p)
+    select conv_id, speaker, example, part::bigint as part, count(*)::int as n_messages, count(*) filter (mine)::int as n_trained,
       string_agg(head || safe || '<|im_end|>' || chr(10), '' order by turn, role, text) as rendered,
       coalesce(string_agg(start::varchar || '-' || (start + length(safe) + 10)::varchar, ' ' order by turn, role, text) filter (mine), '') as spans
-    from o group by conv_id, speaker, example""",
+    from o group by conv_id, speaker, example, part""",
 )
 def rotated_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), " ")

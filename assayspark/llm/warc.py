@@ -7,6 +7,10 @@ by its length: never copied, decoded or checked. The option `payload` says of wh
 Files are written to a folder of their own attempt and moved into place once the job commits, so retried tasks and lost
 executors leave nothing behind. Paths can be in any store that Arrow's file systems know.
 
+Archives of other makers are read too. Only blocks whose Content-Type is application/http have HTTP headers before the
+payload; of other records, warcinfo among them, the whole block is the payload. payload_bytes is what the block holds, but
+for revisits, whose HTTP headers give it (null without). A record that is cut off at the end of a file is left out.
+
 Null payloads count as empty. Records without url or date get empty header values. An empty table writes no file and
 reads as no rows. Rows that repeat a page write a record each.
 """
@@ -162,19 +166,33 @@ class WarcReader(DataSourceReader):
         while line := stream.readline():
             if not line.strip():
                 continue
+            if not line.endswith(b"\n"):
+                return  # cut off
             if not line.startswith(b"WARC/"):
                 raise ValueError(f"no record begins with {line[:40]!r}")
             headers = _headers(stream)
-            length = int(headers["Content-Length"])
+            if not headers.get("Content-Length", "").isdigit():
+                return  # cut off within its headers
+            length, kind = int(headers["Content-Length"]), headers.get("WARC-Type")
             if not self.wanted(headers):
                 stream.seek(length, io.SEEK_CUR)
                 continue
-            end = stream.tell() + length
-            stream.readline()  # the HTTP status
-            http = _headers(stream)
-            payload = stream.read(end - stream.tell()) if headers["WARC-Type"] in self.decoded else None
+            begin = stream.tell()
+            end, http = begin + length, {}
+            if headers.get("Content-Type", "").replace(" ", "").startswith("application/http") and length:
+                block = io.BytesIO(stream.read(length)) if kind in self.decoded else stream
+                if block.readline().strip():  # the HTTP status
+                    http = _headers(block)
+                held = length - block.tell() if block is not stream else end - stream.tell()
+                payload = block.read() if block is not stream else None
+            else:
+                held, payload = length, stream.read(length) if kind in self.decoded else None
             stream.seek(end)
-            yield (*[headers.get(name) for name in HEADERS.values()], int(http["Content-Length"]), payload)
+            if not stream.readline():
+                return  # cut off: the empty lines that close a record are not there
+            told = http.get("Content-Length", "")
+            size = held if kind != "revisit" else int(told) if told.isdigit() else None
+            yield (*[headers.get(name) for name in HEADERS.values()], size, payload)
 
 
 def _headers(stream: io.BufferedIOBase) -> dict[str, str]:

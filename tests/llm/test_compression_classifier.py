@@ -33,3 +33,13 @@ def test_every_block_counts():
     text = b"good words " * 30
     assert sizes.features(memoryview(text))[0] > 0 > sizes.features(memoryview(b"bad!! #### " * 30))[0]
     assert sizes.features(memoryview(text + b"bad!! #### " * 90))[0] < sizes.features(memoryview(text))[0]
+
+
+def test_a_labelled_id_on_many_rows_is_one_example(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("1L as doc_id", "concat('hot ', id) as text").unionByName(spark.createDataFrame([(2, "b"), (3, "c")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(cc, "sorted", lambda rows, key: seen.append(len(rows)) or sorted(rows, key=key), raising=False)
+    first = cc.fit(docs.repartition(7), labels)
+    again = cc.fit(docs.repartition(2), labels)
+    assert seen == [3, 3] and (first.intercept, first.slopes) == (again.intercept, again.slopes)

@@ -2,6 +2,8 @@
 
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from assayspark.llm import perspectives
 
 SCHEMA = "conv_id long, turn long, role string, text string, speaker string"
@@ -63,3 +65,25 @@ def test_repeats_do_not_crowd_and_parts_are_contiguous(spark):
         parts[r["conv_id"], r["speaker"]].append(r)
     assert {k: "".join(r["rendered"] for r in v) for k, v in parts.items()} == whole and len(whole) == 6
     assert all([r["n_messages"] for r in v] == [50] * 4 + [30] for v in parts.values())
+
+
+def test_crowded_conversation_equals_the_sql(spark):
+    """5,000 different messages of one example, each several times: contiguous parts, offsets from 0 in each, as in the SQL."""
+    import duckdb
+    import pandas as pd
+
+    from assayspark.llm import queries
+
+    rows = [(7, i // 100, ("user", "assistant", "guest")[i % 3], f"text {i:05d} <|im_start|>") for i in range(5000)]
+    rows += rows[:900] + [(7, 70, "user", "late"), (8, 0, "system", "s"), (8, 1, "user", None), (8, 1, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = perspectives.rotate(df.repartition(5))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), " ")
+    made = made.withColumn("spans", spans)
+    con = duckdb.connect()
+    con.register("given", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    con.execute("create view conversations as select conv_id::bigint as conv_id, turn::bigint as turn, role, text from given")
+    cur = con.execute(queries.ORACLES["op5_perspectives"])
+    names = [d[0] for d in cur.description]
+    got = sorted(map(tuple, made.select(*names).collect()))
+    assert got == sorted(map(tuple, cur.fetchall())) and {r[names.index("part")] for r in got} == {0, 1}

@@ -73,3 +73,26 @@ def test_least_and_empty(spark):
     path = new_path(spark, "warc-test")
     warc.write(warc.records_of(pages(spark).limit(0)), path)
     assert warc.read(spark, path).collect() == []
+
+
+def foreign(kind, block, content=None, more=""):
+    lines = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{kind}>\r\n{more}"
+    lines += f"Content-Type: {content}\r\n" if content else ""
+    return f"{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_makers():
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>no length</p>"
+    data = foreign("warcinfo", b"software: x\r\nformat: WARC\r\n", "application/warc-fields")
+    data += foreign("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "application/http; msgtype=request")
+    data += foreign("response", page, "application/http;msgtype=response") + foreign("response", b"plain dns answer", "text/dns")
+    data += foreign("metadata", b"") + foreign("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", "application/http")
+    got = [(r[0], r[7], r[8]) for r in warc.WarcReader("/x", "response,warcinfo").records(io.BytesIO(data))]
+    assert got == [
+        ("warcinfo", 27, b"software: x\r\nformat: WARC\r\n"), ("request", 0, None), ("response", 16, b"<p>no length</p>"),
+        ("response", 16, b"plain dns answer"), ("metadata", 0, None), ("revisit", None, None),
+    ]
+    whole = [r for r in warc.WarcReader("/x", "response").records(io.BytesIO(data))]
+    for cut in range(0, len(data), 7):
+        some = [r for r in warc.WarcReader("/x", "response").records(io.BytesIO(data[:cut]))]
+        assert [r[:7] for r in some] == [r[:7] for r in whole[: len(some)]] and all(a == b for a, b in zip(some, whole))
