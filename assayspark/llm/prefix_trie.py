@@ -135,7 +135,7 @@ def subtree_totals(tree: DataFrame, values: list[str], node: str = "node", paren
     zero = F.lit(0).cast("long")
     kids = tree.where(F.col(parent).isNotNull()).groupBy(F.col(parent).alias("node")).agg(F.count("*").alias("left"))
     live = tree.select(F.col(node).alias("node"), F.col(parent).alias("parent"), *[F.col(v).cast("long").alias(v) for v in values], *[zero.alias(f"c_{v}") for v in values])
-    live = settle(live.join(kids, "node", "left").withColumn("left", F.coalesce("left", zero)), "contract-0")
+    live = settle(live.join(kids, "node", "left").withColumns({"left": F.coalesce("left", zero), "dice": F.xxhash64("node")}), "contract-0")
     raked, spliced, turn = [], [], 0
     while not live.isEmpty():
         turn += 1
@@ -146,9 +146,9 @@ def subtree_totals(tree: DataFrame, values: list[str], node: str = "node", paren
         below = live.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(
             *given, F.count(F.when(~leaf, 1)).alias("left"), F.max(F.when(~leaf, F.col("node"))).alias("only")
         )
-        coin = F.xxhash64(F.lit(turn), "node") % 2 == 0
+        coin = F.col("dice") % 2 == 0  # thrown anew each round, by rows and not by a literal: rounds then share their compiled plans
         rest = live.where("left > 0").drop("left").join(below, "node")
-        rest = rest.select("node", "parent", *[(F.col(v) + F.col(f"g_{v}")).alias(v) for v in values], *[f"c_{v}" for v in values], "left", "only", ((F.col("left") == 1) & F.col("parent").isNotNull() & coin).alias("heads"))
+        rest = rest.select("node", "parent", *[(F.col(v) + F.col(f"g_{v}")).alias(v) for v in values], *[f"c_{v}" for v in values], "left", "dice", "only", ((F.col("left") == 1) & F.col("parent").isNotNull() & coin).alias("heads"))
         rest = settle(rest, f"rake-{turn}")
         # compress: a node with one child goes if its coin says so and its parent's doesn't
         above = rest.where("heads").select(F.col("node").alias("parent"), F.lit(True).alias("held"))
@@ -157,7 +157,7 @@ def subtree_totals(tree: DataFrame, values: list[str], node: str = "node", paren
         rest = rest.join(go.select(F.col("gone").alias("node")), "node", "left_anti").join(go, "node", "left")
         held = F.col("up").isNotNull()
         spliced.append(rest.where(held).select(F.col("gone").alias("node"), F.col("node").alias("to"), *[(F.col(f"a_{v}") + F.col(f"c_{v}")).alias(v) for v in values]))
-        live = settle(rest.select("node", F.coalesce("up", "parent").alias("parent"), *values, *[(F.col(f"c_{v}") + F.coalesce(f"add_{v}", zero)).alias(f"c_{v}") for v in values], "left"), f"contract-{turn}")
+        live = settle(rest.select("node", F.coalesce("up", "parent").alias("parent"), *values, *[(F.col(f"c_{v}") + F.coalesce(f"add_{v}", zero)).alias(f"c_{v}") for v in values], "left", F.xxhash64("dice").alias("dice")), f"contract-{turn}")
     if not raked:
         return tree.select(F.col(node).alias("node"), *[F.col(v).cast("long").alias(v) for v in values])
     totals, jumps = raked[0], spliced[0]
