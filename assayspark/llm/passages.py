@@ -1,47 +1,46 @@
-"""Repeated passages across documents: MinHash banding of paragraph pieces, exact verification, removals by components.
-
-A paragraph piece is a run of about 2 * `reach` + 1 words. Pieces begin where a pair of words has the smallest hash among
-its `reach` neighbours on either side, so where they are cut depends on the words around alone: a passage pasted into
-the middle of a line is cut like its source. Pieces of the same words are one node. The windows of five words of a
-piece are its set; bands of MinHash values propose pairs of different pieces, the exact Jaccard similarity decides, and
-connected components of the links are clusters. `tune` picks the fewest hashes that reach the wanted recall.
-
-Of a cluster the first occurrence (smallest doc_id, nulls last, then first place) stays. Other occurrences are removed
-if they are in another document, and only in runs of at least `least` words together, so short shared lines stay.
-Spans are word numbers, the end exclusive.
-
-Pieces are also seeds: those of one document that stay in the same other document, in order and at most `context` words
-apart, are a chain. The words of both documents are compared from `context` words before the chain to as many behind
-it, over unmatched pieces too, by windows of five words shared in the same order. The longest runs whose share of such
-windows (Jaccard) reaches the threshold are removed whole, with the edited words inside.
-
-Texts are read into blocks; per block distinct pieces and band values go, packed, to buckets, so a piece that a third
-of all documents share is sent once a block. Null and empty texts have no pieces; repeated rows are documents of their
-own. An empty table gives an empty result; other columns are not read.
+"""Repeated passages across documents: MinHash banding of paragraphs, exact verification, removals by components.
+
+A paragraph is a run of about 2 * `reach` + 1 words. Paragraphs begin where a pair of words has the smallest hash among
+its `reach` neighbours on either side, so where they are cut depends on the words around alone, not on line ends: a
+passage pasted into the middle of a line is cut like its source, but for its edges, where a paragraph also holds words
+of its surroundings. Paragraphs of the same words are one node. The windows of five words of a paragraph are its set;
+bands of MinHash values propose pairs of different paragraphs. `tune` picks the fewest hashes that reach the wanted
+recall; the default bands find paragraphs of which less than half is shared, as those at the edges of a passage are.
+
+In a bucket of equal band keys every paragraph is compared with the one that occurs first; then those of different
+components are compared with each other, in bounded blocks inside tasks. Two paragraphs are linked if they hold runs of
+at least `least` / 2 words whose windows have the wanted Jaccard similarity.
+
+The order of occurrences is by doc_id (nulls last), then row and place. What a paragraph shares with an earlier one that
+it is linked to, or equal to, is removed if that stands in another row: the words of both are compared from one
+paragraph before to one behind, by windows of five words shared in the same order, and the longest runs whose Jaccard
+similarity reaches the threshold go whole, with the edited words inside. So the first occurrence of a cluster always
+stays. Only runs of at least `least` words together are removed, so short shared lines stay. Removed spans that repeat
+one another are clusters, the connected components of these links. Spans are word numbers, the end exclusive.
+
+Texts are read once, into a table of paragraphs with their word hashes; all later steps join on the number of the row
+and of the paragraph. Null and empty texts have no paragraphs; rows that repeat an id, or have none, are documents of
+their own. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.pandas.types import from_arrow_schema
 
 from assayspark.llm import near_dedup
 from assayspark.llm.components import components
-from assayspark.llm.packed import pack, unpack
-from assayspark.llm.words import Words, as_bytes, mix, slices, windows
-from assayspark.session import new_path, released, settle
+from assayspark.llm.words import Words, mix, slices, windows
+from assayspark.session import settle
 
-BLOCK, PIECE, BAND, FOUND, WANTED = range(5)  # kinds of rows
-OTHER = [("other_text", pa.int64()), ("other_start", pa.int32()), ("other_end", pa.int32()), ("words", pa.binary())]
-ROW = "to long, kind int, source long, payload binary"
+RANGE = ["row", "doc_id", "kept", "other_row", "start", "end", "other_start", "other_end"]
 
 
 def tune(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
@@ -59,18 +58,17 @@ def tune(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
 
 @dataclass(frozen=True)
 class Settings:
-    reach: int = 5
+    reach: int = 20
     least: int = 20
     size: int = 5
     threshold: float = 0.8
-    bands: int = 5  # tune(0.8, 0.99, most=10)
+    bands: int = 16  # tune(0.45, 0.97, most=32)
     rows: int = 2
-    block_tokens: int = 600_000
-    context: int = 64  # more than two pieces: a longer equal stretch has a seed of its own
+    members: int = 256  # paragraphs that a side of one comparison holds, about
 
 
 def cut(words: Words, reach: int) -> np.ndarray:
-    """The first word of each piece; pieces tile the texts."""
+    """The first word of each paragraph; paragraphs tile the texts."""
     n = len(words.hash)
     h, begins = windows(words.hash, 2), np.ones(n, bool)
     h[np.flatnonzero(words.left() == 1)] = np.uint64(0xFFFFFFFFFFFFFFFF)  # the last word has no pair
@@ -83,7 +81,7 @@ def cut(words: Words, reach: int) -> np.ndarray:
 
 
 def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Length, fingerprint and band keys (pieces, bands) of the pieces that begin at `first`."""
+    """Length, fingerprint and band keys (paragraphs, bands) of the paragraphs that begin at `first`."""
     n = len(words.hash)
     lengths = np.diff(np.append(first, n))
     place = np.arange(n) - np.repeat(first, lengths)
@@ -103,14 +101,6 @@ def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndar
     return lengths, u, keys.view(np.int64)
 
 
-def text_keys(words: Words) -> np.ndarray:
-    """A fingerprint per text, of its words in order."""
-    run, place = np.zeros(len(words.hash) + 1, np.uint64), np.arange(len(words.hash)) - words.starts[words.owner]
-    with np.errstate(over="ignore"):
-        np.cumsum(words.hash * (2 * place + 1).astype(np.uint64), out=run[1:])
-        return mix(np.diff(run[words.starts]) + words.lengths().astype(np.uint64), 32).view(np.int64)
-
-
 def _timed(keys: np.ndarray) -> np.ndarray:
     """Keys that also say how often the same one came before."""
     order = np.argsort(keys, kind="stable")
@@ -139,8 +129,8 @@ def _rising(values: np.ndarray) -> np.ndarray:
     return np.array(out[::-1], np.int64)
 
 
-def alike(words: np.ndarray, others: np.ndarray, size: int, threshold: float) -> list[tuple[int, int]]:
-    """Runs of `words`, the longest first, whose windows have at least this Jaccard similarity with a run of `others`."""
+def aligned(words: np.ndarray, others: np.ndarray, size: int, threshold: float) -> list[tuple[int, int, int, int]]:
+    """Runs of `words` whose windows have at least this Jaccard similarity with a run of `others`, the longest first, and that run."""
     if min(len(words), len(others)) < size:
         return []
     own, other = (_timed(windows(w, size)[: len(w) - size + 1]) for w in (words, others))
@@ -163,273 +153,211 @@ def alike(words: np.ndarray, others: np.ndarray, size: int, threshold: float) ->
         shared, long, wide = q - p + 1, i[q] - i[p] + 1, j[q] - j[p] + 1
         right = (shared > 0) & (shared >= threshold * (long + wide - shared) - 1e-9)
         a, b = np.unravel_index(np.argmax(np.where(right, long, 0)), right.shape)  # one block alone is always right
-        out.append((int(i[first[s + a]]), int(i[last[s + b]]) + size))
+        begin, end = first[s + a], last[s + b]
+        out.append((int(i[begin]), int(i[end]) + size, int(j[begin]), int(j[end]) + size))
         todo += [(s, s + a), (s + b + 1, e)]
     return out
 
 
-def repeats(words: Words, first: np.ndarray, lengths: np.ndarray, reach: int = 8) -> np.ndarray:
-    """Pieces in which a word occurs again within `reach` words."""
-    piece, out = np.repeat(np.arange(len(first)), lengths), np.zeros(len(first), bool)
-    for k in range(1, min(reach, len(piece))):
-        again = (piece[k:] == piece[:-k]) & (words.hash[k:] == words.hash[:-k])
-        out[piece[k:][again]] = True
-    return out
-
-
-def _rows(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [[]] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary()])], ["to", "kind", "source", "payload"])
+def alike(words: np.ndarray, others: np.ndarray, size: int, threshold: float) -> list[tuple[int, int]]:
+    """The runs of `words` that are aligned with runs of `others`."""
+    return [(s, e) for s, e, _, _ in aligned(words, others, size, threshold)]
 
 
-def blocks(docs: DataFrame, buckets: int, settings: Settings, bands: bool) -> DataFrame:
-    """Blocks of documents by their pieces and the distinct pieces for each bucket; or else their band keys. docs: doc_id, text.
+def paragraphs(docs: DataFrame, settings: Settings) -> DataFrame:
+    """row, doc_id, number, last, start, u (the fingerprint), hashes (its words) and bands of each paragraph. docs: doc_id, text."""
 
-    A set of s windows can reach the threshold t with a different one only if s / (s + 1) does. Smaller pieces are found
-    by their words alone and have no band keys, unless a word repeats: then other words may have the same windows.
-    """
-    smallest = math.ceil(settings.threshold / (1 - settings.threshold) - 1e-9) if settings.threshold < 1 else 1 << 30
-
-    def banded(u: np.ndarray, large: np.ndarray, keys: np.ndarray) -> pa.Table:
-        known, which = np.unique(u, return_index=True)
-        large = large[which]
-        known, which, rows = known[large], which[large], []
-        for band in range(keys.shape[1]):
-            key = keys[which, band]
-            bucket = np.mod(key, buckets)
-            order = np.lexsort((key, bucket))
-            at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(at)):
-                own = order[at[b] : at[b + 1]]
-                rows.append((int(b), BAND, band, pack(np.diff(key[own], prepend=0), known[own])))
-        return _rows(rows)
-
-    def made(parts: list[tuple], block: int) -> pa.Table:
-        ids, no_id, pieces, first, lengths, u, keys, large, of_text = (np.concatenate([p[i] for p in parts]) for i in range(9))
-        if bands:
-            return banded(u, large, keys)
-        known, times = np.unique(u, return_counts=True)
-        rows = [(block, BLOCK, block, pack(ids, no_id.astype(np.uint8), pieces, first.astype(np.int32), lengths.astype(np.int32), u, of_text))]
-        bucket = np.mod(known, buckets)
-        order = np.argsort(bucket, kind="stable")
-        at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in np.flatnonzero(np.diff(at)):
-            own = order[at[b] : at[b + 1]]
-            rows.append((int(b), PIECE, block, pack(np.diff(known[own], prepend=0), np.minimum(times[own], 2).astype(np.uint8))))
-        return _rows(rows)
+    def lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(values.view(np.int64)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, tokens = TaskContext.get().partitionId() << 20, [], 0
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            column = batch.column("doc_id")
-            no_id = np.array(column.is_null().to_pylist(), bool)
-            ids = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for s, e in slices(batch.column("text")):
                 words = Words(batch.column("text")[s:e], lower=True)
                 first = cut(words, settings.reach)
                 lengths, u, keys = sketch(words, first, settings)
-                pieces = np.bincount(words.owner[first], minlength=e - s)
-                large = (lengths - settings.size + 1 >= smallest) | repeats(words, first, lengths)
-                parts.append((ids[s:e], no_id[s:e], pieces, first - words.starts[words.owner[first]], lengths, u, keys, large, text_keys(words)))
-                tokens += len(words.hash) + 4 * (e - s)  # so a block holds fewer than 2^20 rows
-                if tokens >= settings.block_tokens:
-                    yield from made(parts, block).to_batches()
-                    block, parts, tokens = block + 1, [], 0
-        if parts:
-            yield from made(parts, block).to_batches()
-
-    return docs.mapInArrow(read, ROW)
-
-
-def crowded(group: pa.Table) -> pa.Table:
-    """Band keys of a bucket that two or more different pieces have: bucket (the key), band, node (the piece), n."""
-    out = []
-    source = group.column("source").to_numpy()
-    payload = group.column("payload").to_pylist()
-    for band in np.unique(source):
-        got = [unpack(p) for p, s in zip(payload, source) if s == band]
-        key, u = np.concatenate([np.cumsum(g[0]) for g in got]), np.concatenate([g[1] for g in got])
-        order = np.lexsort((u, key))
-        key, u = key[order], u[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (u[1:] != u[:-1])
-        key, u = key[new], u[new]
-        _, index, times = np.unique(key, return_inverse=True, return_counts=True)
-        many = times[index] > 1
-        out.append((key[many], np.full(int(many.sum()), band, np.int32), u[many], times[index][many]))
-    columns = [np.concatenate(c) for c in zip(*out)]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.int64()])], ["bucket", "band", "node", "n"])
-
-
-def repeated(group: pa.Table) -> pa.Table:
-    """Tell each block which of the pieces it sent to this bucket occur twice or more, or are wanted."""
-    kind, source, payload = group.column("kind").to_numpy(), group.column("source").to_pylist(), group.column("payload").to_pylist()
-    wanted = np.array([s for k, s in zip(kind, source) if k == WANTED], np.int64)
-    sent = [(s, *unpack(p)) for k, s, p in zip(kind, source, payload) if k == PIECE]
-    if not sent:
-        return _rows([])
-    pieces = [np.cumsum(d) for _, d, _ in sent]
-    keys, index = np.unique(np.concatenate(pieces), return_inverse=True)
-    total = np.bincount(index, np.concatenate([t for _, _, t in sent]), len(keys))
-    told = (total > 1) | np.isin(keys, wanted)
-    rows = []
-    for (block, _, _), own in zip(sent, pieces):
-        found = own[told[np.searchsorted(keys, own)]]
-        if len(found):
-            rows.append((block, FOUND, int(group.column("to")[0].as_py()), pack(found)))
-    return _rows(rows)
-
-
-def occurrences(group: pa.Table) -> pa.Table:
-    """All places in a block of the pieces it was told of."""
-    kind, payload = group.column("kind").to_pylist(), group.column("payload").to_pylist()
-    found = np.concatenate([np.zeros(0, np.int64), *[unpack(p)[0] for k, p in zip(kind, payload) if k == FOUND]])
-    names = ["node", "row", "doc_id", "number", "start", "words", "of_text"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-    if BLOCK not in kind:
-        return pa.table([pa.array([], t) for t in kinds], names)
-    ids, no_id, pieces, first, lengths, u, of_text = unpack(payload[kind.index(BLOCK)])
-    at = np.flatnonzero(np.isin(u, found))
-    doc = np.repeat(np.arange(len(ids)), pieces)
-    number = np.arange(len(u)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    d = doc[at]
-    row = (group.column("to")[0].as_py() << 20) + d
-    return pa.table([
-        pa.array(u[at]), pa.array(row), pa.array(ids[d], pa.int64(), mask=no_id[d].astype(bool)), pa.array(number[at], pa.int32()),
-        pa.array(first[at], pa.int32()), pa.array(lengths[at], pa.int32()), pa.array(of_text[d]),
-    ], names)
-
-
-def _piece_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """node, text, bands of wanted pieces. wanted: node, doc_id, start, words, one place each; docs: doc_id, text."""
-    places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("node", "start", "words")).alias("places"))
-    rows = docs.join(places.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "places")
-
-    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, texts = [], []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
-                words = as_bytes(text).split()
-                for p in places:
-                    nodes.append(p["node"])
-                    texts.append(b" ".join(words[p["start"] : p["start"] + p["words"]]).decode("utf-8", "replace"))
-            if not nodes:
-                continue
-            column = pa.array(texts, pa.string())
-            words = Words(column, lower=True)
-            full = np.flatnonzero(words.lengths() > 0)
-            _, u, keys = sketch(words, words.starts[:-1][full], settings)
-            right = u == np.array(nodes, np.int64)[full]  # another row of the same id may not hold the piece
-            offsets = pa.array(np.arange(int(right.sum()) + 1) * settings.bands, pa.int32())
-            bands = pa.ListArray.from_arrays(offsets, pa.array(keys[right].ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(u[right]), column.take(pa.array(full[right])), bands], ["node", "text", "bands"])
-
-    return rows.mapInArrow(cut_out, "node long, text string, bands array<long>").dropDuplicates(["node"])
-
-
-def _word_runs(docs: DataFrame, wanted: DataFrame, made: Callable, kinds: pa.Schema) -> DataFrame:
-    """Give `made` the word hashes of wanted runs, one by one. wanted: doc_id, place (of_text, start, end, ...); docs: doc_id, text."""
-    places = wanted.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list("place").alias("places"))
-    rows = docs.join(places, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "places")
+                owner = words.owner[first]
+                count = np.bincount(owner, minlength=e - s)
+                number = np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
+                banded = np.where(lengths >= settings.size, settings.bands, 0)  # shorter ones are known by all their words
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row + owner), batch.column("doc_id")[s:e].take(pa.array(owner)), pa.array(number, pa.int32()),
+                        pa.array(number == count[owner] - 1), pa.array(first - words.starts[owner], pa.int32()), pa.array(u),
+                        lists(words.hash, np.cumsum(lengths)), lists(keys[lengths >= settings.size].ravel(), np.cumsum(banded)),
+                    ],
+                    ["row", "doc_id", "number", "last", "start", "u", "hashes", "bands"],
+                )
+                row += e - s
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s, e in slices(batch.column("text")):
-                words = Words(batch.column("text")[s:e], lower=True)
-                keys = text_keys(words)
-                out = []
-                for k, places in enumerate(batch.column("places")[s:e]):
-                    own = words.hash[words.starts[k] : words.starts[k + 1]]
-                    for p in places.as_py():
-                        if p["of_text"] == keys[k]:  # another row of the same id may have another text
-                            out += made(p, own[p["start"] : p["end"]])
-                yield pa.RecordBatch.from_pylist(out, kinds)
-
-    return rows.mapInArrow(read, from_arrow_schema(kinds))
-
-
-def near_runs(removed: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """row, doc_id, start, end, kept: near copies around removed pieces, edited words included. docs: doc_id, text."""
-    seeds = removed.where(F.col("of_text") != F.col("first.of_text")).select(
-        "row", "doc_id", "of_text", "start", (F.col("start") + F.col("words")).alias("end"), F.col("first.row").alias("other_row"),
-        F.col("first.doc_id").alias("kept"), F.col("first.of_text").alias("other_text"), F.col("first.start").alias("other_start"),
-        (F.col("first.start") + F.col("first.words")).alias("other_end"),
-    )
-    pair = Window.partitionBy("row", "other_row").orderBy("start")
-    gap, other_gap = F.col("start") - F.lag("end").over(pair), F.col("other_start") - F.lag("other_end").over(pair)
-    joined = (gap <= settings.context) & other_gap.between(0, settings.context)
-    seeds = seeds.withColumn("new", F.when(joined, 0).otherwise(1))
-    seeds = seeds.withColumn("chain", F.sum("new").over(pair.rowsBetween(Window.unboundedPreceding, 0)))
-    low, high = (lambda c: F.greatest(F.min(c) - settings.context, F.lit(0))), (lambda c: F.max(c) + settings.context)
-    chains = seeds.groupBy("row", "doc_id", "of_text", "other_row", "kept", "other_text", "chain").agg(
-        low("start").alias("start"), high("end").alias("end"), low("other_start").alias("other_start"), high("other_end").alias("other_end")
-    )
-    chains = settle(chains.drop("chain", "other_row"), "chains")
-    other = ["other_text", "other_start", "other_end"]
-    asked = ["of_text", "start", "end", *other]
+    return docs.mapInArrow(read, "row long, doc_id long, number int, last boolean, start int, u long, hashes array<long>, bands array<long>")
 
-    # equal texts are read once, and compared once with the same run
-    wanted = chains.groupBy(other).agg(F.min("kept").alias("doc_id"))
-    place = F.struct(F.col("other_text").alias("of_text"), F.col("other_start").alias("start"), F.col("other_end").alias("end"))
 
-    def sent(p: dict, words: np.ndarray) -> list[dict]:
-        return [{"other_text": p["of_text"], "other_start": p["start"], "other_end": p["end"], "words": words.tobytes()}]
+def _lists(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    """The lists of a column as arrays of hashes."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values, ends = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), column.value_lengths().to_numpy(zero_copy_only=False)
+    return np.split(values, np.cumsum(ends)[:-1]) if len(column) else []
 
-    kinds = pa.schema(OTHER)
-    others = _word_runs(docs, wanted.select("doc_id", place.alias("place")), sent, kinds).dropDuplicates(other)
-    compared = chains.groupBy(asked).agg(F.min("doc_id").alias("doc_id")).join(settle(others, "others"), other)
 
-    def found(p: dict, words: np.ndarray) -> list[dict]:
-        runs = alike(words, np.frombuffer(p["words"], np.uint64), settings.size, settings.threshold)
-        return [{**{k: p[k] for k in asked}, "from": p["start"] + s, "to": p["start"] + e} for s, e in runs]
+def _linked(a: np.ndarray, b: np.ndarray, settings: Settings) -> bool:
+    return any(e - s >= settings.least / 2 for s, e in alike(a, b, settings.size, settings.threshold))
 
-    kinds = pa.schema([("of_text", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), *OTHER[:-1], ("from", pa.int32()), ("to", pa.int32())])
-    runs = _word_runs(docs, compared.select("doc_id", F.struct(*asked, "words").alias("place")), found, kinds).distinct()
-    return chains.join(runs, asked).select("row", "doc_id", F.col("from").alias("start"), F.col("to").alias("end"), "kept")
 
+def star_links(stars: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) that are similar. words: node, hashes."""
+    side = lambda n: words.select(F.col("node").alias(n), F.col("hashes").alias(f"{n}_words"))
+    rows = stars.join(side("a"), "a").join(side("b"), "b")
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """Spans to remove: row, doc_id, start, end, n_words, kept_doc_ids (where its pieces stay) and kept_doc_id, the first of them."""
-    spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    path = new_path(spark, "pieces")
-    with released(spark):
-        blocks(rows, buckets, settings, bands=False).write.partitionBy("kind").parquet(path)
-    made = spark.read.schema(ROW).parquet(path)
-
-    # band keys are many and read once: they go to their buckets straight from a second reading of the texts
-    keys = blocks(rows, buckets, settings, bands=True)
-    hits = settle(keys.groupBy("to").applyInArrow(crowded, "bucket long, band int, node long, n long"), "hits")
-    asked = hits.select("node").distinct().select(
-        F.pmod("node", F.lit(buckets)).alias("to"), F.lit(WANTED).alias("kind"), F.col("node").alias("source"), F.lit(None).cast("binary").alias("payload")
-    )
-    told = made.where(F.col("kind") == PIECE).select("to", "kind", "source", "payload").unionByName(asked).groupBy("to").applyInArrow(repeated, ROW)
-    told = told.unionByName(made.where(F.col("kind") == BLOCK).select("to", "kind", "source", "payload"))
-    places = settle(told.groupBy("to").applyInArrow(occurrences, "node long, row long, doc_id long, number int, start int, words int, of_text long"), "places")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(_lists(batch.column("a_words")), _lists(batch.column("b_words")))
+            right = pa.array([_linked(a, b, settings) for a, b in pairs], pa.bool_())
+            yield batch.select(["a", "b"]).filter(right)
+
+    return rows.select("a", "b", "a_words", "b_words").mapInArrow(compare, "a long, b long")
+
+
+def bucket_links(placed: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between paragraphs of one bucket in different components. placed: bucket, band, node, component."""
+    cells = near_dedup._bucket_cells(placed, near_dedup.Settings(members=settings.members))
+    fewest = max(1, math.ceil(settings.threshold * (math.ceil(settings.least / 2) - settings.size + 1) - 1e-9))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        side, nodes, component = (cell.column(c).to_numpy() for c in ("side", "node", "component"))
+        hashes = _lists(cell.column("hashes"))
+        sets = [np.unique(windows(h, settings.size)[: max(0, len(h) - settings.size + 1)]) for h in hashes]
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        known = {}  # which paragraphs of the other side hold a window
+        for j in b:
+            for w in sets[j].tolist():
+                known.setdefault(w, []).append(j)
+        out = []
+        for i in a:
+            shared = np.bincount([j for w in sets[i].tolist() for j in known.get(w, ())], minlength=len(nodes))
+            # a repeated window counts once here, so sets that repeat themselves are not ruled out by it
+            least = min(fewest, max(1, len(sets[i])))
+            for j in np.flatnonzero(shared >= least if len(sets[i]) == len(hashes[i]) - settings.size + 1 else shared > 0):
+                if component[i] != component[j] and _linked(hashes[i], hashes[j], settings):
+                    out.append((int(nodes[i]), int(nodes[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return cells.join(words, "node").select("cell", "side", "node", "component", "hashes").groupBy("cell").applyInArrow(compare, "a long, b long")
+
+
+def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
+    """Similar nodes (a, b): paragraphs that share a band key and hold similar runs. firsts: u, first."""
+    keyed = made.select("u", F.explode("bands").alias("key"))
+    crowded = settle(keyed.groupBy("key").agg(F.min("u").alias("low"), F.max("u").alias("high")).where("low <> high").select("key"), "keys")
+    hits = settle(keyed.join(crowded, "key").distinct(), "hits")
+    nodes = settle(firsts.join(hits.select("u").distinct(), "u"), "nodes")
+    centre = hits.join(nodes, "u").groupBy("key").agg(F.min(F.struct("first", "u")).alias("c")).select("key", F.col("c.u").alias("a"))
+    hits = settle(hits.join(centre, "key").select(F.col("key").alias("bucket"), F.lit(0).alias("band"), F.col("u").alias("node"), "a"), "hits")
+    at = nodes.select(F.col("u").alias("node"), F.col("first.row").alias("row"), F.col("first.number").alias("number"))
+    words = settle(made.select("row", "number", "hashes").join(at, ["row", "number"]).select("node", "hashes"), "words")
+    stars = hits.where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    near = settle(star_links(stars, words, settings), "near")
+    sizes = hits.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2").select("bucket")  # two are compared by now
+    placed = hits.join(sizes, "bucket").join(components(near), "node", "left")
+    placed = settle(placed.select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
+    return settle(near.unionByName(bucket_links(placed, words, settings)).distinct(), "links")
+
+
+def _stretches(asked: DataFrame, made: DataFrame, row: str, number: str, into: str) -> DataFrame:
+    """The words around each asked paragraph, from the one before to the one behind: id, start and words."""
+    wanted = asked.select("id", F.col(row).alias("row"), F.explode(F.array(*(F.col(number) + k for k in (-1, 0, 1)))).alias("number"))
+    found = wanted.join(made.select("row", "number", "start", "hashes"), ["row", "number"])
+    parts = found.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", "start", "hashes"))).alias("parts"))  # at most three
+    return parts.select("id", F.col("parts")[0]["start"].alias(f"{into}start"), F.flatten(F.col("parts.hashes")).alias(f"{into}words"))
+
+
+def shared_runs(asked: DataFrame, made: DataFrame, settings: Settings) -> DataFrame:
+    """What asked paragraphs share with earlier ones: the columns of RANGE. asked: row, doc_id, number, kept, other_row, other_number."""
+    asked = settle(asked.withColumn("id", F.monotonically_increasing_id()), "asked")
+    rows = asked.select("id", "row", "doc_id", "kept", "other_row").join(_stretches(asked, made, "row", "number", ""), "id")
+    rows = rows.join(_stretches(asked, made, "other_row", "other_number", "other_"), "id")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            starts = zip(batch.column("start").to_pylist(), batch.column("other_start").to_pylist())
+            texts = zip(_lists(batch.column("words")), _lists(batch.column("other_words")))
+            for k, ((i, j), (own, other)) in enumerate(zip(starts, texts)):
+                for s, e, other_s, other_e in aligned(own, other, settings.size, settings.threshold):
+                    at.append(k)
+                    found.append((i + s, i + e, j + other_s, j + other_e))
+            taken = [batch.column(c).take(pa.array(at, pa.int64())) for c in RANGE[:4]]
+            places = np.array(found, np.int32).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays([*taken, *map(pa.array, places)], RANGE)
 
-    wanted = places.join(hits.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start", "words")).alias("p")
-    )
-    texts = settle(_piece_texts(rows, wanted.select("node", "p.doc_id", "p.start", "p.words"), settings), "texts")
-    near = near_dedup.Settings(size=settings.size, threshold=settings.threshold, bands=settings.bands, rows=settings.rows, sets=True)
-    found = components(near_dedup.linked(hits, texts, near))
-
-    placed = places.join(found, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number", "start", "words", "of_text")).alias("first")
-    clusters = placed.groupBy("cluster").agg(first, F.count("*").alias("n")).where("n > 1").select("cluster", "first")
-    removed = settle(placed.join(clusters, "cluster").where(F.col("row") != F.col("first.row")), "removed")
-    pieces = removed.select("row", "doc_id", "start", (F.col("start") + F.col("words")).alias("end"), F.col("first.doc_id").alias("kept"))
-    own = Window.partitionBy("row").orderBy("start", "end", F.col("kept").asc_nulls_last())
+    return rows.mapInArrow(compare, "row long, doc_id long, kept long, other_row long, start int, end int, other_start int, other_end int")
+
+
+def clustered(ranges: DataFrame, settings: Settings) -> DataFrame:
+    """Spans of at least `least` words, the ranges of a row that overlap or touch as one, and where their words stay.
+
+    A range whose other place is itself removed links two spans. The components of these links are the clusters; what
+    such a range repeats stays in the first document of its cluster.
+    """
+    own = Window.partitionBy("row").orderBy("start", "end", "other_row", "other_start")
     reached = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    ranges = pieces.unionByName(near_runs(removed, rows, settings)).withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))
-    ranges = ranges.withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = ranges.groupBy("row", "doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("end") - F.min("start")).cast("long").alias("n_words"),
-        F.min("kept").alias("kept_doc_id"),
-        F.sort_array(F.collect_set("kept")).alias("kept_doc_ids"),
+    ranges = ranges.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))
+    ranges = settle(ranges.withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0))), "ranges")
+    spans = ranges.groupBy("row", "doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = spans.withColumn("n_words", (F.col("end") - F.col("start")).cast("long")).where(F.col("n_words") >= settings.least)
+    spans = settle(spans.withColumn("span", F.monotonically_increasing_id()), "spans")
+
+    parts = ranges.join(spans.select("row", "run", "span"), ["row", "run"]).select("span", "kept", "other_row", "other_start", "other_end")
+    gone = spans.select(F.col("row").alias("gone_row"), F.col("start").alias("from"), F.col("end").alias("to"), F.col("span").alias("near"))
+    overlap = F.least("to", "other_end") - F.greatest("from", "other_start")
+    inside = (F.col("other_row") == F.col("gone_row")) & (2 * overlap > F.col("other_end") - F.col("other_start"))  # so in one span at most
+    parts = settle(parts.join(gone, inside, "left").select("span", "near", "kept"), "parts")
+    found = components(parts.where("near is not null"), "span", "near")
+    parts = parts.join(found.withColumnRenamed("node", "span"), "span", "left").withColumn("component", F.coalesce("component", "span"))
+    first = parts.where("near is null").groupBy("component").agg(F.min("kept").alias("cluster_doc_id"))
+    kept = parts.join(first, "component", "left").groupBy("span").agg(
+        F.sort_array(F.collect_set(F.when(F.col("near").isNull(), F.col("kept")).otherwise(F.col("cluster_doc_id")))).alias("kept_doc_ids"),
+        F.first("cluster_doc_id").alias("cluster_doc_id"),
+    )
+    kept = kept.withColumn("kept_doc_id", F.array_min("kept_doc_ids"))
+    return spans.drop("run").join(kept, "span").drop("span")
+
+
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """Spans to remove: row, doc_id, start, end, n_words, kept_doc_ids (where their words stay), kept_doc_id, the first of
+    them, and cluster_doc_id, the first document of their cluster."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    made = settle(paragraphs(rows, settings), "paragraphs")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number", "start").alias("first")
+    firsts = settle(made.groupBy("u").agg(F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")), "firsts")
+    near = links(made, firsts.select("u", "first"), settings)
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+
+    again = firsts.where("low <> high").select("u").unionByName(both.select(F.col("a").alias("u"))).distinct()
+    nodes = settle(firsts.join(again, "u").select("u", "first"), "nodes")
+    places = made.select("row", "doc_id", "number", "last", "start", (F.col("start") + F.size("hashes")).alias("end"), "u")
+    places = settle(places.join(nodes, "u"), "places")
+
+    # an equal paragraph of an earlier row goes whole; only around the ends of a chain of such is more compared
+    equal = places.where(F.col("row") != F.col("first.row")).select(
+        "row", "doc_id", "number", "last", "start", "end", F.col("first.doc_id").alias("kept"), F.col("first.row").alias("other_row"),
+        F.col("first.number").alias("other_number"), F.col("first.start").alias("other_start"),
+        (F.col("first.start") + F.col("end") - F.col("start")).alias("other_end"),
     )
-    return spans.where(F.col("n_words") >= settings.least).drop("run")
+    chain = Window.partitionBy("row").orderBy("number")
+    before, behind = (F.coalesce(f("number").over(chain), F.lit(-9)) - F.col("number") for f in (F.lag, F.lead))
+    open_end = ((F.col("number") > 0) & (before != -1)) | (~F.col("last") & (behind != 1))
+    asked = ["row", "doc_id", "number", "kept", "other_row", "other_number"]
+    ends = equal.withColumn("open_end", open_end).where("open_end").select(asked)
+    # of two linked paragraphs the later one is compared with the earlier one
+    other = nodes.select(F.col("u").alias("b"), F.col("first").alias("other"))
+    pairs = places.where(F.col("row") == F.col("first.row")).join(both.withColumnRenamed("a", "u"), "u").join(other, "b")
+    pairs = pairs.where((F.col("other.row") != F.col("row")) & (F.col("other") < F.col("first")))
+    later = pairs.select(
+        "row", "doc_id", "number", F.col("other.doc_id").alias("kept"), F.col("other.row").alias("other_row"), F.col("other.number").alias("other_number")
+    )
+    return clustered(equal.select(RANGE).unionByName(shared_runs(ends.unionByName(later), made, settings)), settings)
 
 
 def removed_from(text: str | None, spans: list[tuple[int, int]]) -> str:

@@ -81,7 +81,8 @@ def test_tune_reaches_the_recall():
     for threshold, recall, most in ((0.8, 0.99, 3), (0.8, 0.99, 64), (0.5, 0.9, 64)):
         bands, rows = passages.tune(threshold, recall, most)
         assert bands * rows <= most and 1 - (1 - threshold**rows) ** bands >= recall
-    assert passages.tune(0.8, 0.99, 10) == (5, 2) == (passages.Settings.bands, passages.Settings.rows)
+    assert passages.tune(0.8, 0.99, 10) == (5, 2)
+    assert passages.tune(0.45, 0.97, 32) == (16, 2) == (passages.Settings.bands, passages.Settings.rows)
 
 
 def test_removal_keeps_the_rest():
@@ -95,7 +96,7 @@ def test_pieces_tile_the_texts(reach):
     column = pa.array(["", *(" ".join(text(rng, n)) for n in (1, 2, 50, 300)), None, "x x x x x x"])
     words = Words(column)
     lengths, _, keys = passages.sketch(words, passages.cut(words, reach), passages.Settings(reach=reach))
-    assert lengths.sum() == len(words.hash) and (lengths > 0).all() and keys.shape == (len(lengths), 5)
+    assert lengths.sum() == len(words.hash) and (lengths > 0).all() and keys.shape == (len(lengths), passages.Settings.bands)
     assert np.bincount(words.owner[passages.cut(words, reach)], minlength=7)[0] == 0
 
 
