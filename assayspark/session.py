@@ -68,14 +68,14 @@ def released(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+def settle(df: DataFrame, name: str = "settled", **options: str) -> DataFrame:
     """Write the table to the shared folder once and read it from there.
 
-    What is used several times is then computed once, in one pass, and survives lost executors.
+    What is used several times is then computed once, in one pass, and survives lost executors. `options` go to the writer.
     """
     path = new_path(df.sparkSession, name)
     with released(df.sparkSession):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     _SETTLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
