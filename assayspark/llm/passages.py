@@ -18,7 +18,7 @@ similarity reaches the threshold go whole, with the edited words inside. So the
 stays. Only runs of at least `least` words together are removed, so short shared lines stay. Removed spans that repeat
 one another are clusters, the connected components of these links. Spans are word numbers, the end exclusive.
 
-Texts are read once, into a table of paragraphs with their word hashes; all later steps join on the number of the row
+Texts are read once, into a table of paragraphs with their words; all later steps join on the number of the row
 and of the paragraph. Null and empty texts have no paragraphs; rows that repeat an id, or have none, are documents of
 their own. An empty table gives an empty result; other columns are not read.
 """
@@ -41,6 +41,7 @@ from assayspark.llm.words import Words, mix, slices, windows
 from assayspark.session import settle
 
 RANGE = ["row", "doc_id", "kept", "other_row", "start", "end", "other_start", "other_end"]
+PACKED = {"compression": "zstd"}
 
 
 def tune(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
@@ -165,10 +166,7 @@ def alike(words: np.ndarray, others: np.ndarray, size: int, threshold: float) ->
 
 
 def paragraphs(docs: DataFrame, settings: Settings) -> DataFrame:
-    """row, doc_id, number, last, start, u (the fingerprint), hashes (its words) and bands of each paragraph. docs: doc_id, text."""
-
-    def lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(values.view(np.int64)))
+    """row, doc_id, number, last, start, n (words), u (the fingerprint), bytes and bands of each paragraph. docs: doc_id, text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -181,81 +179,115 @@ def paragraphs(docs: DataFrame, settings: Settings) -> DataFrame:
                 count = np.bincount(owner, minlength=e - s)
                 number = np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
                 banded = np.where(lengths >= settings.size, settings.bands, 0)  # shorter ones are known by all their words
+                bands = pa.array(keys[lengths >= settings.size].ravel())
+                data, ends = words.data, np.append(words.first[first], len(words.data))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + owner), batch.column("doc_id")[s:e].take(pa.array(owner)), pa.array(number, pa.int32()),
-                        pa.array(number == count[owner] - 1), pa.array(first - words.starts[owner], pa.int32()), pa.array(u),
-                        lists(words.hash, np.cumsum(lengths)), lists(keys[lengths >= settings.size].ravel(), np.cumsum(banded)),
+                        pa.array(number == count[owner] - 1), pa.array(first - words.starts[owner], pa.int32()), pa.array(lengths, pa.int32()),
+                        pa.array(u), pa.array([data[i:j].tobytes() + b" " for i, j in zip(ends[:-1], words.last[np.append(first, len(words.last))[1:] - 1])], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(banded)), pa.int32()), bands),
                     ],
-                    ["row", "doc_id", "number", "last", "start", "u", "hashes", "bands"],
+                    ["row", "doc_id", "number", "last", "start", "n", "u", "bytes", "bands"],
                 )
                 row += e - s
 
-    return docs.mapInArrow(read, "row long, doc_id long, number int, last boolean, start int, u long, hashes array<long>, bands array<long>")
+    return docs.mapInArrow(read, "row long, doc_id long, number int, last boolean, start int, n int, u long, bytes binary, bands array<long>")
 
 
-def _lists(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
-    """The lists of a column as arrays of hashes."""
+def _words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of a column of bytes and the n + 1 offsets of its rows."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values, ends = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), column.value_lengths().to_numpy(zero_copy_only=False)
-    return np.split(values, np.cumsum(ends)[:-1]) if len(column) else []
+    words = Words(column.fill_null(b""), lower=True)
+    return words.hash, words.starts
 
 
-def _linked(a: np.ndarray, b: np.ndarray, settings: Settings) -> bool:
-    return any(e - s >= settings.least / 2 for s, e in alike(a, b, settings.size, settings.threshold))
+def _keys(hashes: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place of every whole window within its row and a key that tells its row and how often it came there before."""
+    lengths = np.diff(starts)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(hashes)) - starts[row]
+    whole = place + size <= lengths[row]
+    with np.errstate(over="ignore"):
+        return np.flatnonzero(whole), _timed(mix(windows(hashes, size)[whole] + mix(row[whole], 41)))
+
+
+def aligned_rows(own: pa.Array, other: pa.Array, size: int, threshold: float) -> np.ndarray:
+    """`aligned` for all rows of two columns of bytes: row, start, end, other start, other end. Rows with one common block need no search."""
+    (a, a_starts), (b, b_starts) = _words(own), _words(other)
+    (a_at, a_keys), (b_at, b_keys) = _keys(a, a_starts, size), _keys(b, b_starts, size)
+    _, i, j = np.intersect1d(a_keys, b_keys, assume_unique=True, return_indices=True)
+    i, j = np.sort(i), j[np.argsort(i)]
+    i, j = a_at[i], b_at[j]
+    row = np.searchsorted(a_starts, i, "right") - 1
+    if not len(row):
+        return np.zeros((0, 5), np.int64)
+    new = np.append(True, row[1:] != row[:-1])
+    first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(row)) - 1
+    broken = np.append(False, (np.diff(i) != 1) | (np.diff(j) != 1)) & ~new
+    plain = np.add.reduceat(broken, first, dtype=np.int64) == 0
+    f, e, r = first[plain], last[plain], row[first[plain]]
+    out = [np.stack([r, i[f] - a_starts[r], i[e] + size - a_starts[r], j[f] - b_starts[r], j[e] + size - b_starts[r]], axis=1)]
+    for r in row[first[~plain]].tolist():
+        runs = aligned(a[a_starts[r] : a_starts[r + 1]], b[b_starts[r] : b_starts[r + 1]], size, threshold)
+        out.append(np.array([(r, *x) for x in runs], np.int64).reshape(-1, 5))
+    return np.concatenate(out)
 
 
 def star_links(stars: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) that are similar. words: node, hashes."""
-    side = lambda n: words.select(F.col("node").alias(n), F.col("hashes").alias(f"{n}_words"))
+    """The pairs (a, b) that are similar. words: node, bytes."""
+    side = lambda n: words.select(F.col("node").alias(n), F.col("bytes").alias(f"{n}_bytes"))
     rows = stars.join(side("a"), "a").join(side("b"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(_lists(batch.column("a_words")), _lists(batch.column("b_words")))
-            right = pa.array([_linked(a, b, settings) for a, b in pairs], pa.bool_())
-            yield batch.select(["a", "b"]).filter(right)
+            runs = aligned_rows(batch.column("a_bytes"), batch.column("b_bytes"), settings.size, settings.threshold)
+            right = np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0])
+            yield batch.select(["a", "b"]).take(pa.array(right))
 
-    return rows.select("a", "b", "a_words", "b_words").mapInArrow(compare, "a long, b long")
+    return rows.select("a", "b", "a_bytes", "b_bytes").mapInArrow(compare, "a long, b long")
 
 
 def bucket_links(placed: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between paragraphs of one bucket in different components. placed: bucket, band, node, component."""
     cells = near_dedup._bucket_cells(placed, near_dedup.Settings(members=settings.members))
+    # a similar run of that many words has at least so many common windows
     fewest = max(1, math.ceil(settings.threshold * (math.ceil(settings.least / 2) - settings.size + 1) - 1e-9))
 
     def compare(cell: pa.Table) -> pa.Table:
         side, nodes, component = (cell.column(c).to_numpy() for c in ("side", "node", "component"))
-        hashes = _lists(cell.column("hashes"))
-        sets = [np.unique(windows(h, settings.size)[: max(0, len(h) - settings.size + 1)]) for h in hashes]
+        column = cell.column("bytes").combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        hashes, starts = _words(column)
+        row = np.repeat(np.arange(len(nodes)), np.diff(starts))
+        whole = np.arange(len(hashes)) - starts[row] + settings.size <= np.diff(starts)[row]
+        known, window = np.unique(windows(hashes, settings.size)[whole], return_inverse=True)
+        table = np.zeros((len(nodes), len(known)), np.float32)  # how often a window stands in a paragraph
+        np.add.at(table, (row[whole], window), 1)
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        known = {}  # which paragraphs of the other side hold a window
-        for j in b:
-            for w in sets[j].tolist():
-                known.setdefault(w, []).append(j)
-        out = []
-        for i in a:
-            shared = np.bincount([j for w in sets[i].tolist() for j in known.get(w, ())], minlength=len(nodes))
-            # a repeated window counts once here, so sets that repeat themselves are not ruled out by it
-            least = min(fewest, max(1, len(sets[i])))
-            for j in np.flatnonzero(shared >= least if len(sets[i]) == len(hashes[i]) - settings.size + 1 else shared > 0):
-                if component[i] != component[j] and _linked(hashes[i], hashes[j], settings):
-                    out.append((int(nodes[i]), int(nodes[j])))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-
-    return cells.join(words, "node").select("cell", "side", "node", "component", "hashes").groupBy("cell").applyInArrow(compare, "a long, b long")
+        near = (table[a] @ table[b].T >= fewest) & (component[a][:, None] != component[b][None, :])
+        i, j = (x[k] for x, k in zip((a, b), np.nonzero(near)))
+        right = [np.zeros(0, np.int64)]
+        for s in range(0, len(i), 4096):
+            runs = aligned_rows(column.take(pa.array(i[s : s + 4096])), column.take(pa.array(j[s : s + 4096])), settings.size, settings.threshold)
+            right.append(s + np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0]))
+        right = np.concatenate(right)
+        return pa.table({"a": pa.array(nodes[i[right]]), "b": pa.array(nodes[j[right]])})
+
+    return cells.join(words, "node").select("cell", "side", "node", "component", "bytes").groupBy("cell").applyInArrow(compare, "a long, b long")
 
 
 def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     """Similar nodes (a, b): paragraphs that share a band key and hold similar runs. firsts: u, first."""
     keyed = made.select("u", F.explode("bands").alias("key"))
-    crowded = settle(keyed.groupBy("key").agg(F.min("u").alias("low"), F.max("u").alias("high")).where("low <> high").select("key"), "keys")
+    sign = F.shiftright("u", 32).cast("int")  # half of the fingerprint tells two paragraphs of one key apart
+    crowded = settle(keyed.groupBy("key").agg(F.min(sign).alias("low"), F.max(sign).alias("high")).where("low <> high").select("key"), "keys")
     hits = settle(keyed.join(crowded, "key").distinct(), "hits")
     nodes = settle(firsts.join(hits.select("u").distinct(), "u"), "nodes")
     centre = hits.join(nodes, "u").groupBy("key").agg(F.min(F.struct("first", "u")).alias("c")).select("key", F.col("c.u").alias("a"))
     hits = settle(hits.join(centre, "key").select(F.col("key").alias("bucket"), F.lit(0).alias("band"), F.col("u").alias("node"), "a"), "hits")
     at = nodes.select(F.col("u").alias("node"), F.col("first.row").alias("row"), F.col("first.number").alias("number"))
-    words = settle(made.select("row", "number", "hashes").join(at, ["row", "number"]).select("node", "hashes"), "words")
+    words = settle(made.select("row", "number", "bytes").join(at, ["row", "number"]).select("node", "bytes"), "words", **PACKED)
     stars = hits.where("a <> node").select("a", F.col("node").alias("b")).distinct()
     near = settle(star_links(stars, words, settings), "near")
     sizes = hits.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2").select("bucket")  # two are compared by now
@@ -267,9 +299,9 @@ def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
 def _stretches(asked: DataFrame, made: DataFrame, row: str, number: str, into: str) -> DataFrame:
     """The words around each asked paragraph, from the one before to the one behind: id, start and words."""
     wanted = asked.select("id", F.col(row).alias("row"), F.explode(F.array(*(F.col(number) + k for k in (-1, 0, 1)))).alias("number"))
-    found = wanted.join(made.select("row", "number", "start", "hashes"), ["row", "number"])
-    parts = found.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", "start", "hashes"))).alias("parts"))  # at most three
-    return parts.select("id", F.col("parts")[0]["start"].alias(f"{into}start"), F.flatten(F.col("parts.hashes")).alias(f"{into}words"))
+    found = wanted.join(made.select("row", "number", "start", "bytes"), ["row", "number"])
+    parts = found.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", "start", "bytes"))).alias("parts"))  # at most three
+    return parts.select("id", F.col("parts")[0]["start"].alias(f"{into}start"), F.array_join(F.col("parts.bytes").cast("array<string>"), "").cast("binary").alias(f"{into}bytes"))
 
 
 def shared_runs(asked: DataFrame, made: DataFrame, settings: Settings) -> DataFrame:
@@ -280,16 +312,11 @@ def shared_runs(asked: DataFrame, made: DataFrame, settings: Settings) -> DataFr
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, found = [], []
-            starts = zip(batch.column("start").to_pylist(), batch.column("other_start").to_pylist())
-            texts = zip(_lists(batch.column("words")), _lists(batch.column("other_words")))
-            for k, ((i, j), (own, other)) in enumerate(zip(starts, texts)):
-                for s, e, other_s, other_e in aligned(own, other, settings.size, settings.threshold):
-                    at.append(k)
-                    found.append((i + s, i + e, j + other_s, j + other_e))
-            taken = [batch.column(c).take(pa.array(at, pa.int64())) for c in RANGE[:4]]
-            places = np.array(found, np.int32).reshape(-1, 4).T
-            yield pa.RecordBatch.from_arrays([*taken, *map(pa.array, places)], RANGE)
+            runs = aligned_rows(batch.column("bytes"), batch.column("other_bytes"), settings.size, settings.threshold)
+            at, own, other = pa.array(runs[:, 0]), batch.column("start").to_numpy(), batch.column("other_start").to_numpy()
+            taken = [batch.column(c).take(at) for c in RANGE[:4]]
+            places = runs[:, 1:] + np.stack([own, own, other, other], axis=1)[runs[:, 0]]
+            yield pa.RecordBatch.from_arrays([*taken, *(pa.array(places[:, k], pa.int32()) for k in range(4))], RANGE)
 
     return rows.mapInArrow(compare, "row long, doc_id long, kept long, other_row long, start int, end int, other_start int, other_end int")
 
@@ -328,7 +355,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     """Spans to remove: row, doc_id, start, end, n_words, kept_doc_ids (where their words stay), kept_doc_id, the first of
     them, and cluster_doc_id, the first document of their cluster."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    made = settle(paragraphs(rows, settings), "paragraphs")
+    made = settle(paragraphs(rows, settings), "paragraphs", **PACKED)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number", "start").alias("first")
     firsts = settle(made.groupBy("u").agg(F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")), "firsts")
     near = links(made, firsts.select("u", "first"), settings)
@@ -336,7 +363,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
 
     again = firsts.where("low <> high").select("u").unionByName(both.select(F.col("a").alias("u"))).distinct()
     nodes = settle(firsts.join(again, "u").select("u", "first"), "nodes")
-    places = made.select("row", "doc_id", "number", "last", "start", (F.col("start") + F.size("hashes")).alias("end"), "u")
+    places = made.select("row", "doc_id", "number", "last", "start", (F.col("start") + F.col("n")).alias("end"), "u")
     places = settle(places.join(nodes, "u"), "places")
 
     # an equal paragraph of an earlier row goes whole; only around the ends of a chain of such is more compared
