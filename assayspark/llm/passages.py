@@ -7,8 +7,8 @@ of its surroundings. Paragraphs of the same words are one node. The windows of f
 bands of MinHash values propose pairs of different paragraphs. `tune` picks the fewest hashes that reach the wanted
 recall; the default bands find paragraphs of which less than half is shared, as those at the edges of a passage are.
 
-In a bucket of equal band keys every paragraph is compared with the one that occurs first; then those of different
-components are compared with each other, in bounded blocks inside tasks. Two paragraphs are linked if they hold runs of
+In a bucket of equal band keys every paragraph is compared with the one that occurs first, then those of different
+components with each other, in bounded blocks inside tasks; inside a component no more proof is needed. Two paragraphs are linked if they hold runs of
 at least `least` / 2 words whose windows have the wanted Jaccard similarity.
 
 The order of occurrences is by doc_id (nulls last), then row and place. What a paragraph shares with an earlier one that
@@ -249,13 +249,18 @@ def star_links(stars: DataFrame, words: DataFrame, settings: Settings) -> DataFr
 
 
 def bucket_links(placed: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) between paragraphs of one bucket in different components. placed: bucket, band, node, component."""
+    """Links (a, b) that join the components in each bucket. placed: bucket, band, node, component; words: node, first, bytes.
+
+    In a cell the node that occurs first is compared with all that it has windows in common with, then the next one.
+    Components that a link joins need no further proof, so a cell gives fewer links than nodes.
+    """
     cells = near_dedup._bucket_cells(placed, near_dedup.Settings(members=settings.members))
     # a similar run of that many words has at least so many common windows
     fewest = max(1, math.ceil(settings.threshold * (math.ceil(settings.least / 2) - settings.size + 1) - 1e-9))
 
     def compare(cell: pa.Table) -> pa.Table:
-        side, nodes, component = (cell.column(c).to_numpy() for c in ("side", "node", "component"))
+        cell = cell.sort_by([(c, "ascending") for c in ("no_id", "doc_id", "row", "number")]).combine_chunks()
+        side, nodes, component = (cell.column(c).to_numpy().copy() for c in ("side", "node", "component"))
         column = cell.column("bytes").combine_chunks()
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
         hashes, starts = _words(column)
@@ -264,17 +269,21 @@ def bucket_links(placed: DataFrame, words: DataFrame, settings: Settings) -> Dat
         known, window = np.unique(windows(hashes, settings.size)[whole], return_inverse=True)
         table = np.zeros((len(nodes), len(known)), np.float32)  # how often a window stands in a paragraph
         np.add.at(table, (row[whole], window), 1)
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        near = (table[a] @ table[b].T >= fewest) & (component[a][:, None] != component[b][None, :])
-        i, j = (x[k] for x, k in zip((a, b), np.nonzero(near)))
-        right = [np.zeros(0, np.int64)]
-        for s in range(0, len(i), 4096):
-            runs = aligned_rows(column.take(pa.array(i[s : s + 4096])), column.take(pa.array(j[s : s + 4096])), settings.size, settings.threshold)
-            right.append(s + np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0]))
-        right = np.concatenate(right)
-        return pa.table({"a": pa.array(nodes[i[right]]), "b": pa.array(nodes[j[right]])})
-
-    return cells.join(words, "node").select("cell", "side", "node", "component", "bytes").groupBy("cell").applyInArrow(compare, "a long, b long")
+        near = (table @ table.T >= fewest) & (side[:, None] != side[None, :])
+        out = [np.zeros((0, 2), np.int64)]
+        for k in range(len(nodes)):
+            others = np.flatnonzero(near[k] & (component != component[k]))
+            others = others[others > k]
+            if len(others):
+                runs = aligned_rows(column.take(pa.array(np.full(len(others), k))), column.take(pa.array(others)), settings.size, settings.threshold)
+                right = others[np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0])]
+                out.append(np.stack([np.full(len(right), nodes[k]), nodes[right]], axis=1))
+                component[np.isin(component, component[right])] = component[k]
+        out = np.concatenate(out)
+        return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
+
+    rows = cells.join(words, "node").select("cell", "side", "node", "component", "first.no_id", "first.doc_id", "first.row", "first.number", "bytes")
+    return rows.groupBy("cell").applyInArrow(compare, "a long, b long")
 
 
 def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
@@ -286,10 +295,17 @@ def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     nodes = settle(firsts.join(hits.select("u").distinct(), "u"), "nodes")
     centre = hits.join(nodes, "u").groupBy("key").agg(F.min(F.struct("first", "u")).alias("c")).select("key", F.col("c.u").alias("a"))
     hits = settle(hits.join(centre, "key").select(F.col("key").alias("bucket"), F.lit(0).alias("band"), F.col("u").alias("node"), "a"), "hits")
-    at = nodes.select(F.col("u").alias("node"), F.col("first.row").alias("row"), F.col("first.number").alias("number"))
-    words = settle(made.select("row", "number", "bytes").join(at, ["row", "number"]).select("node", "bytes"), "words", **PACKED)
-    stars = hits.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    near = settle(star_links(stars, words, settings), "near")
+    at = nodes.select(F.col("u").alias("node"), "first", F.col("first.row").alias("row"), F.col("first.number").alias("number"))
+    words = settle(made.select("row", "number", "bytes").join(at, ["row", "number"]).select("node", "first", "bytes"), "words", **PACKED)
+    # every paragraph meets the one that comes first in most of its buckets, then those that are in other components still
+    stars = settle(hits.where("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")), "stars")
+    best = stars.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select("b", F.col("m.a").alias("a"))
+    near = settle(star_links(best, words, settings), "near")
+    found = components(near)
+    so_far = lambda n: found.select(F.col("node").alias(n), F.col("component").alias(f"{n}_in"))
+    rest = stars.join(best, ["a", "b"], "left_anti").join(so_far("a"), "a", "left").join(so_far("b"), "b", "left")
+    rest = rest.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
+    near = settle(near.unionByName(star_links(rest, words, settings)), "near")
     sizes = hits.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2").select("bucket")  # two are compared by now
     placed = hits.join(sizes, "bucket").join(components(near), "node", "left")
     placed = settle(placed.select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
