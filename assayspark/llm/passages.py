@@ -312,10 +312,17 @@ def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     return settle(near.unionByName(bucket_links(placed, words, settings)).distinct(), "links")
 
 
-def _stretches(asked: DataFrame, made: DataFrame, row: str, number: str, into: str) -> DataFrame:
-    """The words around each asked paragraph, from the one before to the one behind: id, start and words."""
-    wanted = asked.select("id", F.col(row).alias("row"), F.explode(F.array(*(F.col(number) + k for k in (-1, 0, 1)))).alias("number"))
-    found = wanted.join(made.select("row", "number", "start", "bytes"), ["row", "number"])
+AROUND = (-1, 0, 1)
+
+
+def _around(asked: DataFrame, row: str, number: str, *more: str) -> DataFrame:
+    """row, number of each asked paragraph, the one before and the one behind."""
+    return asked.select(*more, F.col(row).alias("row"), F.explode(F.array(*(F.col(number) + k for k in AROUND))).alias("number"))
+
+
+def _stretches(asked: DataFrame, texts: DataFrame, row: str, number: str, into: str) -> DataFrame:
+    """The words around each asked paragraph, from the one before to the one behind: id, start and bytes."""
+    found = _around(asked, row, number, "id").join(texts, ["row", "number"])
     parts = found.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", "start", "bytes"))).alias("parts"))  # at most three
     return parts.select("id", F.col("parts")[0]["start"].alias(f"{into}start"), F.array_join(F.col("parts.bytes").cast("array<string>"), "").cast("binary").alias(f"{into}bytes"))
 
@@ -323,8 +330,11 @@ def _stretches(asked: DataFrame, made: DataFrame, row: str, number: str, into: s
 def shared_runs(asked: DataFrame, made: DataFrame, settings: Settings) -> DataFrame:
     """What asked paragraphs share with earlier ones: the columns of RANGE. asked: row, doc_id, number, kept, other_row, other_number."""
     asked = settle(asked.withColumn("id", F.monotonically_increasing_id()), "asked")
-    rows = asked.select("id", "row", "doc_id", "kept", "other_row").join(_stretches(asked, made, "row", "number", ""), "id")
-    rows = rows.join(_stretches(asked, made, "other_row", "other_number", "other_"), "id")
+    wanted = _around(asked, "row", "number").unionByName(_around(asked, "other_row", "other_number")).distinct()
+    texts = settle(made.select("row", "number", "start", "bytes").join(wanted, ["row", "number"]), "texts", **PACKED)
+    own = settle(_stretches(asked, texts, "row", "number", ""), "own", **PACKED)
+    other = settle(_stretches(asked, texts, "other_row", "other_number", "other_"), "other", **PACKED)
+    rows = asked.select("id", "row", "doc_id", "kept", "other_row").join(own, "id").join(other, "id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
