@@ -306,7 +306,10 @@ def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     rest = stars.join(best, ["a", "b"], "left_anti").join(so_far("a"), "a", "left").join(so_far("b"), "b", "left")
     rest = rest.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
     near = settle(near.unionByName(star_links(rest, words, settings)), "near")
-    sizes = hits.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2").select("bucket")  # two are compared by now
+    # two are compared by now; buckets of several bands with the same paragraphs count once
+    alike_members = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)]
+    sizes = hits.groupBy("bucket").agg(F.count("*").alias("n"), *alike_members).where("n > 2")
+    sizes = sizes.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket")
     placed = hits.join(sizes, "bucket").join(components(near), "node", "left")
     placed = settle(placed.select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
     return settle(near.unionByName(bucket_links(placed, words, settings)).distinct(), "links")

@@ -128,3 +128,56 @@ def test_runs_alike():
     assert passages.alike(hashed(a[30:] + a[:30]), hashed(a), 5, 0.8) in ([(0, 30)], [(30, 60)])  # one order only
     assert passages.alike(hashed(a[:4]), hashed(a), 5, 0.8) == []
     assert passages.alike(hashed(["z"] * 40), hashed(["z"] * 40), 5, 0.8) == [(0, 40)]
+
+
+def edited_pairs(seed, sizes):
+    """A source and a copy with 1 to 4 words changed, in different surroundings, and where the copy stands."""
+    rng, rows, at = random.Random(seed), [], {}
+    for k, n in enumerate(sizes):
+        passage = text(rng, n)
+        copy = list(passage)
+        for e in rng.sample(range(n), 1 + k % min(4, max(1, n // 50))):
+            copy[e] = "other"
+        before = rng.randrange(10, 60)
+        rows.append((k, " ".join(text(rng, rng.randrange(10, 60)) + passage + text(rng, 30)), "x"))
+        rows.append((1000 + k, " ".join(text(rng, before) + copy + text(rng, 30)), "x"))
+        at[1000 + k] = (before, before + n)
+    return rows, at
+
+
+def share_found(rows, at, got):
+    """Of the similar runs that a comparison of whole texts gives, how many are removed to four fifths or more."""
+    hashed = {i: Words(pa.array([t])).hash for i, t, _ in rows}
+    spans, found, wanted = {}, 0, 0
+    for r in got:
+        spans.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    for i in at:
+        for s, e in passages.alike(hashed[i], hashed[i - 1000], 5, 0.8):
+            if e - s >= 20:
+                wanted += 1
+                found += len(spans.get(i, set()) & set(range(s, e))) >= 0.8 * (e - s)
+    return found / wanted
+
+
+def test_recall_of_edited_passages_against_all_words(spark):
+    rows, at = edited_pairs(21, [50 + 5 * (k % 51) for k in range(150)])
+    got = passages.find(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert share_found(rows, at, got) >= 0.9
+    assert {r["doc_id"] for r in got} <= set(at)
+
+
+def test_bands_find_the_edited_passages(spark):
+    rows, at = edited_pairs(22, [50 + k % 30 for k in range(60)])
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert share_found(rows, at, passages.find(df).collect()) >= 0.9
+    off = passages.find(df, settings=passages.Settings(bands=1, rows=40))  # no two different paragraphs meet
+    assert share_found(rows, at, off.collect()) < 0.5
+
+
+def test_rows_without_ids_are_documents_of_their_own(spark):
+    rng = random.Random(23)
+    shared = text(rng, 80)
+    rows = [(None, " ".join(text(rng, 10 + k) + shared), "x") for k in range(40)]
+    got = passages.find(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert len(got) == len({r["row"] for r in got}) == 39 and {r["kept_doc_id"] for r in got} == {None}
+    assert all(75 <= r["n_words"] <= 95 for r in got)
