@@ -7,9 +7,10 @@ of its surroundings. Paragraphs of the same words are one node. The windows of f
 bands of MinHash values propose pairs of different paragraphs. `tune` picks the fewest hashes that reach the wanted
 recall; the default bands find paragraphs of which less than half is shared, as those at the edges of a passage are.
 
-In a bucket of equal band keys every paragraph is compared with the one that occurs first, then those of different
-components with each other, in bounded blocks inside tasks; inside a component no more proof is needed. Two paragraphs are linked if they hold runs of
-at least `least` / 2 words whose windows have the wanted Jaccard similarity.
+In a bucket of equal band keys the paragraphs that share an unbroken run of at least `least` / 2 words are linked to the
+first of them; two paragraphs are linked if they hold runs of that many words whose windows have the wanted Jaccard
+similarity. Only where one of the two repeats words can they be linked without such an unbroken run (`runs_prove`): those
+are compared, in bounded blocks inside tasks, as long as they are in different components.
 
 The order of occurrences is by doc_id (nulls last), then row and place. What a paragraph shares with an earlier one that
 it is linked to, or equal to, is removed if that stands in another row: the words of both are compared from one
@@ -25,6 +26,7 @@ their own. An empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -35,10 +37,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from assayspark.llm import near_dedup
 from assayspark.llm.components import components
 from assayspark.llm.words import Words, mix, slices, windows
-from assayspark.session import settle
+from assayspark.session import numbered, settle
 
 RANGE = ["row", "doc_id", "kept", "other_row", "start", "end", "other_start", "other_end"]
 PACKED = {"compression": "zstd"}
@@ -137,7 +138,11 @@ def aligned(words: np.ndarray, others: np.ndarray, size: int, threshold: float)
     own, other = (_timed(windows(w, size)[: len(w) - size + 1]) for w in (words, others))
     _, i, j = np.intersect1d(own, other, return_indices=True)
     order = np.argsort(i)
-    i, j = i[order], j[order]
+    return _similar(i[order], j[order], size, threshold)
+
+
+def _similar(i: np.ndarray, j: np.ndarray, size: int, threshold: float) -> list[tuple[int, int, int, int]]:
+    """The runs of `aligned` from the places of common windows, rising in `i`."""
     if (np.diff(j) < 0).any():
         kept = _rising(j)
         i, j = i[kept], j[kept]
@@ -145,15 +150,16 @@ def aligned(words: np.ndarray, others: np.ndarray, size: int, threshold: float)
         return []
     broken = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1))
     first, last = np.append(0, broken + 1), np.append(broken, len(i) - 1)
+    p, q = first[:, None], last[None, :]
+    shared, long, wide = q - p + 1, i[q] - i[p] + 1, j[q] - j[p] + 1
+    right = (shared > 0) & (shared >= threshold * (long + wide - shared) - 1e-9)
+    long = np.where(right, long, 0)
     out, todo = [], [(0, len(first))]
     while todo:
         s, e = todo.pop()
         if s == e:
             continue
-        p, q = first[s:e, None], last[None, s:e]
-        shared, long, wide = q - p + 1, i[q] - i[p] + 1, j[q] - j[p] + 1
-        right = (shared > 0) & (shared >= threshold * (long + wide - shared) - 1e-9)
-        a, b = np.unravel_index(np.argmax(np.where(right, long, 0)), right.shape)  # one block alone is always right
+        a, b = divmod(int(long[s:e, s:e].argmax()), e - s)  # one block alone is always right
         begin, end = first[s + a], last[s + b]
         out.append((int(i[begin]), int(i[end]) + size, int(j[begin]), int(j[end]) + size))
         todo += [(s, s + a), (s + b + 1, e)]
@@ -228,91 +234,167 @@ def aligned_rows(own: pa.Array, other: pa.Array, size: int, threshold: float) ->
     plain = np.add.reduceat(broken, first, dtype=np.int64) == 0
     f, e, r = first[plain], last[plain], row[first[plain]]
     out = [np.stack([r, i[f] - a_starts[r], i[e] + size - a_starts[r], j[f] - b_starts[r], j[e] + size - b_starts[r]], axis=1)]
-    for r in row[first[~plain]].tolist():
-        runs = aligned(a[a_starts[r] : a_starts[r + 1]], b[b_starts[r] : b_starts[r + 1]], size, threshold)
-        out.append(np.array([(r, *x) for x in runs], np.int64).reshape(-1, 5))
-    return np.concatenate(out)
+    runs = []
+    for r, f, e in zip(row[first[~plain]].tolist(), first[~plain].tolist(), (last[~plain] + 1).tolist()):
+        runs += [(r, *x) for x in _similar(i[f:e] - a_starts[r], j[f:e] - b_starts[r], size, threshold)]
+    return np.concatenate([*out, np.array(runs, np.int64).reshape(-1, 5)])
 
 
-def star_links(stars: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) that are similar. words: node, bytes."""
-    side = lambda n: words.select(F.col("node").alias(n), F.col("bytes").alias(f"{n}_bytes"))
-    rows = stars.join(side("a"), "a").join(side("b"), "b")
+def need(settings: Settings) -> int:
+    """Words that two paragraphs must share in one similar run."""
+    return max(settings.size, math.ceil(settings.least / 2))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = aligned_rows(batch.column("a_bytes"), batch.column("b_bytes"), settings.size, settings.threshold)
-            right = np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0])
-            yield batch.select(["a", "b"]).take(pa.array(right))
 
-    return rows.select("a", "b", "a_bytes", "b_bytes").mapInArrow(compare, "a long, b long")
+def runs_prove(settings: Settings) -> bool:
+    """Whether paragraphs that repeat nothing are linked only if they share an unbroken run of `need` words.
+
+    Between two blocks of common windows lie at least three others, unless `size` - 1 words that both hold occur twice in
+    one of the two. Blocks shorter than such a run are then too few for the gaps between them.
+    """
+    most = need(settings) - settings.size
+    return 3 * settings.threshold > 2 * most * (1 - settings.threshold) + 1e-6
 
 
-def bucket_links(placed: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) that join the components in each bucket. placed: bucket, band, node, component; words: node, first, bytes.
+def grams(words: DataFrame, length: int) -> DataFrame:
+    """node, gram, again: the different runs of `length` words of each paragraph, and which occur in it more than once."""
 
-    In a cell the node that occurs first is compared with all that it has windows in common with, then the next one.
-    Components that a link joins need no further proof, so a cell gives fewer links than nodes.
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, starts = _words(batch.column("bytes"))
+            lengths = np.diff(starts)
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            whole = np.arange(len(hashes)) - starts[row] + length <= lengths[row]
+            gram, row = windows(hashes, length)[whole], row[whole]
+            order = np.lexsort((gram, row))
+            gram, row = gram[order], row[order]
+            first = np.flatnonzero(np.append(True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1]))[: len(gram)])
+            again = np.diff(np.append(first, len(gram))) > 1
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(row[first])), pa.array(gram[first].view(np.int64)), pa.array(again)], ["node", "gram", "again"])
+
+    return words.select("node", "bytes").mapInArrow(read, "node long, gram long, again boolean")
+
+
+def _once(rows: DataFrame, group: list[str], told_by: list[str]) -> DataFrame:
+    """Of the groups of the same nodes, two at least, one."""
+    members = [F.bit_xor(F.xxhash64(*told_by, F.lit(k))).alias(f"x{k}") for k in (0, 1)]
+    sizes = rows.groupBy(group).agg(F.count("*").alias("n"), *members).where("n > 1")
+    sizes = sizes.groupBy("n", "x0", "x1")
+    if len(group) == 1:
+        return sizes.agg(F.min(group[0]).alias(group[0])).select(group)
+    return sizes.agg(F.min(F.struct(*group)).alias("g")).select("g.*")
+
+
+def run_links(hits: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b), a before b, that join the paragraphs which share a bucket and a run of `need` words. hits: key, node.
+
+    Each paragraph is linked to the first that holds the run in one of its buckets, and that one to the first of the
+    paragraph's other buckets, so there are about as many links as paragraphs and runs, however large a bucket is.
+    """
+    runs = grams(words, need(settings)).select("node", "gram")
+    kept = settle(_once(runs, ["gram"], ["node"]), "runs")
+    held = settle(runs.join(kept, "gram").join(hits, "node"), "held")
+    least = held.groupBy("key", "gram").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").drop("last")
+    met = settle(held.join(least, ["key", "gram"]).groupBy("gram", "node", "a").agg(F.lit(1).alias("one")).drop("one"), "met")
+    best = met.groupBy("gram", "node").agg(F.min("a").alias("best"))
+    others = met.join(best, ["gram", "node"]).where("best < a").select(F.col("best").alias("a"), F.col("a").alias("b"))
+    return best.where("best < node").select(F.col("best").alias("a"), F.col("node").alias("b")).unionByName(others).distinct()
+
+
+def _cells(placed: DataFrame, settings: Settings) -> DataFrame:
+    """Groups of several components as cells of bounded blocks; one of the two of each pair is marked `again`.
+
+    placed: key, gram, node, component, again. Outside the largest component the marked nodes meet all, the others the
+    marked ones of the largest.
+    """
+    group, marked = ["key", "gram"], F.sum(F.col("again").cast("long"))
+    sizes = placed.groupBy(*group, "component").agg(F.count("*").alias("n"), marked.alias("marked"))
+    main = sizes.groupBy(group).agg(F.max(F.struct("n", "component", "marked")).alias("m"), F.sum("n").alias("n"), F.sum("marked").alias("marked"), F.count("*").alias("parts"))
+    main = main.where("parts > 1 and marked > 0").withColumn("out", F.col("n") - F.col("m.n")).withColumn("marked_out", F.col("marked") - F.col("m.marked"))
+    blocks = lambda n: F.ceil(n / settings.members)
+    marks = F.struct(F.lit(1).alias("part"), blocks(F.col("marked_out")).alias("is"), blocks(F.col("n")).alias("js"))
+    rest = F.struct(F.lit(0).alias("part"), blocks(F.col("out") - F.col("marked_out")).alias("is"), blocks(F.col("m.marked")).alias("js"))
+    main = main.select(*group, F.col("m.component").alias("main"), F.explode(F.array(marks, rest)).alias("p")).select(*group, "main", "p.*").where("is > 0 and js > 0")
+    rows = placed.join(main, group).withColumn("outside", F.col("component") != F.col("main"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = rows.where("outside and again = (part = 1)").withColumn("i", F.pmod(F.xxhash64("node"), "is")).withColumn("j", every("js"))
+    right = rows.where("part = 1 or (again and not outside)").withColumn("j", F.pmod(F.xxhash64("node"), "js")).withColumn("i", every("is"))
+    cell = F.concat_ws(":", *group, "part", "i", "j").alias("cell")
+    sides = [d.select(cell, F.lit(k).alias("side"), "node", "component") for k, d in enumerate((left, right))]
+    return sides[0].unionByName(sides[1])
+
+
+def repeat_links(hits: DataFrame, words: DataFrame, near: DataFrame, settings: Settings) -> DataFrame:
+    """The links (a, b) that `run_links` can not tell, by comparison. hits: key, node; words: node, bytes; near: a, b.
+
+    Those are between paragraphs that share a bucket and `size` - 1 words which one of them repeats; where runs prove
+    nothing, all of a bucket.
     """
-    cells = near_dedup._bucket_cells(placed, near_dedup.Settings(members=settings.members))
-    # a similar run of that many words has at least so many common windows
-    fewest = max(1, math.ceil(settings.threshold * (math.ceil(settings.least / 2) - settings.size + 1) - 1e-9))
+    if runs_prove(settings):
+        held = grams(words, settings.size - 1)
+        twice = settle(held.where("again").select("gram").distinct(), "twice")
+        held = settle(held.join(twice, "gram"), "repeats")
+        placed = held.join(_once(held, ["gram"], ["node", "again"]), "gram").join(hits, "node")
+    else:
+        placed = hits.select("key", "node", F.lit(0).cast("long").alias("gram"), F.lit(True).alias("again"))
+    so_far = near.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    placed = placed.join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = settle(placed, "placed")
+    cells = _cells(placed.join(_once(placed, ["key", "gram"], ["node", "again"]), ["key", "gram"]), settings)
+    # a similar run of `need` words has at least so many common windows
+    fewest = max(1, math.ceil(settings.threshold * (need(settings) - settings.size + 1) - 1e-9))
 
     def compare(cell: pa.Table) -> pa.Table:
-        cell = cell.sort_by([(c, "ascending") for c in ("no_id", "doc_id", "row", "number")]).combine_chunks()
+        cell = cell.sort_by([("node", "ascending")]).combine_chunks()
         side, nodes, component = (cell.column(c).to_numpy().copy() for c in ("side", "node", "component"))
         column = cell.column("bytes").combine_chunks()
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
         hashes, starts = _words(column)
         row = np.repeat(np.arange(len(nodes)), np.diff(starts))
         whole = np.arange(len(hashes)) - starts[row] + settings.size <= np.diff(starts)[row]
-        known, window = np.unique(windows(hashes, settings.size)[whole], return_inverse=True)
-        table = np.zeros((len(nodes), len(known)), np.float32)  # how often a window stands in a paragraph
-        np.add.at(table, (row[whole], window), 1)
-        near = (table @ table.T >= fewest) & (side[:, None] != side[None, :])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        row, window = row[whole], windows(hashes, settings.size)[whole]
+        known = np.intersect1d(window[side[row] == 0], window[side[row] == 1])
+        both = np.isin(window, known)
+        table = np.zeros((len(nodes), len(known)), np.float32)  # how often a common window stands in a paragraph
+        np.add.at(table, (row[both], np.searchsorted(known, window[both])), 1)
+        near = table[left] @ table[right].T >= fewest
         out = [np.zeros((0, 2), np.int64)]
-        for k in range(len(nodes)):
-            others = np.flatnonzero(near[k] & (component != component[k]))
-            others = others[others > k]
-            if len(others):
-                runs = aligned_rows(column.take(pa.array(np.full(len(others), k))), column.take(pa.array(others)), settings.size, settings.threshold)
-                right = others[np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0])]
-                out.append(np.stack([np.full(len(right), nodes[k]), nodes[right]], axis=1))
-                component[np.isin(component, component[right])] = component[k]
+        for at in range(0, len(left), 16):
+            some = left[at : at + 16]
+            k, other = np.nonzero(near[at : at + 16] & (component[some][:, None] != component[right][None, :]))
+            if len(k):
+                k, other = some[k], right[other]
+                runs = aligned_rows(column.take(pa.array(k)), column.take(pa.array(other)), settings.size, settings.threshold)
+                linked = np.unique(runs[runs[:, 2] - runs[:, 1] >= settings.least / 2, 0])
+                for i, j in zip(k[linked].tolist(), other[linked].tolist()):
+                    if component[i] != component[j]:
+                        out.append(np.sort(nodes[[i, j]])[None, :])
+                        component[component == component[j]] = component[i]
         out = np.concatenate(out)
         return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
 
-    rows = cells.join(words, "node").select("cell", "side", "node", "component", "first.no_id", "first.doc_id", "first.row", "first.number", "bytes")
-    return rows.groupBy("cell").applyInArrow(compare, "a long, b long")
+    return cells.join(words, "node").groupBy("cell").applyInArrow(compare, "a long, b long")
 
 
 def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     """Similar nodes (a, b): paragraphs that share a band key and hold similar runs. firsts: u, first."""
-    keyed = made.select("u", F.explode("bands").alias("key"))
     sign = F.shiftright("u", 32).cast("int")  # half of the fingerprint tells two paragraphs of one key apart
-    crowded = settle(keyed.groupBy("key").agg(F.min(sign).alias("low"), F.max(sign).alias("high")).where("low <> high").select("key"), "keys")
-    hits = settle(keyed.join(crowded, "key").distinct(), "hits")
-    nodes = settle(firsts.join(hits.select("u").distinct(), "u"), "nodes")
-    centre = hits.join(nodes, "u").groupBy("key").agg(F.min(F.struct("first", "u")).alias("c")).select("key", F.col("c.u").alias("a"))
-    hits = settle(hits.join(centre, "key").select(F.col("key").alias("bucket"), F.lit(0).alias("band"), F.col("u").alias("node"), "a"), "hits")
-    at = nodes.select(F.col("u").alias("node"), "first", F.col("first.row").alias("row"), F.col("first.number").alias("number"))
-    words = settle(made.select("row", "number", "bytes").join(at, ["row", "number"]).select("node", "first", "bytes"), "words", **PACKED)
-    # every paragraph meets the one that comes first in most of its buckets, then those that are in other components still
-    stars = settle(hits.where("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")), "stars")
-    best = stars.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select("b", F.col("m.a").alias("a"))
-    near = settle(star_links(best, words, settings), "near")
-    found = components(near)
-    so_far = lambda n: found.select(F.col("node").alias(n), F.col("component").alias(f"{n}_in"))
-    rest = stars.join(best, ["a", "b"], "left_anti").join(so_far("a"), "a", "left").join(so_far("b"), "b", "left")
-    rest = rest.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
-    near = settle(near.unionByName(star_links(rest, words, settings)), "near")
-    # two are compared by now; buckets of several bands with the same paragraphs count once
-    alike_members = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)]
-    sizes = hits.groupBy("bucket").agg(F.count("*").alias("n"), *alike_members).where("n > 2")
-    sizes = sizes.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket")
-    placed = hits.join(sizes, "bucket").join(components(near), "node", "left")
-    placed = settle(placed.select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "placed")
-    return settle(near.unionByName(bucket_links(placed, words, settings)).distinct(), "links")
+    parts = []
+    for at in range(0, settings.bands, 8):  # some bands at a time, for the sake of the disk
+        keyed = made.select("u", F.explode(F.slice("bands", at + 1, 8)).alias("key"))
+        crowded = settle(keyed.groupBy("key").agg(F.min(sign).alias("low"), F.max(sign).alias("high")).where("low <> high").select("key"), "keys")
+        parts.append(settle(keyed.join(crowded, "key").distinct(), "hits"))
+    hits = functools.reduce(DataFrame.unionByName, parts)
+    # nodes are numbered in the order of their first occurrence
+    nodes = settle(numbered(firsts.join(hits.select("u").distinct(), "u").orderBy("first", "u"), "node"), "nodes")
+    at = nodes.select("node", F.col("first.row").alias("row"), F.col("first.number").alias("number"))
+    words = settle(made.select("row", "number", "bytes").join(at, ["row", "number"]).select("node", "bytes"), "words", **PACKED)
+    hits = settle(hits.join(nodes.select("u", "node"), "u").select("key", "node"), "placed")
+    hits = settle(hits.join(_once(hits, ["key"], ["node"]), "key"), "buckets")
+    near = settle(run_links(hits, words, settings), "near")
+    near = near.unionByName(repeat_links(hits, words, near, settings)).distinct()
+    known = lambda n: nodes.select(F.col("node").alias(n), F.col("u").alias(f"{n}_u"))
+    return settle(near.join(known("a"), "a").join(known("b"), "b").select(F.col("a_u").alias("a"), F.col("b_u").alias("b")), "links")
 
 
 AROUND = (-1, 0, 1)

@@ -181,3 +181,61 @@ def test_rows_without_ids_are_documents_of_their_own(spark):
     got = passages.find(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
     assert len(got) == len({r["row"] for r in got}) == 39 and {r["kept_doc_id"] for r in got} == {None}
     assert all(75 <= r["n_words"] <= 95 for r in got)
+
+
+def joined(links):
+    """A function that names the component of a node."""
+    into = {}
+
+    def top(x):
+        while into.setdefault(x, x) != x:
+            x = into[x]
+        return x
+
+    for a, b in links:
+        into[top(a)] = top(b)
+    return top
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_a_bucket_loses_no_link(spark, threshold):
+    """All pairs of one bucket that a comparison links are connected, those that repeat words too."""
+    rng = random.Random(31)
+    settings = passages.Settings(threshold=threshold, members=8)
+    line, shared = text(rng, 8), text(rng, 25)
+    rows = [text(rng, 12) + [line, shared[k % 9 :], ["z"] * (4 + k % 5), ["x", "y"] * (2 + k % 4)][k % 4] + text(rng, 12) for k in range(60)]
+    rows += [line[:4] + ["z"] * k + line[4:] + text(rng, 9) for k in (4, 5, 6, 7)]
+    assert passages.runs_prove(settings) == (threshold == 0.8)
+    data = [" ".join(r).encode() + b" " for r in rows]
+    words = spark.createDataFrame([(k, bytearray(d)) for k, d in enumerate(data)], "node long, bytes binary")
+    hits = spark.createDataFrame([(1, k) for k in range(len(rows))], "key long, node long")
+    near = passages.run_links(hits, words, settings)
+    got = {(r["a"], r["b"]) for r in near.unionByName(passages.repeat_links(hits, words, near, settings)).collect()}
+    a, b = np.nonzero(~np.eye(len(rows), dtype=bool))
+    runs = passages.aligned_rows(pa.array([data[i] for i in a]), pa.array([data[i] for i in b]), settings.size, threshold)
+    right = np.unique(runs[runs[:, 2] - runs[:, 1] >= 10, 0])
+    want = {(min(p), max(p)) for p in zip(a[right].tolist(), b[right].tolist())}
+    top, true = joined(got), joined(want)
+    assert len(want) > 100 and all(top(x) == top(y) for x, y in want) and all(true(x) == true(y) for x, y in got)
+    alone = {r["a"] for r in near.collect()} | {r["b"] for r in near.collect()}
+    assert {x for p in want for x in p} - alone  # some are found by comparison only
+
+
+def test_rows_of_a_bucket_grow_with_its_paragraphs(spark):
+    """Different paragraphs of one bucket meet only what a repetition calls for: 4,000 give not four times the rows of 2,000 or more."""
+
+    def rows(n):
+        placed = spark.range(n).selectExpr("1L as key", "1L as gram", "id as node", "id as component", "id % 1000 = 0 as again")
+        return passages._cells(placed, passages.Settings(members=64)).count()
+
+    few, many = rows(2000), rows(4000)
+    assert 2000 <= few and many <= 2.2 * few and many < 3 * 4000
+    assert rows(900) <= 3 * 900
+
+
+def test_links_need_a_common_bucket(spark):
+    rng = random.Random(33)
+    shared = text(rng, 30)
+    words = spark.createDataFrame([(k, bytearray(" ".join(shared + text(rng, 5)).encode() + b" ")) for k in range(4)], "node long, bytes binary")
+    hits = spark.createDataFrame([(1, 0), (1, 2), (2, 1), (2, 3)], "key long, node long")
+    assert {tuple(r) for r in passages.run_links(hits, words, passages.Settings()).collect()} == {(0, 2), (1, 3)}
