@@ -38,11 +38,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from assayspark.llm.components import components
-from assayspark.llm.words import Words, mix, slices, windows
+from assayspark.llm.words import Words, bytes_of, mix, slices, windows
 from assayspark.session import numbered, settle
 
 RANGE = ["row", "doc_id", "kept", "other_row", "start", "end", "other_start", "other_end"]
 PACKED = {"compression": "zstd"}
+AT_ONCE = 8  # bands that meet at a time, for the sake of the disk
+DEALT = 1 << 19  # band keys that are ordered at once, about
 
 
 def tune(threshold: float, recall: float, most: int = 64) -> tuple[int, int]:
@@ -69,19 +71,36 @@ class Settings:
     members: int = 256  # paragraphs that a side of one comparison holds, about
 
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every `width` values in a row."""
+    size = 1
+    while 2 * size <= width:
+        values, size = np.minimum(values[:-size], values[size:]), 2 * size
+    return np.minimum(values[: len(values) - width + size], values[width - size :])
+
+
 def cut(words: Words, reach: int) -> np.ndarray:
     """The first word of each paragraph; paragraphs tile the texts."""
-    n = len(words.hash)
-    h, begins = windows(words.hash, 2), np.ones(n, bool)
+    h = windows(words.hash, 2)
     h[np.flatnonzero(words.left() == 1)] = np.uint64(0xFFFFFFFFFFFFFFFF)  # the last word has no pair
-    for k in range(1, min(reach, n - 1) + 1):
-        same = words.owner[k:] == words.owner[:-k]
-        begins[k:] &= ~(same & (h[:-k] <= h[k:]))
-        begins[:-k] &= ~(same & (h[k:] < h[:-k]))
+    apart = np.full(len(h) + reach * (words.texts + 1), 0xFFFFFFFFFFFFFFFF, np.uint64)  # so that no text sees another
+    at = np.arange(len(h)) + reach * (words.owner + 1)
+    apart[at] = h
+    least = _least(apart, reach)
+    begins = (h < least[at - reach]) & (h <= least[at + 1])
     begins[words.starts[:-1][words.lengths() > 0]] = True
     return np.flatnonzero(begins)
 
 
+def runs_of(hashes: np.ndarray, size: int) -> np.ndarray:
+    """As `windows`, for word hashes, which are mixed already: a polynomial of them."""
+    total = np.zeros(len(hashes), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(min(size, len(hashes))):
+            total[: len(hashes) - k] = total[: len(hashes) - k] * np.uint64(0xD6E8FEB86659FD93) + hashes[k:]
+    return mix(total)
+
+
 def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Length, fingerprint and band keys (paragraphs, bands) of the paragraphs that begin at `first`."""
     n = len(words.hash)
@@ -91,12 +110,15 @@ def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndar
         run = np.zeros(n + 1, np.uint64)
         np.cumsum(mix(words.hash + mix(place, 21), 31), out=run[1:])
         u = mix(run[np.append(first, n)[1:]] - run[first] + lengths.astype(np.uint64)).view(np.int64)
-    shingle, inside = windows(words.hash, settings.size), place + settings.size <= np.repeat(lengths, lengths)
-    keys = np.zeros((len(first), settings.bands), np.uint64)
+    shingle = runs_of(words.hash, settings.size)
+    beyond = np.where(place + settings.size <= np.repeat(lengths, lengths), np.uint64(0), np.uint64(0xFFFFFFFFFFFFFFFF))
+    odd = mix(np.arange(settings.bands * settings.rows, dtype=np.uint64), 50) | np.uint64(1)
+    keys, value = np.zeros((len(first), settings.bands), np.uint64), np.empty(n, np.uint64)
     for b in range(settings.bands if n else 0):
         total = np.full(len(first), b, np.uint64)
         for r in range(settings.rows):
-            value = np.where(inside, mix(shingle, 50 + b * settings.rows + r), np.uint64(0xFFFFFFFFFFFFFFFF))
+            np.multiply(shingle, odd[b * settings.rows + r], out=value)  # windows are well mixed, so a factor gives another order
+            np.bitwise_or(value, beyond, out=value)
             low = np.minimum.reduceat(value, first)
             total = mix(total + np.where(lengths >= settings.size, low, u.view(np.uint64)))
         keys[:, b] = total
@@ -105,16 +127,31 @@ def sketch(words: Words, first: np.ndarray, settings: Settings) -> tuple[np.ndar
 
 def _timed(keys: np.ndarray) -> np.ndarray:
     """Keys that also say how often the same one came before."""
-    order = np.argsort(keys, kind="stable")
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[order][1:] != keys[order][:-1]
+    order = np.argsort(keys)
+    held = keys[order]
+    same = np.append(False, held[1:] == held[:-1])[: len(keys)]
+    same[:-1] |= same[1:]
+    some = np.sort(order[same])  # places of keys that come more than once
+    some = some[np.argsort(keys[some], kind="stable")]
+    new = np.append(True, keys[some][1:] != keys[some][:-1])[: len(some)]
     start = np.flatnonzero(new)
     times = np.zeros(len(keys), np.uint64)
-    times[order] = np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys))))
+    times[some] = np.arange(len(some)) - np.repeat(start, np.diff(np.append(start, len(some))))
     with np.errstate(over="ignore"):
         return mix(keys + mix(times, 23), 33)
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in `a` of what stands in both, rising, and its places in `b`. Nothing stands twice in one of them."""
+    both = np.concatenate([a, b])
+    order = np.argsort(both)
+    held = both[order]
+    at = np.flatnonzero(held[1:] == held[:-1])
+    i, j = np.minimum(order[at], order[at + 1]), np.maximum(order[at], order[at + 1]) - len(a)
+    order = np.argsort(i)
+    return i[order], j[order]
+
+
 def _rising(values: np.ndarray) -> np.ndarray:
     """Places of a longest rising part of the values."""
     tops: list[int] = []
@@ -135,10 +172,8 @@ def aligned(words: np.ndarray, others: np.ndarray, size: int, threshold: float)
     """Runs of `words` whose windows have at least this Jaccard similarity with a run of `others`, the longest first, and that run."""
     if min(len(words), len(others)) < size:
         return []
-    own, other = (_timed(windows(w, size)[: len(w) - size + 1]) for w in (words, others))
-    _, i, j = np.intersect1d(own, other, return_indices=True)
-    order = np.argsort(i)
-    return _similar(i[order], j[order], size, threshold)
+    own, other = (_timed(runs_of(w, size)[: len(w) - size + 1]) for w in (words, others))
+    return _similar(*_common(own, other), size, threshold)
 
 
 def _similar(i: np.ndarray, j: np.ndarray, size: int, threshold: float) -> list[tuple[int, int, int, int]]:
@@ -171,8 +206,15 @@ def alike(words: np.ndarray, others: np.ndarray, size: int, threshold: float) ->
     return [(s, e) for s, e, _, _ in aligned(words, others, size, threshold)]
 
 
+def _blocks(numbers: np.ndarray, told: np.ndarray) -> pa.Array:
+    """The bytes of the rows that are told, empty bytes for the others."""
+    ends = np.append(0, np.cumsum(told * (numbers.shape[1] * numbers.itemsize))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(told), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(numbers[told]))])
+
+
 def paragraphs(docs: DataFrame, settings: Settings) -> DataFrame:
-    """row, doc_id, number, last, start, n (words), u (the fingerprint), bytes and bands of each paragraph. docs: doc_id, text."""
+    """row, doc_id, number, last, start, n (words), u (the fingerprint), bytes and band keys of each paragraph. docs: doc_id, text."""
+    parts = range(0, settings.bands, AT_ONCE)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -184,21 +226,22 @@ def paragraphs(docs: DataFrame, settings: Settings) -> DataFrame:
                 owner = words.owner[first]
                 count = np.bincount(owner, minlength=e - s)
                 number = np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
-                banded = np.where(lengths >= settings.size, settings.bands, 0)  # shorter ones are known by all their words
-                bands = pa.array(keys[lengths >= settings.size].ravel())
+                long = lengths >= settings.size  # shorter ones are known by all their words
+                bands = [_blocks(keys[:, at : at + AT_ONCE], long) for at in parts]
                 data, ends = words.data, np.append(words.first[first], len(words.data))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + owner), batch.column("doc_id")[s:e].take(pa.array(owner)), pa.array(number, pa.int32()),
                         pa.array(number == count[owner] - 1), pa.array(first - words.starts[owner], pa.int32()), pa.array(lengths, pa.int32()),
                         pa.array(u), pa.array([data[i:j].tobytes() + b" " for i, j in zip(ends[:-1], words.last[np.append(first, len(words.last))[1:] - 1])], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(banded)), pa.int32()), bands),
+                        *bands,
                     ],
-                    ["row", "doc_id", "number", "last", "start", "n", "u", "bytes", "bands"],
+                    ["row", "doc_id", "number", "last", "start", "n", "u", "bytes", *(f"bands{at}" for at in parts)],
                 )
                 row += e - s
 
-    return docs.mapInArrow(read, "row long, doc_id long, number int, last boolean, start int, n int, u long, bytes binary, bands array<long>")
+    kinds = "row long, doc_id long, number int, last boolean, start int, n int, u long, bytes binary"
+    return docs.mapInArrow(read, ", ".join([kinds, *(f"bands{at} binary" for at in parts)]))
 
 
 def _words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,15 +258,14 @@ def _keys(hashes: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray
     place = np.arange(len(hashes)) - starts[row]
     whole = place + size <= lengths[row]
     with np.errstate(over="ignore"):
-        return np.flatnonzero(whole), _timed(mix(windows(hashes, size)[whole] + mix(row[whole], 41)))
+        return np.flatnonzero(whole), _timed(mix(runs_of(hashes, size)[whole] + mix(row[whole], 41)))
 
 
 def aligned_rows(own: pa.Array, other: pa.Array, size: int, threshold: float) -> np.ndarray:
     """`aligned` for all rows of two columns of bytes: row, start, end, other start, other end. Rows with one common block need no search."""
     (a, a_starts), (b, b_starts) = _words(own), _words(other)
     (a_at, a_keys), (b_at, b_keys) = _keys(a, a_starts, size), _keys(b, b_starts, size)
-    _, i, j = np.intersect1d(a_keys, b_keys, assume_unique=True, return_indices=True)
-    i, j = np.sort(i), j[np.argsort(i)]
+    i, j = _common(a_keys, b_keys)
     i, j = a_at[i], b_at[j]
     row = np.searchsorted(a_starts, i, "right") - 1
     if not len(row):
@@ -264,7 +306,7 @@ def grams(words: DataFrame, length: int) -> DataFrame:
             lengths = np.diff(starts)
             row = np.repeat(np.arange(len(lengths)), lengths)
             whole = np.arange(len(hashes)) - starts[row] + length <= lengths[row]
-            gram, row = windows(hashes, length)[whole], row[whole]
+            gram, row = runs_of(hashes, length)[whole], row[whole]
             order = np.lexsort((gram, row))
             gram, row = gram[order], row[order]
             first = np.flatnonzero(np.append(True, (gram[1:] != gram[:-1]) | (row[1:] != row[:-1]))[: len(gram)])
@@ -294,10 +336,9 @@ def run_links(hits: DataFrame, words: DataFrame, settings: Settings) -> DataFram
     kept = settle(_once(runs, ["gram"], ["node"]), "runs")
     held = settle(runs.join(kept, "gram").join(hits, "node"), "held")
     least = held.groupBy("key", "gram").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").drop("last")
-    met = settle(held.join(least, ["key", "gram"]).groupBy("gram", "node", "a").agg(F.lit(1).alias("one")).drop("one"), "met")
-    best = met.groupBy("gram", "node").agg(F.min("a").alias("best"))
-    others = met.join(best, ["gram", "node"]).where("best < a").select(F.col("best").alias("a"), F.col("a").alias("b"))
-    return best.where("best < node").select(F.col("best").alias("a"), F.col("node").alias("b")).unionByName(others).distinct()
+    met = held.join(least, ["key", "gram"]).select("gram", "node", "a").distinct()
+    best = F.min("a").over(Window.partitionBy("gram", "node"))  # a row a bucket of the paragraph at most
+    return met.select(best.alias("best"), "a", "node").select(F.col("best").alias("a"), F.explode(F.array("a", "node")).alias("b")).where("a < b").distinct()
 
 
 def _cells(placed: DataFrame, settings: Settings) -> DataFrame:
@@ -352,7 +393,7 @@ def repeat_links(hits: DataFrame, words: DataFrame, near: DataFrame, settings: S
         row = np.repeat(np.arange(len(nodes)), np.diff(starts))
         whole = np.arange(len(hashes)) - starts[row] + settings.size <= np.diff(starts)[row]
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        row, window = row[whole], windows(hashes, settings.size)[whole]
+        row, window = row[whole], runs_of(hashes, settings.size)[whole]
         known = np.intersect1d(window[side[row] == 0], window[side[row] == 1])
         both = np.isin(window, known)
         table = np.zeros((len(nodes), len(known)), np.float32)  # how often a common window stands in a paragraph
@@ -376,14 +417,78 @@ def repeat_links(hits: DataFrame, words: DataFrame, near: DataFrame, settings: S
     return cells.join(words, "node").groupBy("cell").applyInArrow(compare, "a long, b long")
 
 
+def _grouped(keys: np.ndarray, us: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both ordered by key, and of each different key where it begins, how often it comes and whether with different `us`."""
+    order = np.argsort(keys)
+    keys, us = keys[order], us[order]
+    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    differ = np.minimum.reduceat(us, start) != np.maximum.reduceat(us, start) if len(keys) else np.zeros(0, bool)
+    return keys, us, start, np.diff(np.append(start, len(keys))), differ
+
+
+LONE, KNOWN, FOUND = range(3)
+
+
+def dealt_keys(made: DataFrame, bands: str, shards: int) -> DataFrame:
+    """shard, kind, keys, us: band keys and their paragraphs, many a row, dealt by the size of the key. made: u, bands.
+
+    Of a key that already has different paragraphs among those read together only the key itself goes to its shard (KNOWN);
+    the paragraphs go anywhere (FOUND), so a shard gets a key at most once for each such reading.
+    """
+    edges = np.array([(k << 64) // shards - (1 << 63) for k in range(1, shards)], np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, turn = [], 0, TaskContext.get().partitionId()
+
+        def dealt() -> pa.RecordBatch:
+            nonlocal turn
+            keys, us, start, times, differ = _grouped(*(np.concatenate(x) for x in zip(*held)))
+            rows = []
+            for kind, k, v in ((LONE, keys[start[~differ]], us[start[~differ]]), (KNOWN, keys[start[differ]], us[:0])):
+                at = np.concatenate([[0], np.searchsorted(k, edges), [len(k)]])
+                rows += [(s, kind, k[a:b].tobytes(), v[a:b].tobytes()) for s, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if a < b]
+            more = np.repeat(differ, times)
+            k, v = keys[more], us[more]
+            for at in range(0, len(k), 1 << 16):
+                rows.append((turn % shards, FOUND, k[at : at + (1 << 16)].tobytes(), v[at : at + (1 << 16)].tobytes()))
+                turn += 1
+            columns = list(zip(*rows))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())],
+                ["shard", "kind", "keys", "us"],
+            )
+
+        for batch in batches:
+            keys, ends = bytes_of(batch.column(bands))
+            held.append((keys.view(np.int64).copy(), np.repeat(batch.column("u").to_numpy(), np.diff(ends) // 8)))
+            size += len(held[-1][0])
+            if size >= DEALT:
+                yield dealt()
+                held, size = [], 0
+        if size:
+            yield dealt()
+
+    return made.select("u", bands).mapInArrow(deal, "shard int, kind int, keys binary, us binary")
+
+
+def buckets(made: DataFrame, bands: str, shards: int) -> DataFrame:
+    """key, u: the paragraphs of every band key that different paragraphs have; the same row may come again. made: u, bands."""
+
+    def meet(shard: pa.Table) -> pa.Table:
+        kinds = shard.column("kind").to_numpy()
+        numbers = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.int64)
+        keys, us = ([numbers(shard.column(c).filter(pa.array(kinds == k))) for k in (LONE, KNOWN, FOUND)] for c in ("keys", "us"))
+        k, v, start, times, differ = _grouped(keys[LONE], us[LONE])
+        more = np.repeat(differ | np.isin(k[start], keys[KNOWN]), times)
+        return pa.table({"key": pa.array(np.append(k[more], keys[FOUND])), "u": pa.array(np.append(v[more], us[FOUND]))})
+
+    return dealt_keys(made, bands, shards).groupBy("shard").applyInArrow(meet, "key long, u long")
+
+
 def links(made: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     """Similar nodes (a, b): paragraphs that share a band key and hold similar runs. firsts: u, first."""
-    sign = F.shiftright("u", 32).cast("int")  # half of the fingerprint tells two paragraphs of one key apart
-    parts = []
-    for at in range(0, settings.bands, 8):  # some bands at a time, for the sake of the disk
-        keyed = made.select("u", F.explode(F.slice("bands", at + 1, 8)).alias("key"))
-        crowded = settle(keyed.groupBy("key").agg(F.min(sign).alias("low"), F.max(sign).alias("high")).where("low <> high").select("key"), "keys")
-        parts.append(settle(keyed.join(crowded, "key").distinct(), "hits"))
+    shards = math.ceil(made.count() * min(settings.bands, AT_ONCE) / DEALT) or 1
+    parts = [settle(buckets(made, f"bands{at}", shards).distinct(), "hits") for at in range(0, settings.bands, AT_ONCE)]
     hits = functools.reduce(DataFrame.unionByName, parts)
     # nodes are numbered in the order of their first occurrence
     nodes = settle(numbered(firsts.join(hits.select("u").distinct(), "u").orderBy("first", "u"), "node"), "nodes")
@@ -405,21 +510,19 @@ def _around(asked: DataFrame, row: str, number: str, *more: str) -> DataFrame:
     return asked.select(*more, F.col(row).alias("row"), F.explode(F.array(*(F.col(number) + k for k in AROUND))).alias("number"))
 
 
-def _stretches(asked: DataFrame, texts: DataFrame, row: str, number: str, into: str) -> DataFrame:
-    """The words around each asked paragraph, from the one before to the one behind: id, start and bytes."""
-    found = _around(asked, row, number, "id").join(texts, ["row", "number"])
-    parts = found.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", "start", "bytes"))).alias("parts"))  # at most three
-    return parts.select("id", F.col("parts")[0]["start"].alias(f"{into}start"), F.array_join(F.col("parts.bytes").cast("array<string>"), "").cast("binary").alias(f"{into}bytes"))
-
-
 def shared_runs(asked: DataFrame, made: DataFrame, settings: Settings) -> DataFrame:
     """What asked paragraphs share with earlier ones: the columns of RANGE. asked: row, doc_id, number, kept, other_row, other_number."""
     asked = settle(asked.withColumn("id", F.monotonically_increasing_id()), "asked")
     wanted = _around(asked, "row", "number").unionByName(_around(asked, "other_row", "other_number")).distinct()
     texts = settle(made.select("row", "number", "start", "bytes").join(wanted, ["row", "number"]), "texts", **PACKED)
-    own = settle(_stretches(asked, texts, "row", "number", ""), "own", **PACKED)
-    other = settle(_stretches(asked, texts, "other_row", "other_number", "other_"), "other", **PACKED)
-    rows = asked.select("id", "row", "doc_id", "kept", "other_row").join(own, "id").join(other, "id")
+    sides = [_around(asked.withColumn("side", F.lit(k)), *at, "id", "side").join(texts, ["row", "number"]) for k, at in enumerate((("row", "number"), ("other_row", "other_number")))]
+    parts = sides[0].unionByName(sides[1]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("side", "number", "start", "bytes"))).alias("parts"))  # at most six
+    stretch = []
+    for k, into in enumerate(("", "other_")):
+        part = F.filter("parts", functools.partial(lambda k, p: p["side"] == k, k))
+        words = F.array_join(F.transform(part, lambda p: p["bytes"].cast("string")), "").cast("binary")
+        stretch += [part[0]["start"].alias(f"{into}start"), words.alias(f"{into}bytes")]
+    rows = asked.select("id", "row", "doc_id", "kept", "other_row").join(parts.select("id", *stretch), "id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -466,7 +569,9 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     """Spans to remove: row, doc_id, start, end, n_words, kept_doc_ids (where their words stay), kept_doc_id, the first of
     them, and cluster_doc_id, the first document of their cluster."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    made = settle(paragraphs(rows, settings), "paragraphs", **PACKED)
+    made = paragraphs(rows, settings)
+    plain = {f"parquet.enable.dictionary#{c}": "false" for c in made.columns if c in ("u", "bytes") or c.startswith("bands")}  # hardly a value comes twice
+    made = settle(made, "paragraphs", **PACKED, **plain)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number", "start").alias("first")
     firsts = settle(made.groupBy("u").agg(F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")), "firsts")
     near = links(made, firsts.select("u", "first"), settings)

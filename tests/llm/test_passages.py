@@ -239,3 +239,57 @@ def test_links_need_a_common_bucket(spark):
     words = spark.createDataFrame([(k, bytearray(" ".join(shared + text(rng, 5)).encode() + b" ")) for k in range(4)], "node long, bytes binary")
     hits = spark.createDataFrame([(1, 0), (1, 2), (2, 1), (2, 3)], "key long, node long")
     assert {tuple(r) for r in passages.run_links(hits, words, passages.Settings()).collect()} == {(0, 2), (1, 3)}
+
+
+def test_band_keys_meet_whole_and_packed(spark, monkeypatch):
+    """Packed keys give the paragraphs that a grouping of one row a key gives, in few rows, and a common key does not crowd a shard."""
+    monkeypatch.setattr(passages, "DEALT", 2000)
+    rng, shards = random.Random(41), 5
+    signed = lambda h: int(np.uint64(h).view(np.int64))
+    some = [signed(rng.getrandbits(64)) for _ in range(40000)]
+    rows, pairs = [], set()
+    for k in range(6000):
+        keys = [rng.choice(some), rng.choice(some), some[0]] if k % 10 else []
+        rows += [(k, bytearray(np.array(keys, np.int64).tobytes()))] * (1 + k % 3)  # exact copies are one
+        pairs |= {(key, k) for key in keys}
+    rng.shuffle(rows)
+    made = spark.createDataFrame(rows, "u long, bands0 binary").repartition(4)
+    times = {}
+    for key, _ in pairs:
+        times[key] = times.get(key, 0) + 1
+    got = {tuple(r) for r in passages.buckets(made, "bands0", shards).distinct().collect()}
+    assert got == {(key, u) for key, u in pairs if times[key] > 1} and len(got) > 7000
+    dealt = passages.dealt_keys(made, "bands0", shards).collect()
+    assert len(dealt) <= 1000 < 3 * len(rows)
+    here = [r for r in dealt if r["kind"] != passages.FOUND and some[0] in np.frombuffer(r["keys"], np.int64)]
+    assert len({r["shard"] for r in here}) == 1 and len(here) <= 40
+    assert passages.buckets(made.where("u < 0"), "bands0", 1).collect() == []
+
+
+@pytest.mark.parametrize("reach", [1, 3, 20])
+def test_cuts_are_the_least_pairs_around(reach):
+    rng = random.Random(42)
+    column = pa.array(["", "a", "b c", None, " ".join(rng.choice("xyz") for _ in range(200)), *(" ".join(text(rng, n)) for n in (1, 19, 20, 21, 150))])
+    words = Words(column)
+    h, want = passages.windows(words.hash, 2), []
+    for s, e in zip(words.starts[:-1].tolist(), words.starts[1:].tolist()):
+        v = h[s:e].tolist()[:-1] + [2**64 - 1]
+        want += [s + i for i in range(e - s) if i == 0 or (all(v[k] > v[i] for k in range(max(0, i - reach), i)) and all(v[k] >= v[i] for k in range(i, min(e - s, i + reach + 1))))]
+    assert passages.cut(words, reach).tolist() == want
+    assert passages.cut(Words(pa.array([], pa.string())), reach).tolist() == []
+
+
+def test_common_places_and_times():
+    rng = np.random.default_rng(43)
+    keys = rng.integers(0, 50, 300).astype(np.uint64)
+    seen, want = {}, []
+    for k in keys.tolist():
+        want.append((k, seen.setdefault(k, 0)))
+        seen[k] += 1
+    timed = passages._timed(keys).tolist()
+    assert len(set(timed)) == 300 == len(set(zip(want, timed)))
+    assert dict(zip(want, timed)) == dict(zip(want, passages._timed(keys[:200]).tolist() + timed[200:]))
+    a, b = rng.permutation(1000)[:400].astype(np.uint64), rng.permutation(1000)[:600].astype(np.uint64)
+    i, j = passages._common(a, b)
+    assert (np.diff(i) > 0).all() and (a[i] == b[j]).all() and len(i) == len(np.intersect1d(a, b))
+    assert [len(x) for x in passages._common(a[:0], b)] == [0, 0] and len(passages._timed(keys[:0])) == 0
