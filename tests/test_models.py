@@ -171,3 +171,15 @@ def test_registered_fits_are_whole(spark, monkeypatch, name):
     with pytest.raises(Seen) as seen:
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen.value.args[0] == {}
+
+
+def test_kinds_fitted_together_are_those_fitted_alone(spark, planted):
+    settings = {"rf": FOREST, "gbt": BOOSTED}
+    fitted, metrics, pairs = models.build_model(planted, "id", kind=("rf", "gbt"), settings=settings)
+    both = metrics.collect()
+    assert both == sorted(both, key=lambda r: r.rmse) and {r.model for r in both} == set(fitted) == {"rf", "gbt"}
+    for r in both:
+        model, alone, own = models.build_model(planted, "id", kind=r.model, settings=settings[r.model])
+        assert alone.first().rmse == pytest.approx(r.rmse) and alone.first().n == r.n
+        assert sorted(own.collect()) == sorted(pairs.where(F.col("model") == r.model).drop("model").collect())
+        assert list(model.weights) == pytest.approx(list(fitted[r.model].weights))
