@@ -556,7 +556,8 @@ def clustered(ranges: DataFrame, settings: Settings) -> DataFrame:
     parts = settle(parts.join(gone, inside, "left").select("span", "near", "kept"), "parts")
     found = components(parts.where("near is not null"), "span", "near")
     parts = parts.join(found.withColumnRenamed("node", "span"), "span", "left").withColumn("component", F.coalesce("component", "span"))
-    first = parts.where("near is null").groupBy("component").agg(F.min("kept").alias("cluster_doc_id"))
+    # settled, so that the join reads two shuffles and the runtime can split a large component
+    first = settle(parts.where("near is null").groupBy("component").agg(F.min("kept").alias("cluster_doc_id")), "firsts")
     kept = parts.join(first, "component", "left").groupBy("span").agg(
         F.sort_array(F.collect_set(F.when(F.col("near").isNull(), F.col("kept")).otherwise(F.col("cluster_doc_id")))).alias("kept_doc_ids"),
         F.first("cluster_doc_id").alias("cluster_doc_id"),

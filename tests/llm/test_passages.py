@@ -293,3 +293,27 @@ def test_common_places_and_times():
     i, j = passages._common(a, b)
     assert (np.diff(i) > 0).all() and (a[i] == b[j]).all() and len(i) == len(np.intersect1d(a, b))
     assert [len(x) for x in passages._common(a[:0], b)] == [0, 0] and len(passages._timed(keys[:0])) == 0
+
+
+def test_a_large_component_is_split(spark):
+    """The join that gives the spans of a component its first document takes a large one in several tasks."""
+    made = [(1, 1, 0, 0, 0, 40, 0, 40)]
+    made += [(k, k, 1, 1, 0, 40, 0, 40) for k in range(2, 6000)]  # copies of what row 1 loses: one component
+    made += [(k, k, k - 1, k - 1, 0, 40, 0, 40) for k in range(10001, 12000, 2)]
+    ranges = spark.createDataFrame(made, "row long, doc_id long, kept long, other_row long, start int, end int, other_start int, other_end int")
+    ranges = ranges.select(passages.RANGE)
+    asked = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in asked}
+    try:
+        for k, v in asked.items():
+            spark.conf.set(k, v)
+        found = passages.clustered(ranges, passages.Settings())
+        got = {r["doc_id"]: (r["kept_doc_ids"], r["cluster_doc_id"]) for r in found.collect()}
+        assert got == {k: ([0], 0) for k in range(1, 6000)} | {k: ([k - 1], k - 1) for k in range(10001, 12000, 2)}
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
