@@ -61,6 +61,31 @@ def test_nearest_against_brute_force(spark, threshold, chunk):
         assert r.similarity == (pytest.approx(want[r.id][1]) if r.in_domain else None)
 
 
+@pytest.mark.parametrize("threshold", [0.2, 0.4, 0.55])
+@pytest.mark.parametrize("n_bits", [64, 130])
+def test_common_bits_are_compared_in_blocks(spark, monkeypatch, threshold, n_bits):
+    """Sets that share most bits go in whole blocks, each pair once, and give what brute force gives; ids may be texts."""
+    rng = random.Random(3)
+
+    def one(i):
+        return [] if i % 29 == 0 else sorted({*range(4), *rng.sample(range(n_bits), rng.randint(1, n_bits // 2))})
+
+    training = [(f"T{i % 190}", one(i)) for i in range(200)]
+    training += [("Z", training[3][1]), ("B", training[3][1])]
+    queries = [(f"Q{i}", one(i)) for i in range(120)] + [("Q120", training[3][1]), ("Q121", training[7][1])]
+    schema = "id string, bits array<int>"
+
+    def joined(*_):
+        raise AssertionError("pairs met once for every common bit")
+
+    monkeypatch.setattr(similarity, "_by_bits", joined)
+    got = similarity.nearest_neighbours(
+        spark.createDataFrame(queries, schema), spark.createDataFrame(training, schema), threshold, n_bits
+    ).collect()
+    want = brute_nearest(queries, training, threshold)
+    assert {r.id: (r.neighbour, r.similarity) for r in got} == want and len(got) == len(queries)
+
+
 def test_feature_job(spark):
     df = spark.createDataFrame([(1, "12"), (2, "x"), (3, None), (4, "5")], "id int, s string")
     registry = {"n": (lambda s: int(s), "int"), "half": (lambda s: int(s) / 2, "double"), "boom": (lambda s: 1 / 0, "double")}
