@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -16,7 +16,9 @@ from pyspark.ml.feature import PCA, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from assayspark.functions import activity as act
 from assayspark.functions.literals import numbers
@@ -24,6 +26,8 @@ from assayspark.operators import groups
 
 SEED = 42
 RESTARTS = 10
+BLOCK_BYTES = 1 << 25
+TILE = 1 << 18  # distances held at once
 
 
 def _summary(df: DataFrame, features: str) -> tuple[int, np.ndarray, np.ndarray]:
@@ -162,44 +166,86 @@ def silhouette_squared(df: DataFrame, features: str, label: str) -> float | None
     return ClusteringEvaluator(featuresCol=features, predictionCol="_label").evaluate(rows)
 
 
-def silhouette_exact(df: DataFrame, key: str, features: str, label: str, block_rows: int = 2000) -> DataFrame:
+def _block_count(rows: int, width: int, tasks: int, labels: int = 1) -> int:
+    """Blocks of at most `BLOCK_BYTES`, as are their sums by label, and at least so many that all tasks have pairs of them."""
+    return max(1, -(-rows * max(8 * width, 16 * labels) // BLOCK_BYTES), min(-(-rows // 500), math.isqrt(4 * tasks)))
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances; close pairs, where the product loses digits, are taken from differences."""
+    size = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)
+    square = x @ y.T
+    square *= -2.0
+    square += size
+    size *= 1e-5
+    near, at = np.nonzero(square <= size)
+    for i in range(0, len(near), 1 << 16):
+        n, t = near[i : i + (1 << 16)], at[i : i + (1 << 16)]
+        square[n, t] = ((x[n] - y[t]) ** 2).sum(axis=1)
+    return np.sqrt(square, out=square)
+
+
+def silhouette_exact(df: DataFrame, key: str, features: str, label: str, block_rows: int | None = None) -> DataFrame:
     """(key, label, silhouette) under Euclidean distance.
 
     The measure needs every distance, so its work is quadratic: it is meant for the rows of one
-    cluster. Rows are cut into blocks; a task holds two blocks and gives one sum per row and label,
-    never a pair.
+    cluster. Rows are cut into blocks (of 32 MB unless their rows are given); a task holds two blocks, each pair of which
+    meets once and serves both, and gives one sum per row and label, never a pair. So a row is sent once a block.
     """
     rows = df.select(F.col(key).alias("id"), F.col(label).alias("label"), vector_to_array(features).alias("x"))
-    blocks = max(1, -(-rows.count() // block_rows))
+    counted, spark = rows.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("width"), F.approx_count_distinct("label").alias("labels")).first(), df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    blocks = max(1, -(-counted.n // block_rows)) if block_rows else _block_count(counted.n, counted.width or 1, tasks, counted.labels)
     cut = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = cut.withColumn("across", other).groupBy("own", "across")
-    right = cut.withColumnRenamed("own", "across").withColumn("own", other).groupBy("own", "across")
-
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "label": [], "other": [], "total": [], "n": []})
-        x, y = np.stack(a["x"].to_numpy()), np.stack(b["x"].to_numpy())
-        names, codes = np.unique(b["label"].to_numpy(), return_inverse=True)
-        member = np.eye(len(names))[codes]
-        totals = np.empty((len(x), len(names)))
-        for i in range(len(x)):  # one row at a time: differences keep full precision
-            totals[i] = np.sqrt(((y - x[i]) ** 2).sum(axis=1)) @ member
-        return pd.DataFrame(
-            {
-                "id": np.repeat(a["id"].to_numpy(), len(names)),
-                "label": np.repeat(a["label"].to_numpy(), len(names)),
-                "other": np.tile(names, len(x)),
-                "total": totals.ravel(),
-                "n": np.tile(member.sum(axis=0).astype("int64"), len(x)),
-            }
-        )
+
+    def dealt(name: str, other: str, places: Column) -> GroupedData:
+        made = cut.withColumnRenamed("own", name).withColumn(other, F.explode(places))
+        return made.repartition(max(tasks, min(4 * tasks, blocks * (blocks + 1) // 2)), "first", "second").groupBy("first", "second")
+
+    left = dealt("first", "second", F.sequence("first", F.lit(blocks - 1)))
+    right = dealt("second", "first", F.sequence(F.lit(0), F.col("second")))
+
+    def sums(keys: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+        if not len(a) or not len(b):
+            return pa.Table.from_batches([], out)
+        sides, same = [], keys[0].as_py() == keys[1].as_py()
+        for table in (a, b):
+            coded = table.column("label").combine_chunks().dictionary_encode(null_encoding="encode")
+            codes = coded.indices.to_numpy()
+            by_label = np.argsort(codes, kind="stable")
+            x = table.column("x").combine_chunks()
+            x = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)[by_label]
+            n = np.bincount(codes, minlength=len(coded.dictionary))
+            sides.append((table.take(pa.array(by_label)), x, coded.dictionary, n, np.cumsum(n) - n))
+        middle = sides[1][1].mean(axis=0)  # distances stay as they are, products keep more digits
+        x, y = sides[0][1] - middle, sides[1][1] - middle
+        starts = [s[4] for s in sides]
+        totals = [np.zeros((len(x), len(starts[1]))), np.zeros((len(y), len(starts[0])))]
+        label_of = np.repeat(np.arange(len(starts[0])), sides[0][3])
+        step = max(1, TILE // len(y))
+        for i in range(0, len(x), step):
+            d = _distances(x[i : i + step], y)
+            totals[0][i : i + step] = np.add.reduceat(d, starts[1], axis=1)
+            if not same:
+                here, begin = np.unique(label_of[i : i + step], return_index=True)
+                totals[1][:, here] += np.add.reduceat(d, begin, axis=0).T
+        made = []
+        for (table, rows_, _, _, _), (_, _, names, n, _), total in ((sides[0], sides[1], totals[0]), (sides[1], sides[0], totals[1]))[: 1 if same else 2]:
+            each, across = np.repeat(np.arange(len(rows_)), len(names)), np.tile(np.arange(len(names)), len(rows_))
+            made.append(
+                pa.table(
+                    [table.column("id").take(pa.array(each)), table.column("label").take(pa.array(each)), names.take(pa.array(across)), pa.array(total.ravel()), pa.array(n[across].astype(np.int64))],
+                    out.names,
+                ).cast(out)
+            )
+        return pa.concat_tables(made)
 
     id_type, label_type = (dict(rows.dtypes)[c] for c in ("id", "label"))
     schema = f"id {id_type}, label {label_type}, other {label_type}, total double, n bigint"
+    out = to_arrow_schema(_parse_datatype_string(schema))
     per_label = (
         left.cogroup(right)
-        .applyInPandas(sums, schema)
+        .applyInArrow(sums, schema)
         .groupBy("id", "label", "other")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )

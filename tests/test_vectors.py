@@ -145,6 +145,23 @@ def test_silhouette_in_blocks(spark, block):
     assert [r.silhouette for r in got] == pytest.approx(brute_silhouette(x, labels))
 
 
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+def test_silhouette_sends_a_row_once_a_block(spark, monkeypatch, shift):
+    """Pairs of blocks meet once and serve both sides, so half as many are sent; no digit is lost for copies or far from 0."""
+    x, labels = blobs(600, spread=1.0)
+    x = x + shift
+    x[300:320] = x[0:20]
+    df = frame(spark, x, labels).withColumn("id", F.concat(F.lit("r"), "id"))
+    for blocks in (1, 6):
+        monkeypatch.setattr(cluster, "_block_count", lambda *_: blocks)
+        made = cluster.silhouette_exact(df, "id", "features", "cluster")
+        got = {r.id: r.silhouette for r in made.collect()}
+        assert [got[f"r{i}"] for i in range(600)] == pytest.approx(brute_silhouette(x, labels), abs=1e-9)
+    monkeypatch.undo()
+    assert cluster._block_count(600_000, 64, 24) <= 20 and cluster._block_count(1000, 64, 24) == 2
+    assert cluster._block_count(10**6, 2048, 24) * cluster.BLOCK_BYTES >= 10**6 * 2048 * 8
+
+
 def test_silhouette_needs_two_labels(spark):
     x, _ = blobs(6)
     assert cluster.silhouette_squared(frame(spark, x), "features", "cluster") is None
