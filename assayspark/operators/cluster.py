@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -24,6 +25,8 @@ from assayspark.functions import activity as act
 from assayspark.functions.literals import numbers
 from assayspark.operators import groups
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need numpy and Arrow but not this package
+
 SEED = 42
 RESTARTS = 10
 BLOCK_BYTES = 1 << 25

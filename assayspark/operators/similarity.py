@@ -14,15 +14,19 @@ Both ways are exact and give the same rows.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assayspark.functions.literals import numbers
 from assayspark.session import settle
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need numpy and Arrow but not this package
+
 # Sets per bit and chunk.
 CHUNK = 10_000
 

@@ -199,3 +199,16 @@ def test_repeated_rows_are_rows_of_their_own(spark, table):
     _, _, pairs = models.build_model(twice, "id", settings={"numTrees": 2}, keep=False)
     _, _, once = models.build_model(table, "id", settings={"numTrees": 2}, keep=False)
     assert pairs.count() == 2 * once.count()
+
+
+def test_predictions_are_added_up_in_tasks(prepared):
+    """A row held out is sent once a block and fit, not once a tree; a block has a run of trees, so few fits."""
+    rows, cuts = prepared
+    fits = [Fit(Forest(12), 0, fold, ((12, None, 2), (6, 3, 2))) for fold in range(3)]
+    results, bases, _ = trees.run(rows, fits, cuts, blocks=3)
+    sent = {r.fit: r.n for r in results.where("row is not null").groupBy("fit").agg(F.count("*").alias("n")).collect()}
+    held = {r.fold: r.n for r in rows.where("part = 0 and not is_test").groupBy("fold").agg(F.count("*").alias("n")).collect()}
+    assert sent == {fold: held[fold] for fold in range(3)}
+    alone = trees.run(rows, fits[:1], cuts, blocks=1)
+    said = {(r.variant, r["row"]): r.prediction for r in trees.held_out(results, fits, bases).where("fit = 0").collect()}
+    assert said == {(r.variant, r["row"]): r.prediction for r in trees.held_out(alone[0], fits[:1], alone[1]).collect()}
