@@ -212,3 +212,39 @@ def test_predictions_are_added_up_in_tasks(prepared):
     alone = trees.run(rows, fits[:1], cuts, blocks=1)
     said = {(r.variant, r["row"]): r.prediction for r in trees.held_out(results, fits, bases).where("fit = 0").collect()}
     assert said == {(r.variant, r["row"]): r.prediction for r in trees.held_out(alone[0], fits[:1], alone[1]).collect()}
+
+
+@pytest.mark.parametrize("wave", [1, 1 << 30])
+def test_cells_make_the_trees_of_rows(spark, wave, monkeypatch):
+    """Many rows with few different bins are added up by cell: the same predictions, weights and models, and no row is dealt to a tree."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 5, 900), rng.integers(0, 3, 900), rng.integers(0, 2, 900)])
+    y = 6 + x[:, 0] * 0.3 - 0.5 * (x[:, 1] == 2) + 0.2 * rng.integers(0, 3, 900) * x[:, 2]
+    df = spark.createDataFrame([(i, float(v), i % 2, [float(a) for a in r]) for i, (v, r) in enumerate(zip(y, x))], "id long, p double, cluster int, x array<double>")
+    rows, cuts = models.prepared(df, "id", "p", "x", "cluster")
+    fits = [
+        Fit(Forest(5), 0, None, ((5, None, 2), (3, 4, 2), (5, 2, 2), (2, None, 30))),
+        Fit(Forest(4, 6, 3, 9), 1, 2),
+        Fit(Boosted(6, 3, 0.3, 0.8, 0.8), 1, None, ((2, None, 2), (6, None, 2))),
+        Fit(Boosted(3, 2, 0.5), 0, 1),
+    ]
+
+    def never(*_):
+        raise AssertionError("rows dealt to the trees")
+
+    def answers(few):
+        results, bases, tops = trees.run(rows, fits, cuts, True, few)
+        said = {(r.fit, r.variant, r["row"]): r.prediction for r in trees.held_out(results, fits, bases).collect()}
+        made = [trees.model_of(results, i, f, cuts, "x", bases, tops) for i, f in enumerate(fits)]
+        return said, [m.weights for m in made], [{r.id: r.prediction for r in m.transform(df).collect()} for m in made]
+
+    whole = answers(None)
+    for f in ("_large_forests", "_large_boosted"):
+        monkeypatch.setattr(trees, f, never)
+    monkeypatch.setattr(trees, "WAVE_BYTES", wave)
+    monkeypatch.setattr(trees, "CELL_BYTES", 1000)
+    monkeypatch.setattr(trees, "COLLAPSED_ROWS", 64)
+    said, weights, models_ = answers(100)
+    assert said == whole[0] and len(said) > 500 and models_ == whole[2]
+    for a, b in zip(weights, whole[1]):
+        assert a == pytest.approx(b)
