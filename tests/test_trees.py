@@ -248,3 +248,18 @@ def test_cells_make_the_trees_of_rows(spark, wave, monkeypatch):
     assert said == whole[0] and len(said) > 500 and models_ == whole[2]
     for a, b in zip(weights, whole[1]):
         assert a == pytest.approx(b)
+
+
+def test_clusters_of_repeated_bins_grow_from_cells(spark, monkeypatch):
+    """A cluster that fits a task but has twice as many rows as different bins is not dealt to its trees either."""
+    df = spark.range(1200).selectExpr("id", "cast(id % 3 as int) as cluster", "5 + id % 7 * 0.5 + id % 5 * 0.1 as p", "array(cast(id % 7 as double), id % 2) as x")
+    report, _ = models.model_per_cluster(df, "id", features="x", settings={"numTrees": 4}, keep=False)
+    want = {r.cluster: r for r in report.collect()}
+
+    def never(*_):
+        raise AssertionError("rows sent to every block of trees")
+
+    monkeypatch.setattr(trees, "MANY_ROWS", 200)
+    monkeypatch.setattr(trees, "_whole", never)
+    report, _ = models.model_per_cluster(df, "id", features="x", settings={"numTrees": 4}, keep=False)
+    assert {r.cluster: r for r in report.collect()} == want and len(want) == 3
